@@ -24,15 +24,30 @@ class Field(NamedTuple):
     pattern: str = COMPACT_DAY
 
 
+def _cut_text(line: Column, field: Field) -> Column:
+    """The field's characters. In a line of ASCII alone they are bytes, and Spark finds a range of
+    bytes directly, where it would count through the characters before each field."""
+    is_ascii = F.octet_length(line) == F.length(line)
+    by_bytes = F.substring(line.cast("binary"), field.start, field.length).cast("string")
+    return F.when(is_ascii, by_bytes).otherwise(line.substr(field.start, field.length))
+
+
+def _may_be_number(text: Column, field: Field) -> Column:
+    """False for texts that plainly are none, as a failing cast costs many times a comparison:
+    blank ones and, for whole numbers, those that start with a letter."""
+    filled = (text != "") & (text != " " * field.length)
+    return filled & (text < ":") if field.kind == "int" else filled
+
+
 def cut_field(line: Column, field: Field) -> Column:
     """The field's typed value, null where the text does not fit the type."""
-    text = line.substr(field.start, field.length)
+    text = _cut_text(line, field)
     if field.kind == "string":
         value = text
     elif field.kind == "date":
         value = parse_date(text, field.pattern)
     else:
-        value = text.try_cast(field.kind)
+        value = F.when(_may_be_number(text, field), text.try_cast(field.kind))
         if field.scale is not None:
             value = value / F.lit(field.scale)
     return value.alias(field.name)

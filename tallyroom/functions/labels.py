@@ -30,6 +30,10 @@ class Band:
     equals: int | None = None
     closed: bool = False
 
+    def __post_init__(self) -> None:
+        if not self._tests():
+            raise ValueError(f"band {self.label!r} has no bound")
+
     def _tests(self) -> list[tuple[str, int]]:
         upper = "<=" if self.closed else "<"
         tests = [(">", self.above), (upper, self.below), ("=", self.equals)]

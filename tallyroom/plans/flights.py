@@ -129,6 +129,8 @@ def period_view(
     """
     drop_view(spark, view)
     first, last = days
+    # The month's digits lead the text: a prefix test, unlike a parsed date, reaches the scan.
+    prefix = f"{int(month):02d}"
     return sql_view(
         spark,
         view,
@@ -137,7 +139,7 @@ def period_view(
                month(flown) AS month_of_date, day(flown) AS day_of_date
         FROM (SELECT *, try_to_date(date, {sql_text(MONTH_DAY_TIME)}) AS flown
               FROM {quote_name(source)}
-              WHERE origin = {sql_text(origin)})
+              WHERE origin = {sql_text(origin)} AND startswith(date, {sql_text(prefix)}))
         WHERE month(flown) = {int(month)} AND day(flown) BETWEEN {int(first)} AND {int(last)}
         """,
     )
@@ -148,7 +150,8 @@ def period_frame(
 ) -> DataFrame:
     """`period_view` as DataFrame calls."""
     flown = parse_date(F.col("date"), MONTH_DAY_TIME)
-    dated = flights.where(F.col("origin") == origin).withColumns(
+    in_month = F.col("date").startswith(f"{int(month):02d}")
+    dated = flights.where((F.col("origin") == origin) & in_month).withColumns(
         {"month_of_date": F.month(flown), "day_of_date": F.dayofmonth(flown)}
     )
     kept = dated.where((F.col("month_of_date") == month) & F.col("day_of_date").between(*days))

@@ -50,7 +50,10 @@ def write_csv(
     compression: str | None = None,
     **options: Any,
 ) -> None:
-    """CSV. Compressed text cannot be split by its readers, so leave it in many files."""
+    """CSV. Compressed text cannot be split by its readers, so leave it in many files.
+
+    Empty strings are read back as nulls unless both sides name the same `nullValue`.
+    """
     _text_writer(df, mode, compression, options).csv(path, header=header)
 
 

@@ -1,0 +1,214 @@
+"""Operators on small frames, and the plans Spark makes of them."""
+
+import contextlib
+import io
+import re
+
+import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+
+from checks import QUERIES
+from tallyroom import operators as op
+from tallyroom.plans import flights, weather
+from tests.conftest import DATA
+
+FOLDER = f"{DATA}/sf0.01"
+
+
+def rows(df):
+    return [tuple(row) for row in df.collect()]
+
+
+@pytest.fixture(scope="module")
+def candy(spark):
+    return spark.createDataFrame(
+        [("CA", "Red", 5), ("CA", "Red", None), ("CA", "Blue", 7), ("TX", "Red", 1),
+         (None, "Red", 2)],
+        "State string, Color string, Count int",
+    )
+
+
+def test_count_by_ways(candy):
+    keys = ["State"]
+    assert set(rows(op.count_by(candy, keys))) == {("CA", 3), ("TX", 1), (None, 1)}
+    by_values = op.count_by(candy, keys, "Count", "values", "Total")
+    assert set(rows(by_values)) == {("CA", 2), ("TX", 1), (None, 1)}
+    assert by_values.columns == ["State", "Total"]
+    sums = op.count_by(candy, keys, "Count", "sum", "Total", where=F.col("Color") == "Red")
+    assert set(rows(sums)) == {("CA", 5), ("TX", 1), (None, 2)}
+
+
+@pytest.mark.parametrize("metric, how", [(None, "sum"), ("Count", "rows"), ("Count", "median")])
+def test_count_by_refuses_bad_combinations(candy, metric, how):
+    with pytest.raises(ValueError):
+        op.count_by(candy, ["State"], metric, how)
+
+
+def test_means_and_spread(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", None), ("b", 2.0)], "k string, v double")
+    assert set(rows(op.mean_by(df, ["k"], {"m": "v"}))) == {("a", 2.0), ("b", 2.0)}
+    spread = dict(rows(op.stddev_by(df, ["k"], "v", "sd")))
+    assert spread["a"] == pytest.approx(2**0.5) and spread["b"] is None
+
+
+def test_min_max_names_and_values(candy):
+    assert op.min_max(candy, ["Count"]).collect() == [Row(min_Count=1, max_Count=7)]
+    assert op.min_max(candy, {"Count": "n"}).columns == ["min_n", "max_n"]
+
+
+def test_row_count_of_nothing(candy):
+    assert rows(op.row_count(candy.where("State = 'ZZ'"))) == [(0,)]
+
+
+def test_frame_report(candy):
+    report = op.frame_report(candy, "ddl")
+    assert report.columns == ["mode", "name", "type", "nullable", "rows"]
+    assert rows(report)[2] == ("ddl", "Count", "int", True, 5)
+    assert rows(op.frame_report(candy.where("false")))[0] == ("State", "string", True, 0)
+
+
+def test_top_n_breaks_ties_and_keeps_nulls_last(candy):
+    best = op.top_n(candy, 2, [F.desc("Count")], ["State", "Color"])
+    assert rows(best) == [("CA", "Blue", 7), ("CA", "Red", 5)]
+    whole = op.top_n(candy, None, [F.desc("Count")], ["State", "Color"])
+    assert [row[2] for row in rows(whole)] == [7, 5, 2, 1, None]
+
+
+RECORD = StructType([StructField("id", LongType()), StructField("name", StringType())])
+
+
+def test_conform_orders_casts_and_drops(spark):
+    df = spark.createDataFrame([("x", "7", 1), ("y", "no", 2)], "NAME string, id string, extra int")
+    fitted = op.conform(df, RECORD)
+    assert fitted.schema == RECORD
+    assert rows(fitted) == [(7, "x"), (None, "y")]
+
+
+def test_conform_refuses_absent_and_fractional_fields(spark):
+    with pytest.raises(ValueError, match="name"):
+        op.conform(spark.createDataFrame([(1,)], "id int"), RECORD)
+    with pytest.raises(ValueError, match="id"):
+        op.conform(spark.createDataFrame([(1.5, "x")], "id double, name string"), RECORD)
+
+
+def test_conform_finds_odd_names(spark):
+    record = StructType([StructField("a.b c", IntegerType())])
+    assert rows(op.conform(spark.createDataFrame([(3,)], "`a.b c` long"), record)) == [(3,)]
+
+
+def test_swap_columns_is_one_projection(spark):
+    df = spark.createDataFrame([("1", "2")], "a string, b string")
+    swapped = op.swap_columns(df, {"c": F.col("a").cast("int"), "b": F.lit(0)}, drop=["a"])
+    assert swapped.columns == ["b", "c"] and rows(swapped) == [(0, 1)]
+
+
+def test_view_wins_over_table_of_the_same_name(spark, tmp_path):
+    op.create_database(spark, "shadow_db", str(tmp_path / "db"))
+    spark.range(3).write.mode("overwrite").option("path", str(tmp_path / "t")).saveAsTable(
+        "shadow_db.shadowed"
+    )
+    op.register_view(spark.range(2), "shadowed")
+    assert spark.table("shadowed").count() == 2
+    assert spark.table("shadow_db.shadowed").count() == 3
+    op.drop_view(spark, "shadowed")
+    op.drop_table(spark, "shadow_db.shadowed")
+    op.drop_table(spark, "shadow_db.shadowed")
+
+
+def test_use_database_and_names_with_hyphens(spark, tmp_path):
+    before = spark.catalog.currentDatabase()
+    op.create_database(spark, "hyphen_db", str(tmp_path / "db"))
+    try:
+        op.use_database(spark, "hyphen_db")
+        assert spark.catalog.currentDatabase() == "hyphen_db"
+    finally:
+        op.use_database(spark, before)
+    op.register_view(spark.range(2), "left-view")
+    assert spark.table(op.quote_name("left-view")).count() == 2
+    assert [row[0] for row in rows(op.catalog_columns(spark, "left-view"))] == ["id"]
+
+
+# Plans
+
+
+def plan(df):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue().split("== Physical Plan ==")[1]
+
+
+def tree(df):
+    return plan(df).split("\n\n")[0]
+
+
+def exchanges(df):
+    return len(re.findall(r"Exchange \(", tree(df)))
+
+
+def orders(spark):
+    return spark.read.parquet(f"{FOLDER}/orders.parquet")
+
+
+LAZY = [name for name in QUERIES if not name.startswith("jdbc")]
+
+
+@pytest.mark.parametrize("name", sorted(LAZY))
+def test_no_plan_has_a_cross_join_or_python(spark, name):
+    text = tree(QUERIES[name](spark, f"{DATA}/sf0.001"))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval", "Join"):
+        assert operator not in text, name
+
+
+def test_grouped_answers_shuffle_once_and_combine_first(spark):
+    for df in (
+        op.count_by(orders(spark), ["o_orderstatus"]),
+        op.mean_by(orders(spark), ["o_custkey"], {"m": "o_totalprice"}),
+        op.stddev_by(orders(spark), [F.month("o_orderdate").alias("m")], "o_totalprice", "s"),
+        op.top_n(op.count_by(orders(spark), ["o_custkey"]), 3, [F.desc("count")], ["o_custkey"]),
+    ):
+        assert exchanges(df) == 1
+        assert tree(df).count("HashAggregate") == 2
+        assert "partial_" in plan(df)
+
+
+def test_top_n_of_rows_does_not_shuffle(spark):
+    df = op.top_n(orders(spark), 10, [F.desc("o_totalprice")], ["o_orderkey"])
+    assert exchanges(df) == 0 and "TakeOrderedAndProject" in tree(df)
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    text = plan(QUERIES["mean_by_group_top10"](spark, FOLDER))
+    assert "GreaterThanOrEqual(o_orderdate,1998-01-01T00:00)" in text
+    assert "ReadSchema: struct<o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>" in text
+    text = plan(
+        weather.monthly_mean(orders(spark), (1.0, 2.0), "o_orderdate", "o_totalprice", "mean")
+    )
+    assert "GreaterThanOrEqual(o_totalprice,1.0), LessThanOrEqual(o_totalprice,2.0)" in text
+    text = plan(QUERIES["contains_notnull_count"](spark, FOLDER))
+    assert "StringContains(p_name,ring)" in text
+
+
+def test_period_prefix_reaches_the_scan(spark, tmp_path):
+    df = spark.createDataFrame([("03010005", 1, 2, "ORD", "SFO")], flights.FLIGHT_COLUMNS)
+    df.write.parquet(str(tmp_path / "f"))
+    text = plan(flights.period_frame(spark.read.parquet(str(tmp_path / "f"))))
+    assert "EqualTo(origin,ORD)" in text and "StringStartsWith(date,03)" in text
+
+
+def test_counting_rows_reads_no_column(spark):
+    assert "ReadSchema: struct<>" in plan(op.row_count(orders(spark)))
+
+
+def test_first_year_computes_the_months_once(spark):
+    months = weather.monthly_mean(orders(spark), None, "o_orderdate", "o_totalprice", "mean")
+    text = tree(weather.first_year(months))
+    assert text.count("Scan parquet") == 1
+    assert text.index("Window") < text.index("TakeOrderedAndProject")
+
+
+def test_range_of_measures_is_one_pass(spark):
+    text = tree(op.min_max(orders(spark), ["o_totalprice", "o_orderdate"]))
+    assert text.count("Scan parquet") == 1 and exchanges(op.min_max(orders(spark), ["o_custkey"])) == 1
