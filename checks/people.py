@@ -181,6 +181,11 @@ def jdbc_leavers(spark, folder):
     }
     paths = {kind: scratch_path(spark, f"left-{kind}") for kind in ("table", "frame")}
     hr.publish_leavers(
-        hr.leavers(holders), remote, names, column_types="title VARCHAR(32)", paths=paths
+        hr.leavers(holders),
+        remote,
+        names,
+        hr.HYPHENATED_NAMES,
+        column_types="title VARCHAR(32)",
+        paths=paths,
     )
-    return read_jdbc(spark, remote, remote.quote(names["frame"]))
+    return read_jdbc(spark, remote, hr.remote_table(remote, hr.HYPHENATED_NAMES["frame"]))

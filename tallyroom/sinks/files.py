@@ -52,7 +52,8 @@ def write_csv(
 ) -> None:
     """CSV. Compressed text cannot be split by its readers, so leave it in many files.
 
-    Empty strings are read back as nulls unless both sides name the same `nullValue`.
+    Empty strings are read back as nulls unless both sides name the same `nullValue`. So do for a
+    frame of one column too: a null alone is an empty line, which readers skip.
     """
     _text_writer(df, mode, compression, options).csv(path, header=header)
 

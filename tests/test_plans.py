@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyroom import sources
+from tallyroom.functions import close_bands
 from tallyroom.operators import conform
 from tallyroom.plans import counts, devices, flights, incidents, weather
 
@@ -226,7 +227,7 @@ def test_routes_both_ways(spark, delays):
 @pytest.mark.parametrize("closed", [False, True])
 def test_labels_both_ways(spark, delays, closed, missing):
     view = flights.register_flights(delays)
-    bands = flights.close_bands(flights.DELAY_BANDS) if closed else flights.DELAY_BANDS
+    bands = close_bands(flights.DELAY_BANDS) if closed else flights.DELAY_BANDS
     by_frame = rows(flights.delay_labels(delays, bands, missing=missing))
     assert by_frame == rows(flights.delay_labels_sql(spark, view, bands, missing=missing))
     assert len(by_frame) == delays.count()
