@@ -15,6 +15,7 @@ from tallyroom.functions import sql_text
 from tallyroom.operators import (
     catalog_columns,
     conform,
+    count_by,
     create_database,
     drop_table,
     external_table,
@@ -23,7 +24,7 @@ from tallyroom.operators import (
 from tallyroom.plans import counts, flights, incidents
 from tallyroom.sinks import write_csv, write_json, write_parquet, write_single_csv
 from tallyroom.sources import read_csv, read_json, read_parquet
-from tallyroom.staging import scratch_path
+from tallyroom.staging import scratch_path, settle
 
 DATABASE = "tallyroom_checks"
 
@@ -127,11 +128,19 @@ def csv_external_table(spark, folder):
     return external_table(spark, checks_table(spark, "events_csv"), EVENT_DDL, path)
 
 
-@check("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@check(
+    """
+    SELECT o_orderstatus, cast(year(o_orderdate) AS integer) AS year, count(*) AS count
+    FROM orders GROUP BY o_orderstatus, year(o_orderdate)
+    """
+)
 def single_file_csv(spark, folder):
-    path = scratch_path(spark, "nation-csv")
-    write_single_csv(table(spark, folder, "nation"), path)
-    return read_csv(spark, path, "n_nationkey INT, n_name STRING, n_regionkey INT")
+    yearly = count_by(
+        table(spark, folder, "orders"), ["o_orderstatus", F.year("o_orderdate").alias("year")]
+    )
+    path = scratch_path(spark, "yearly-csv")
+    write_single_csv(settle(yearly), path)
+    return read_csv(spark, path, yearly.schema)
 
 
 @check("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'")

@@ -127,7 +127,7 @@ def weather_parse(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def weather_monthly(spark: SparkSession, args: argparse.Namespace) -> None:
-    valid = None if args.keep_invalid else (args.low, args.high)
+    valid = (args.low, args.high) if args.valid_only else None
     stored = weather.export_monthly(read_parquet(spark, args.path), args.base, valid, args.spread)
     stored.printSchema()
     show("Per month", stored, 12)
@@ -177,7 +177,7 @@ def arguments() -> argparse.ArgumentParser:
     sub.add_argument("--scale-dew-point", action="store_true")
     sub = job("weather-monthly", weather_monthly)
     sub.add_argument("base", help="output path without its ending")
-    sub.add_argument("--keep-invalid", action="store_true")
+    sub.add_argument("--valid-only", action="store_true", help="leave out other temperatures")
     sub.add_argument("--low", type=float, default=weather.PLAUSIBLE_CELSIUS[0])
     sub.add_argument("--high", type=float, default=weather.PLAUSIBLE_CELSIUS[1])
     sub.add_argument("--spread", action="store_true", help="standard deviation per month")

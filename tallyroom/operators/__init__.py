@@ -20,7 +20,7 @@ from tallyroom.operators.catalog import (
     use_database,
 )
 from tallyroom.operators.shape import conform, parse_fixed_width, swap_columns
-from tallyroom.operators.topk import top_n
+from tallyroom.operators.topk import in_order, sort_all, top_n
 
 __all__ = [
     "catalog_columns",
@@ -31,12 +31,14 @@ __all__ = [
     "drop_view",
     "external_table",
     "frame_report",
+    "in_order",
     "mean_by",
     "min_max",
     "parse_fixed_width",
     "quote_name",
     "register_view",
     "row_count",
+    "sort_all",
     "sql_view",
     "stddev_by",
     "swap_columns",

@@ -1,23 +1,35 @@
-"""Deterministic top-n."""
+"""Order: deterministic top-n, and sorts of whole frames."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+Order = Sequence[Column | str]
 
-def top_n(
-    df: DataFrame,
-    n: int | None,
-    order: Sequence[Column | str],
-    tiebreak: Sequence[Column | str] = (),
-) -> DataFrame:
+
+def top_n(df: DataFrame, n: int, order: Order, tiebreak: Order = ()) -> DataFrame:
     """The first `n` rows in `order`, equal rows told apart by `tiebreak`.
 
-    Spark runs it as a bounded heap per task and merges the heaps, with no shuffle of the input.
-    With `n=None` all rows come back, sorted across partitions by sampled ranges; the tie-break
-    then also lets a value that fills many rows spread over several of them.
+    Spark keeps a bounded heap per task and merges the heaps; the input is not shuffled.
     """
-    ranked = df.orderBy(*order, *tiebreak)
-    return ranked if n is None else ranked.limit(n)
+    return df.orderBy(*order, *tiebreak).limit(n)
+
+
+def sort_all(df: DataFrame, order: Order, tiebreak: Order = ()) -> DataFrame:
+    """All rows in order, over many partitions.
+
+    Spark sorts by ranges of the sort key, and rows with the same key cannot be parted. A row
+    number as the last key parts them, so that one value held by a third of the rows does not end
+    up in one task.
+    """
+    number = "sort_all_row"
+    numbered = df.withColumn(number, F.monotonically_increasing_id())
+    return numbered.orderBy(*order, *tiebreak, number).drop(number)
+
+
+def in_order(df: DataFrame, n: int | None, order: Order, tiebreak: Order = ()) -> DataFrame:
+    """`top_n`, or `sort_all` where no `n` is given."""
+    return sort_all(df, order, tiebreak) if n is None else top_n(df, n, order, tiebreak)

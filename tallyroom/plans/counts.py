@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from tallyroom.operators import count_by, frame_report, top_n
+from tallyroom.operators import count_by, frame_report, in_order
 from tallyroom.sources import read_csv
 
 # Columns of the bike-trip file, in file order.
@@ -32,7 +32,7 @@ def candy_counts(
     """Entries per state and colour, most frequent first; `how="sum"` adds the counts up."""
     where = None if state is None else F.col("State") == state
     totals = count_by(candy, ["State", "Color"], "Count", how, name="Total", where=where)
-    return top_n(totals, n, [F.desc("Total")], tiebreak=["State", "Color"])
+    return in_order(totals, n, [F.desc("Total")], tiebreak=["State", "Color"])
 
 
 def schema_trio(
@@ -58,4 +58,4 @@ def count_for(
 ) -> DataFrame:
     """Rows per `key` among those with one value, most frequent first."""
     counts = count_by(df, [key], where=F.col(column) == value)
-    return top_n(counts, n, [F.desc("count")], tiebreak=[counts.columns[0]])
+    return in_order(counts, n, [F.desc("count")], tiebreak=[counts.columns[0]])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyroom.operators import mean_by, min_max, row_count, top_n
+from tallyroom.operators import in_order, mean_by, min_max, row_count, top_n
 
 # The record of the device file.
 DEVICE_COLUMNS = (
@@ -47,7 +47,7 @@ def high_co2_by_country(devices: DataFrame, threshold: int = 1400, n: int | None
     means = mean_by(
         devices, ["cn"], {"avg_c02": "c02_level"}, where=F.col("c02_level") > threshold
     )
-    return top_n(means, n, [F.desc("avg_c02")], tiebreak=["cn"])
+    return in_order(means, n, [F.desc("avg_c02")], tiebreak=["cn"])
 
 
 def measure_ranges(devices: DataFrame, measures: Mapping[str, str] = MEASURES) -> DataFrame:
@@ -62,4 +62,4 @@ def country_means(devices: DataFrame, n: int | None = 5) -> DataFrame:
         "avg_humidity": "humidity",
     }
     means = mean_by(devices, ["cca2", "cn"], names)
-    return top_n(means, n, [F.desc(name) for name in names], tiebreak=["cca2", "cn"])
+    return in_order(means, n, [F.desc(name) for name in names], tiebreak=["cca2", "cn"])

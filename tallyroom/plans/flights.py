@@ -16,7 +16,14 @@ from tallyroom.functions import (
     parse_date,
     sql_text,
 )
-from tallyroom.operators import drop_view, quote_name, register_view, sql_view, swap_columns, top_n
+from tallyroom.operators import (
+    drop_view,
+    in_order,
+    quote_name,
+    register_view,
+    sql_view,
+    swap_columns,
+)
 from tallyroom.sinks import write_json, write_parquet
 from tallyroom.sources import read_parquet
 
@@ -56,7 +63,13 @@ def route_delays(
         & (F.col("destination") == destination)
     )
     chosen = late.select("date", "delay", "origin", "destination")
-    return top_n(chosen, n, [F.desc("delay")], tiebreak=["date"])
+    return in_order(chosen, n, [F.desc("delay")], tiebreak=["date"])
+
+
+def _ending(n: int | None) -> str:
+    """What follows ORDER BY: a limit or, for all rows, a row number that parts equal ones (see
+    `sort_all`)."""
+    return ", monotonically_increasing_id()" if n is None else f" LIMIT {int(n)}"
 
 
 def route_delays_sql(
@@ -68,14 +81,12 @@ def route_delays_sql(
     n: int | None = None,
 ) -> DataFrame:
     """`route_delays` as SQL over a registered view; upper-case names match all the same."""
-    bound = "" if n is None else f"LIMIT {int(n)}"
     return spark.sql(
         f"""
         SELECT date, delay, origin, destination
         FROM {quote_name(view)}
         WHERE delay > :over AND ORIGIN = :origin AND DESTINATION = :destination
-        ORDER BY delay DESC, date
-        {bound}
+        ORDER BY delay DESC, date{_ending(n)}
         """,
         args={"over": over, "origin": origin, "destination": destination},
     )
@@ -91,7 +102,7 @@ def delay_labels(
     """Every flight with a label for its delay, by origin and latest first."""
     label = label_bands(F.col("delay"), bands, default, missing)
     labelled = flights.select("delay", "origin", "destination", label.alias("Flight_Delays"))
-    return top_n(labelled, n, ["origin", F.desc("delay")], tiebreak=["destination"])
+    return in_order(labelled, n, ["origin", F.desc("delay")], tiebreak=["destination"])
 
 
 def delay_labels_sql(
@@ -103,14 +114,12 @@ def delay_labels_sql(
     n: int | None = None,
 ) -> DataFrame:
     """`delay_labels` as SQL over a registered view."""
-    bound = "" if n is None else f"LIMIT {int(n)}"
     return spark.sql(
         f"""
         SELECT delay, origin, destination,
                {bands_sql("delay", bands, default, missing)} AS Flight_Delays
         FROM {quote_name(view)}
-        ORDER BY origin, delay DESC, destination
-        {bound}
+        ORDER BY origin, delay DESC, destination{_ending(n)}
         """
     )
 

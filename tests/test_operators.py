@@ -72,8 +72,25 @@ def test_frame_report(candy):
 def test_top_n_breaks_ties_and_keeps_nulls_last(candy):
     best = op.top_n(candy, 2, [F.desc("Count")], ["State", "Color"])
     assert rows(best) == [("CA", "Blue", 7), ("CA", "Red", 5)]
-    whole = op.top_n(candy, None, [F.desc("Count")], ["State", "Color"])
+    whole = op.in_order(candy, None, [F.desc("Count")], ["State", "Color"])
     assert [row[2] for row in rows(whole)] == [7, 5, 2, 1, None]
+    assert rows(op.in_order(candy, 2, [F.desc("Count")], ["State", "Color"])) == rows(best)
+
+
+def test_sort_all_parts_a_value_of_a_third_of_the_rows(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(30_000).select(
+            F.when(F.col("id") < 10_000, -1).otherwise(F.col("id")).alias("k")
+        )
+        whole = op.sort_all(df, ["k"])
+        assert whole.columns == ["k"]
+        sizes = [r[1] for r in whole.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 30_000 and max(sizes) < 6_000
+        keys = [r.k for r in whole.collect()]
+        assert keys == sorted(keys)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
 
 
 RECORD = StructType([StructField("id", LongType()), StructField("name", StringType())])
