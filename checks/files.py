@@ -11,7 +11,7 @@ from pyspark.sql.types import (
 )
 
 from checks.registry import check, table
-from tallyroom.functions import sql_text
+from tallyroom.functions import Band, bands_sql, sql_text
 from tallyroom.operators import (
     catalog_columns,
     conform,
@@ -21,7 +21,7 @@ from tallyroom.operators import (
     external_table,
     register_view,
 )
-from tallyroom.plans import counts, flights, incidents
+from tallyroom.plans import counts, incidents
 from tallyroom.sinks import write_csv, write_json, write_parquet, write_single_csv
 from tallyroom.sources import read_csv, read_json, read_parquet
 from tallyroom.staging import scratch_path, settle
@@ -185,19 +185,19 @@ def listed_columns(spark, folder):
 
 @check(
     """
-    SELECT o_orderkey, CASE WHEN o_totalprice > 300000 THEN 'Very Long Delays'
-                            WHEN o_totalprice > 120000 AND o_totalprice < 300000 THEN 'Long Delays'
-                            ELSE 'Early' END AS label
+    SELECT o_orderkey, CASE WHEN o_totalprice > 300000 THEN 'dear'
+                            WHEN o_totalprice > 120000 AND o_totalprice < 300000 THEN 'middling'
+                            ELSE 'cheap' END AS label
     FROM orders
     """
 )
 def label_sql(spark, folder):
     register_view(table(spark, folder, "orders"), "tallyroom_orders_labelled")
     bands = [
-        flights.Band("Very Long Delays", above=300_000),
-        flights.Band("Long Delays", above=120_000, below=300_000),
+        Band("dear", above=300_000),
+        Band("middling", above=120_000, below=300_000),
     ]
-    case = flights.bands_sql("o_totalprice", bands, "Early")
+    case = bands_sql("o_totalprice", bands, "cheap")
     return spark.sql(f"SELECT o_orderkey, {case} AS label FROM tallyroom_orders_labelled")
 
 

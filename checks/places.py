@@ -75,10 +75,8 @@ def calls(spark, folder):
     """
 )
 def fire_times(spark, folder):
-    times = ["IncidentDate", "OnWatchDate", "AvailableDtTS"]
-    return calls(spark, folder).select(
-        "CallNumber", *[F.col(name).cast("timestamp_ntz").alias(name) for name in times]
-    )
+    timed = incidents.with_times(raw_calls(spark, folder), local=True)
+    return timed.select("CallNumber", "IncidentDate", "OnWatchDate", "AvailableDtTS")
 
 
 @check(

@@ -10,7 +10,7 @@ from tallyroom.functions import (
     SLASHED_DAY,
     leap_safe_date,
     parse_date,
-    parse_timestamp,
+    parse_local_timestamp,
 )
 from tallyroom.plans import weather
 from tallyroom.sources import read_csv, read_lines
@@ -166,8 +166,8 @@ def timestamp_patterns(spark, folder):
 
     return table(spark, folder, "events").select(
         "event_id",
-        parse_timestamp(text(SLASHED_DAY), SLASHED_DAY).cast("timestamp_ntz").alias("day_ts"),
-        parse_timestamp(text(CLOCK_12H), CLOCK_12H).cast("timestamp_ntz").alias("clock_ts"),
+        parse_local_timestamp(text(SLASHED_DAY), SLASHED_DAY).alias("day_ts"),
+        parse_local_timestamp(text(CLOCK_12H), CLOCK_12H).alias("clock_ts"),
         parse_date(text(COMPACT_DAY), COMPACT_DAY).alias("compact_day"),
     )
 

@@ -37,11 +37,12 @@ LABELS_SQL = (
     FLIGHTS_SQL
     + """
     SELECT delay, origin, destination,
-           CASE WHEN delay > 360 THEN 'Very Long Delays'
-                WHEN delay > 120 AND delay < 360 THEN 'Long Delays'
-                WHEN delay > 60 AND delay < 120 THEN 'Short Delays'
-                WHEN delay > 0 AND delay < 60 THEN 'Tolerable Delays'
-                WHEN delay = 0 THEN 'No Delays' ELSE 'Early' END AS "Flight_Delays"
+           CASE WHEN delay = 0 THEN 'No Delays'
+                WHEN delay > 0 AND delay NOT IN (60, 120, 360) THEN
+                    list_extract(['Tolerable Delays', 'Short Delays', 'Long Delays',
+                                  'Very Long Delays'],
+                                 1 + (delay > 60)::int + (delay > 120)::int + (delay > 360)::int)
+                ELSE 'Early' END AS "Flight_Delays"
     FROM flights ORDER BY origin, delay DESC NULLS LAST, destination LIMIT 200
     """
 )

@@ -8,6 +8,7 @@ from tallyroom.functions.dates import (
     in_year,
     leap_safe_date,
     parse_date,
+    parse_local_timestamp,
     parse_timestamp,
 )
 from tallyroom.functions.fields import Field, cut_field
@@ -34,6 +35,7 @@ __all__ = [
     "label_bands",
     "leap_safe_date",
     "parse_date",
+    "parse_local_timestamp",
     "parse_timestamp",
     "sql_text",
     "tenure_status",

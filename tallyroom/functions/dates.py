@@ -15,10 +15,17 @@ MONTH_DAY_TIME = "MMddHHmm"
 
 
 def parse_timestamp(text: Column, pattern: str) -> Column:
-    """Timestamp in the session time zone; cast to `timestamp_ntz` for a zone-free value."""
+    """Timestamp in the session time zone. A time that the zone skips, when its clocks go forward,
+    comes out an hour later."""
     return F.try_to_timestamp(text, F.lit(pattern))
 
 
+def parse_local_timestamp(text: Column, pattern: str) -> Column:
+    """Timestamp without a time zone, which keeps every time as written; parses twice."""
+    valid = parse_timestamp(text, pattern).isNotNull()
+    return F.when(valid, F.to_timestamp_ntz(text, F.lit(pattern)))
+
+
 def parse_date(text: Column, pattern: str) -> Column:
     """Date. Pattern parts that are absent take 1970-01-01, so a year-less 29 February is null."""
     return F.try_to_date(text, pattern)

@@ -24,7 +24,7 @@ from tallyroom.operators import (
     sql_view,
     swap_columns,
 )
-from tallyroom.sinks import write_json, write_parquet
+from tallyroom.sinks import write_json, write_parquet, write_together
 from tallyroom.sources import read_parquet
 
 # Columns of the flight file, in file order.
@@ -181,8 +181,11 @@ def export_copies(flights: DataFrame, base: str) -> dict[str, str]:
     }
     write_parquet(flights, paths["parquet"])
     stored = read_parquet(flights.sparkSession, paths["parquet"])
-    write_json(stored, paths["json"])
-    write_json(stored, paths["json_lz4"], compression="lz4")
+    write_together(
+        flights.sparkSession,
+        lambda: write_json(stored, paths["json"]),
+        lambda: write_json(stored, paths["json_lz4"], compression="lz4"),
+    )
     return paths
 
 

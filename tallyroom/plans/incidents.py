@@ -9,7 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyroom.functions import CLOCK_12H, SLASHED_DAY, in_year, parse_timestamp
+from tallyroom.functions import (
+    CLOCK_12H,
+    SLASHED_DAY,
+    in_year,
+    parse_local_timestamp,
+    parse_timestamp,
+)
 from tallyroom.operators import count_by, drop_table, mean_by, swap_columns, top_n
 from tallyroom.sinks import save_table, write_parquet
 from tallyroom.sources import read_parquet
@@ -26,14 +32,18 @@ FIRE_COLUMNS = (
 )
 
 
-def with_times(calls: DataFrame) -> DataFrame:
-    """Timestamps IncidentDate, OnWatchDate and AvailableDtTS in place of their text columns."""
+def with_times(calls: DataFrame, local: bool = False) -> DataFrame:
+    """Timestamps IncidentDate, OnWatchDate and AvailableDtTS in place of their text columns.
+
+    They are in the session time zone or, with `local`, without one.
+    """
+    parse = parse_local_timestamp if local else parse_timestamp
     return swap_columns(
         calls,
         {
-            "IncidentDate": parse_timestamp(F.col("CallDate"), SLASHED_DAY),
-            "OnWatchDate": parse_timestamp(F.col("WatchDate"), SLASHED_DAY),
-            "AvailableDtTS": parse_timestamp(F.col("AvailableDtTm"), CLOCK_12H),
+            "IncidentDate": parse(F.col("CallDate"), SLASHED_DAY),
+            "OnWatchDate": parse(F.col("WatchDate"), SLASHED_DAY),
+            "AvailableDtTS": parse(F.col("AvailableDtTm"), CLOCK_12H),
         },
         drop=["CallDate", "WatchDate", "AvailableDtTm"],
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyroom.functions import Field
 from tallyroom.operators import mean_by, parse_fixed_width, stddev_by
-from tallyroom.sinks import write_csv, write_parquet, write_single_csv
+from tallyroom.sinks import write_csv, write_parquet, write_single_csv, write_together
 from tallyroom.sources import read_parquet
 
 # Name, start, length, type and divisor of the columns of a weather line.
@@ -58,11 +58,15 @@ def export_weather(
 
     The lines are parsed once, into Parquet; the CSVs are made from there.
     """
+    spark = lines.sparkSession
     write_parquet(parse_weather(lines, fields), f"{base}.parquet")
-    stored = read_parquet(lines.sparkSession, f"{base}.parquet")
-    write_csv(stored, f"{base}-uncompressed.csv")
-    write_csv(stored, f"{base}-compressed.csv", compression="lz4")
-    write_single_csv(stored, f"{base}.csv", rows_per_file=single_file_rows)
+    stored = read_parquet(spark, f"{base}.parquet")
+    write_together(
+        spark,
+        lambda: write_single_csv(stored, f"{base}.csv", rows_per_file=single_file_rows),
+        lambda: write_csv(stored, f"{base}-uncompressed.csv"),
+        lambda: write_csv(stored, f"{base}-compressed.csv", compression="lz4"),
+    )
     return stored
 
 

@@ -3,6 +3,7 @@
 from tallyroom.sinks.files import write_csv, write_json, write_parquet, write_single_csv
 from tallyroom.sinks.remote import write_jdbc
 from tallyroom.sinks.tables import save_table
+from tallyroom.sinks.together import write_together
 
 __all__ = [
     "save_table",
@@ -11,4 +12,5 @@ __all__ = [
     "write_json",
     "write_parquet",
     "write_single_csv",
+    "write_together",
 ]

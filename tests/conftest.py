@@ -18,7 +18,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("CHECK_TZ", "UTC"))
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .config("spark.driver.memory", "8g")
         .config("spark.driver.extraJavaOptions", f"-Dderby.stream.error.file={scratch}/derby.log")

@@ -19,6 +19,7 @@ from tallyroom.functions import (
     label_bands,
     leap_safe_date,
     parse_date,
+    parse_local_timestamp,
     parse_timestamp,
     sql_text,
     tenure_status,
@@ -48,6 +49,19 @@ def test_timestamps_parse_or_turn_null(spark, either_ansi):
     assert values(parsed) == [moment, None, None, None, None]
 
 
+def test_local_timestamps_keep_hours_that_a_zone_skips(spark, either_ansi):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        df = texts(spark, "10/15/1995", "13/45/1995", None)
+        local = df.select(parse_local_timestamp(F.col("t"), SLASHED_DAY))
+        assert values(local) == [datetime.datetime(1995, 10, 15), None, None]
+        zoned = df.select(parse_timestamp(F.col("t"), SLASHED_DAY).cast("timestamp_ntz"))
+        assert values(zoned)[0] == datetime.datetime(1995, 10, 15, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_twelve_hour_clock(spark, either_ansi):
     df = texts(spark, "01/02/2018 12:05:06 AM", "01/02/2018 12:05:06 PM", "01/02/2018 13:00:00 PM")
     parsed = df.select(parse_timestamp(F.col("t"), CLOCK_12H).cast("timestamp_ntz"))
