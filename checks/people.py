@@ -72,6 +72,8 @@ def leavers_frame(spark, folder):
 def remote_of(spark):
     url = spark.conf.get("spark.tallyroom.jdbc.url", None)
     if url is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.tallyroom.jdbc.url to a database that executors can reach")
         return Remote(f"jdbc:derby:memory:tallyroom{uuid.uuid4().hex};create=true")
     driver, user, password = (
         spark.conf.get(f"spark.tallyroom.jdbc.{key}", None)

@@ -83,8 +83,10 @@ def flight(spark: SparkSession, args: argparse.Namespace) -> None:
     show("Delay labels, DataFrame", flights.delay_labels(stored, n=10))
     create_database(spark, args.database)
     table = f"{args.database}.us_delay_flights_tbl"
-    external_table(spark, table, flights.FLIGHT_COLUMNS, os.path.abspath(args.path)
-                   if "://" not in args.path else args.path)
+    # The catalog reads a relative path from the place of the database. Name a full URI for any
+    # other file system than this machine's.
+    path = args.path if "://" in args.path else os.path.abspath(args.path)
+    external_table(spark, table, flights.FLIGHT_COLUMNS, path)
     period = flights.period_view(spark, table, f"us_origin_airport_{args.origin}_tmp_view",
                                  args.origin)
     show(f"Flights from {args.origin}, 1 to 15 March", period.orderBy("delay", ascending=False), 5)
@@ -121,7 +123,8 @@ def personnel(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def weather_parse(spark: SparkSession, args: argparse.Namespace) -> None:
     fields = weather.scaled_dew_point() if args.scale_dew_point else weather.WEATHER_FIELDS
-    stored = weather.export_weather(read_lines(spark, args.path), args.base, fields)
+    lines = read_lines(spark, args.path)
+    stored = weather.export_weather(lines, args.base, fields, args.single_file_rows)
     stored.printSchema()
     show("Weather", stored, 5)
 
@@ -175,6 +178,8 @@ def arguments() -> argparse.ArgumentParser:
     sub = job("weather-parse", weather_parse)
     sub.add_argument("base", help="output path without its ending, such as s3a://bucket/60")
     sub.add_argument("--scale-dew-point", action="store_true")
+    sub.add_argument("--single-file-rows", type=int, default=5_000_000,
+                     help="rows up to which the last CSV is one file")
     sub = job("weather-monthly", weather_monthly)
     sub.add_argument("base", help="output path without its ending")
     sub.add_argument("--valid-only", action="store_true", help="leave out other temperatures")

@@ -36,7 +36,8 @@ def _may_be_number(text: Column, field: Field) -> Column:
     """False for texts that plainly are none, as a failing cast costs many times a comparison:
     blank ones and, for whole numbers, those that start with a letter."""
     filled = (text != "") & (text != " " * field.length)
-    return filled & (text < ":") if field.kind == "int" else filled
+    # ":" follows the digits in ASCII. Casts trim control characters, of which DEL is the last.
+    return filled & ((text < ":") | (text >= "\x7f")) if field.kind == "int" else filled
 
 
 def cut_field(line: Column, field: Field) -> Column:

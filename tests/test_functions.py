@@ -1,6 +1,7 @@
 """Column expressions on small frames: malformed text, bounds, nulls, leap days."""
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -167,6 +168,20 @@ def test_cut_field_is_a_cast_of_the_substring(spark, kind, either_ansi):
         assert values(got) == values(wanted)
 
 
+@pytest.mark.parametrize("kind", ["int", "float"])
+def test_cut_field_on_random_text(spark, kind):
+    draw = random.Random(7)
+    signs = "0123456789" * 3 + "+-. \t\x00\x7f:AeEfdNnaIity/é日\u00a0"
+    lines = ["".join(draw.choices(signs, k=draw.randint(0, 9))) for _ in range(20_000)]
+    df = texts(spark, *lines)
+    for start, length in ((1, 1), (2, 3), (4, 6)):
+        field = Field("got", start, length, kind)
+        wanted = F.col("t").substr(start, length).try_cast(kind).alias("wanted")
+        both = df.select("t", cut_field(F.col("t"), field), wanted)
+        assert both.where(~F.col("got").eqNullSafe(F.col("wanted"))).limit(5).collect() == []
+        assert both.where("wanted IS NOT NULL").count() > 500
+
+
 def test_cut_field_counts_characters(spark):
     df = texts(spark, "éaéb123", "eaeb123", "日本語x9", None)
     assert values(df.select(cut_field(F.col("t"), Field("x", 3, 2)))) == ["éb", "eb", "語x", None]
