@@ -16,6 +16,7 @@ from tallyroom.plans import hr
 from tallyroom.sinks import write_jdbc
 from tallyroom.sources import (
     Remote,
+    Split,
     attach_catalog,
     even_predicates,
     read_csv,
@@ -101,7 +102,8 @@ def remote_customers(spark, folder):
 
 @check(CUSTOMER_SQL)
 def jdbc_table(spark, folder):
-    return read_jdbc(spark, remote_customers(spark, folder), "customer_copy")
+    by_nation = Split("c_nationkey", "0", "25", 5)
+    return read_jdbc(spark, remote_customers(spark, folder), "customer_copy", split=by_nation)
 
 
 @check(CUSTOMER_SQL + " WHERE c_mktsegment = 'MACHINERY'")
@@ -109,7 +111,10 @@ def jdbc_query(spark, folder):
     remote = remote_customers(spark, folder)
     segment = remote.quote("c_mktsegment")
     return read_jdbc(
-        spark, remote, query=f"SELECT * FROM customer_copy WHERE {segment} = 'MACHINERY'"
+        spark,
+        remote,
+        query=f"SELECT * FROM customer_copy WHERE {segment} = 'MACHINERY'",
+        split=split_over(spark, remote, "customer_copy", "c_custkey", 4),
     )
 
 
@@ -136,7 +141,10 @@ def jdbc_even_parts(spark, folder):
 def jdbc_catalog_top_n(spark, folder):
     catalog = f"tallyroom_{uuid.uuid4().hex}"
     attach_catalog(spark, catalog, remote_customers(spark, folder))
-    customers = spark.table(f"{catalog}.APP.CUSTOMER_COPY")
+    # Derby keeps unquoted names in capitals, in the schema APP.
+    schema = spark.conf.get("spark.tallyroom.jdbc.schema", "APP")
+    name = "CUSTOMER_COPY" if schema == "APP" else "customer_copy"
+    customers = spark.table(f"{catalog}.{schema}.{name}")
     chosen = customers.select("c_custkey", "c_name", "c_acctbal")
     return top_n(chosen, 100, [F.desc("c_acctbal")], ["c_custkey"])
 
@@ -175,7 +183,10 @@ def jdbc_leavers(spark, folder):
         F.col("o_orderdate").cast("date").alias("to_date"),
     )
     write_jdbc(titles, remote, "titles", column_types="title VARCHAR(32)")
-    holders = hr.with_status(hr.titles_of(spark, remote, "1-URGENT"), as_of="1998-01-01")
+    split = split_over(spark, remote, "titles", "emp_no", 4)
+    holders = hr.with_status(
+        hr.titles_of(spark, remote, "1-URGENT", split=split), as_of="1998-01-01"
+    )
     names = {
         "table": checks_table(spark, "left_table_remote"),
         "view": "tallyroom_left_remote",

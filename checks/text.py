@@ -11,6 +11,7 @@ from tallyroom.functions import (
     leap_safe_date,
     parse_date,
     parse_local_timestamp,
+    parse_timestamp,
 )
 from tallyroom.plans import weather
 from tallyroom.sources import read_csv, read_lines
@@ -167,7 +168,7 @@ def timestamp_patterns(spark, folder):
     return table(spark, folder, "events").select(
         "event_id",
         parse_local_timestamp(text(SLASHED_DAY), SLASHED_DAY).alias("day_ts"),
-        parse_local_timestamp(text(CLOCK_12H), CLOCK_12H).alias("clock_ts"),
+        parse_timestamp(text(CLOCK_12H), CLOCK_12H).cast("timestamp_ntz").alias("clock_ts"),
         parse_date(text(COMPACT_DAY), COMPACT_DAY).alias("compact_day"),
     )
 

@@ -110,7 +110,9 @@ def personnel(spark: SparkSession, args: argparse.Namespace) -> None:
     show("Employees", frame_report(whole("employees")))
     best = hr.publish_top_salaries(whole("salaries"), remote, args.out, args.top)
     show("Highest salaries", best)
-    titles = settle(hr.with_status(hr.titles_of(spark, remote, args.title)), "titles")
+    split = split_over(spark, remote, "titles", "emp_no", args.parts)
+    holders = hr.titles_of(spark, remote, args.title, split=split)
+    titles = settle(hr.with_status(holders), "titles")
     show(f"{args.title}: status", hr.status_counts(titles))
     published = hr.publish_leavers(hr.leavers(titles), remote)
     for name in ("aces", *hr.LEAVER_NAMES.values()):

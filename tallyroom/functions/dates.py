@@ -13,6 +13,8 @@ CLOCK_12H = "MM/dd/yyyy hh:mm:ss a"
 COMPACT_DAY = "yyyyMMdd"
 MONTH_DAY_TIME = "MMddHHmm"
 
+TIME_LETTERS = set("aHhKkmsS")
+
 
 def parse_timestamp(text: Column, pattern: str) -> Column:
     """Timestamp in the session time zone. A time that the zone skips, when its clocks go forward,
@@ -21,7 +23,10 @@ def parse_timestamp(text: Column, pattern: str) -> Column:
 
 
 def parse_local_timestamp(text: Column, pattern: str) -> Column:
-    """Timestamp without a time zone, which keeps every time as written; parses twice."""
+    """Timestamp without a time zone, which keeps every time as written. A pattern with a time of
+    day is parsed twice: once to see whether it can be, once for its value."""
+    if not TIME_LETTERS & set(pattern):
+        return parse_date(text, pattern).cast("timestamp_ntz")
     valid = parse_timestamp(text, pattern).isNotNull()
     return F.when(valid, F.to_timestamp_ntz(text, F.lit(pattern)))
 
