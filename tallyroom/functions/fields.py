@@ -26,10 +26,11 @@ class Field(NamedTuple):
 
 def _cut_text(line: Column, field: Field) -> Column:
     """The field's characters. In a line of ASCII alone they are bytes, and Spark finds a range of
-    bytes directly, where it would count through the characters before each field."""
-    is_ascii = F.octet_length(line) == F.length(line)
-    by_bytes = F.substring(line.cast("binary"), field.start, field.length).cast("string")
-    return F.when(is_ascii, by_bytes).otherwise(line.substr(field.start, field.length))
+    bytes directly, where it would count through the characters before each field. The bytes are
+    the same expression for all fields of a line, so they are made once."""
+    ascii_bytes = F.when(F.octet_length(line) == F.length(line), line.cast("binary"))
+    by_bytes = F.substring(ascii_bytes, field.start, field.length).cast("string")
+    return F.coalesce(by_bytes, line.substr(field.start, field.length))
 
 
 def _may_be_number(text: Column, field: Field) -> Column:

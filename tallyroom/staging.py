@@ -19,7 +19,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/tallyroom/{label}-{uuid.uuid4().hex}"

@@ -163,6 +163,18 @@ def test_tables(spark, places, tmp_path):
         op.drop_table(spark, f"tables_db.{name}")
 
 
+def test_writes_together_all_finish_before_an_error(spark, tmp_path):
+    done = str(tmp_path / "done")
+    sinks.write_parquet(spark.range(1), str(tmp_path / "taken"))
+    with pytest.raises(AnalysisException):
+        sinks.write_together(
+            spark,
+            lambda: sinks.write_parquet(spark.range(1), str(tmp_path / "taken"), mode="error"),
+            lambda: sinks.write_parquet(spark.range(100_000), done),
+        )
+    assert sources.read_parquet(spark, done).count() == 100_000
+
+
 def test_settle_reads_the_copy(spark, places):
     kept = settle(places)
     assert same_rows(kept, places) and kept.schema == places.schema
