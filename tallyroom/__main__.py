@@ -37,6 +37,10 @@ def show(title: str, df: DataFrame, n: int = 20) -> None:
     df.show(n, truncate=False)
 
 
+def table_path(args: argparse.Namespace, name: str) -> str | None:
+    return None if args.table_folder is None else f"{args.table_folder.rstrip('/')}/{name}"
+
+
 def candy(spark: SparkSession, args: argparse.Namespace) -> None:
     rows = settle(read_csv(spark, args.path).select("State", "Color", "Count"), "candy")
     totals = counts.candy_counts(rows, how=args.how)
@@ -60,7 +64,8 @@ def fire(spark: SparkSession, args: argparse.Namespace) -> None:
     show("Slowest responses", incidents.slowest_areas(calls, args.year))
     show("Busiest week", incidents.busiest_week(calls, args.year))
     show("Calls per neighbourhood and zip code", incidents.area_zip_counts(calls))
-    show("Read back from the table", incidents.roundtrip_table(calls, args.table), 5)
+    table = incidents.roundtrip_table(calls, args.table, table_path(args, args.table))
+    show("Read back from the table", table, 5)
 
 
 def iot(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -114,11 +119,13 @@ def personnel(spark: SparkSession, args: argparse.Namespace) -> None:
     holders = hr.titles_of(spark, remote, args.title, split=split)
     titles = settle(hr.with_status(holders), "titles")
     show(f"{args.title}: status", hr.status_counts(titles))
-    published = hr.publish_leavers(hr.leavers(titles), remote)
-    for name in ("aces", *hr.LEAVER_NAMES.values()):
+    names = hr.LEAVER_NAMES
+    places = {kind: table_path(args, names[kind]) for kind in ("table", "frame")}
+    published = hr.publish_leavers(hr.leavers(titles), remote, names, paths=places)
+    for name in ("aces", *names.values()):
         show(f"Remote table {name}", frame_report(read_jdbc(spark, remote, name)))
     try:
-        write_jdbc(published["table"], remote, hr.LEAVER_NAMES["frame"], mode="errorifexists")
+        write_jdbc(published["table"], remote, names["frame"], mode="errorifexists")
     except AnalysisException as error:
         print(f"Refused, as it should be: {error}")
 
@@ -142,6 +149,10 @@ def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tallyroom", description=__doc__)
     parser.add_argument("--hive", action="store_true", help="keep tables between runs")
     parser.add_argument("--s3-endpoint", help="object store to use for s3a:// paths")
+    parser.add_argument(
+        "--table-folder",
+        help="where tables lie; without --hive a managed one is in the way of the next run",
+    )
     jobs = parser.add_subparsers(required=True, metavar="job")
 
     def job(name: str, run, path: str | None = "path") -> argparse.ArgumentParser:

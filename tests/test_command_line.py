@@ -47,6 +47,10 @@ def test_trips(spark, tmp_path, capsys):
 
 def test_fire(spark, tmp_path, capsys):
     source = csv(tmp_path / "f.csv", incidents.FIRE_COLUMNS, CALLS)
+    for _ in range(2):
+        main(["--table-folder", str(tmp_path / "tables"), "fire", source,
+              "--out", str(tmp_path / "typed"), "--table", "cli_fire"])
+        spark.sql("DROP TABLE cli_fire")
     main(["fire", source, "--out", str(tmp_path / "typed"), "--table", "cli_fire"])
     out = capsys.readouterr().out
     assert "|10   |2    |" in out and "Chinatown" in out
