@@ -7,7 +7,7 @@ from checks.registry import check, table
 from tallyroom.functions import Band, close_bands, label_bands
 from tallyroom.operators import catalog_columns, external_table
 from tallyroom.plans import flights
-from tallyroom.sinks import write_csv
+from tallyroom.sinks import write_csv, write_parquet
 from tallyroom.sources import read_csv, read_json, read_parquet
 from tallyroom.staging import scratch_path
 
@@ -97,7 +97,7 @@ def flight_route(spark, folder):
     return flights.route_delays(delays(spark, folder))
 
 
-@check(ROUTE_SQL, name="route_filter_sql")
+@check(ROUTE_SQL)
 def route_filter_sql(spark, folder):
     view = flights.register_flights(delays(spark, folder), "tallyroom_route_flights")
     return flights.route_delays_sql(spark, view)
@@ -197,7 +197,7 @@ def flight_copy_json_lz4(spark, folder):
 )
 def flight_origin_rewrite(spark, folder):
     base = scratch_path(spark, "departuredelays")
-    flights.write_parquet(delays(spark, folder), f"{base}.parquet")
+    write_parquet(delays(spark, folder), f"{base}.parquet")
     return flights.filter_rewrite(spark, f"{base}.parquet", f"{base}-ord.parquet")
 
 
@@ -219,5 +219,5 @@ def flight_csv_to_parquet(spark, folder):
     path = scratch_path(spark, "flights-csv")
     write_csv(delays(spark, folder), path)
     base = scratch_path(spark, "flights")
-    flights.write_parquet(read_csv(spark, path, flights.FLIGHT_COLUMNS), base)
+    write_parquet(read_csv(spark, path, flights.FLIGHT_COLUMNS), base)
     return read_parquet(spark, base)

@@ -271,6 +271,7 @@ def test_copies_and_rewrite(spark, delays, tmp_path):
 
 # Weather
 
+# A raw line.
 SAMPLE = (
     "0088999999949101950123114005+42550-092400SAO  +026599999V02015859008850609649N012800599"
     "-00504-00785999999EQDN01 00000JPWTH 1QNNG11 1 00200K11 1 00018L11 1 00800N11 1 00000S11 1 "
