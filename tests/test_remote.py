@@ -180,3 +180,12 @@ def test_credentials_stay_out_of_repr():
     shown = repr(sources.Remote("jdbc:mysql://host/db", "driver", "worker", "secret"))
     assert "secret" not in shown and "worker" not in shown
     assert sources.Remote("jdbc:mysql://host/db").quote("a`b") == "`a``b`"
+
+
+def test_driver_options():
+    mysql = sources.Remote("jdbc:mysql://h/db", user="u", extra={"useCursorFetch": "false"})
+    assert mysql.options() == {
+        "useCursorFetch": "false", "rewriteBatchedStatements": "true",
+        "url": "jdbc:mysql://h/db", "user": "u",
+    }
+    assert sources.Remote("jdbc:derby:memory:x").options() == {"url": "jdbc:derby:memory:x"}
