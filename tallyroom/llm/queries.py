@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyroom.llm import mixing, sharding, urls
+from tallyroom.llm import embedding_dedup, html_text, mixing, sharding, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,17 +27,58 @@ def query(name: str, table: str, sql: str | None = None):
     return register
 
 
+TOPK_SQL = """
+    WITH v AS (
+        SELECT DISTINCT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+        WHERE q.vec_id % 50 = 0
+    ), r AS (
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM s
+    )
+    SELECT * FROM r WHERE rank <= 5
+"""
+
+
+@query("op1_pq_near_vectors", "embeddings")
+def op1(vectors: DataFrame) -> DataFrame:
+    return embedding_dedup.near_vectors(vectors, 0.98)
+
+
 @query("op3_temperature_mixing", "documents")
 def op3(docs: DataFrame) -> DataFrame:
     """Every source at least once, the smallest one at most four times as often as the largest."""
     return mixing.mixed_blocks(docs, target_entropy=0.98, repetition_limit=4.0)
 
 
+@query("op5_threshold_topk", "embeddings", TOPK_SQL)
+def op5(vectors: DataFrame) -> DataFrame:
+    return topk.top_k(vectors, 5, 50)
+
+
+@query("op6_template_removal", "pages")
+def op6(pages: DataFrame) -> DataFrame:
+    return html_text.extract_pages(pages)
+
+
 @query("op7_hypergeometric_sharding", "documents")
 def op7(docs: DataFrame) -> DataFrame:
     return sharding.shard_documents(docs, 24)
 
 
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return toxicity.score_documents(spark.read.parquet(f"{folder}/documents.parquet"), labels)
+
+
+QUERIES["op8_subword_toxicity"] = op8
+
 URL_SQL = """
     WITH parts AS (
         SELECT page_id, url,
