@@ -3,8 +3,8 @@
 A word is the mean of the vectors of its character n-grams and of itself, all hashed into one table, so a
 misspelling or an inflection never seen shares most of its vector with words that were. A bag is a run of
 WINDOW words; its mean goes through a linear softmax of two classes, and a text is as toxic as its worst
-bag, so a few words count as much in a long text as in a short one. The table and the softmax are
-trained together by Adam on the labelled sample.
+bag, so a few words count as much in a long text as in a short one. Table and softmax are trained
+together on the labelled sample.
 
 After training, a text needs only the softmax margin of every table row: one number per n-gram.
 """
@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from tallyroom.llm.frames import settle
 
-#: The training sample: at most so many documents of each label, none longer than TRAIN_CHARS.
-TRAIN_DOCS, TRAIN_CHARS = 3000, 20_000
-ROWS, DIM, WINDOW, STEPS = 1 << 17, 8, 16, 60
+#: The training sample: at most so many documents of label 0 and of label 1, none longer than TRAIN_CHARS.
+TRAIN_DOCS, TRAIN_CHARS = (4000, 2000), 20_000
+ROWS, DIM, WINDOW, STEPS = 1 << 17, 8, 8, 60
 GRAMS = (3, 4, 5)
 WORD = re.compile(r"\w+")
 CACHED_WORDS = 300_000
@@ -73,60 +73,59 @@ class Model:
 
 
 def train(texts: list[str], toxic: np.ndarray, steps: int = STEPS, seed: int = 11) -> Model:
-    """Fit table and softmax on whole texts; without texts of both labels the model knows only the base rate."""
-    if not len(texts) or toxic.min() == toxic.max():
-        return Model(np.zeros(ROWS), 4.0 if len(texts) and toxic.min() else -4.0)
-    vocabulary: dict[str, int] = {}
-    bags = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in tokens(t)], np.int64) for t in texts]
-    kept = [i for i, b in enumerate(bags) if len(b)]
-    bags, truth = [bags[i] for i in kept], toxic[kept].astype(float)
-    if not bags:
-        return Model(np.zeros(ROWS), -4.0)
+    """Fit table and softmax together on whole texts, all of them in every step.
+
+    The first steps average over all bags of a text, to find what the label goes with at all; the others
+    follow the worst bag. Steps are scaled by the largest slope, not one by one: an n-gram that one text
+    holds moves little, so the table does not learn single texts by heart. Without texts of both labels
+    the model knows only the one.
+    """
+    bags, vocabulary = [], {}
+    for text in texts:
+        bags.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in tokens(text)], np.int32))
+    kept = [i for i, bag in enumerate(bags) if len(bag)]
+    bags, truth = [bags[i] for i in kept], np.asarray(toxic)[kept].astype(float)
+    if not bags or truth.min() == truth.max():
+        return Model(np.zeros(ROWS), 4.0 if bags and truth.min() else -4.0)
     rows = [grams(w) for w in vocabulary]
     sizes = np.array([len(r) for r in rows])
-    flat, begins = np.concatenate(rows), np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(rows)), sizes)
-    words = np.concatenate(bags)
-    lengths = np.array([len(b) for b in bags])
-    ends = np.cumsum(lengths)
+    flat, begins = np.concatenate(rows).astype(np.int32), np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
+    words, lengths = np.concatenate(bags), np.array([len(b) for b in bags])
     spans = np.minimum(lengths, WINDOW)
     counts = lengths - spans + 1  # bags of each text
     first = np.cumsum(counts) - counts
-    place = np.arange(counts.sum()) - np.repeat(first, counts) + np.repeat(ends - lengths, counts)
-    width = np.repeat(spans, counts)
-    rng = np.random.default_rng(seed)
-    table, soft, bias = rng.uniform(-1 / DIM, 1 / DIM, (ROWS, DIM)), np.zeros((DIM, 2)), np.zeros(2)
-    soft[:, 1] = rng.normal(0, 0.1, DIM)
-    state = [(np.zeros_like(x), np.zeros_like(x)) for x in (table, soft, bias)]
-    rate = 0.15
+    text_of = np.repeat(np.arange(len(bags), dtype=np.int32), counts)
+    place = np.arange(counts.sum()) + np.repeat(np.cumsum(lengths) - lengths - first, counts)
+    width = np.repeat(spans, counts).astype(np.int32)
+    weight = np.where(truth > 0, 0.5 / truth.sum(), 0.5 / (1 - truth).sum())
+    rng, side = np.random.default_rng(seed), np.array([-1.0, 1.0])
+    table, soft, bias = rng.uniform(-1, 1, (ROWS, DIM)) / (100 * DIM), np.zeros((DIM, 2)), np.zeros(2)
+    soft[:, 1] = rng.normal(0, 1, DIM)
+    soft[:, 1] /= np.linalg.norm(soft[:, 1])
+    drift = [np.zeros_like(x) for x in (table, soft, bias)]
     for step in range(1, steps + 1):
-        vectors = np.add.reduceat(table[flat], begins) / sizes[:, None]
-        logits = vectors @ soft
-        margin = (logits[:, 1] - logits[:, 0])[words]
-        sums = np.concatenate(([0.0], np.cumsum(margin)))
+        toward = soft @ side
+        word = np.add.reduceat((table @ toward)[flat], begins) / sizes
+        sums = np.concatenate(([0.0], np.cumsum(word[words])))
         means = (sums[place + width] - sums[place]) / width
-        top = np.maximum.reduceat(means, first)
-        picked = np.flatnonzero(means == np.repeat(top, counts))
-        picked = picked[np.unique(np.repeat(np.arange(len(bags)), counts)[picked], return_index=True)[1]]
-        wrong = 1 / (1 + np.exp(-np.clip(top + bias[1] - bias[0], -40, 40))) - truth
-        wrong *= np.where(truth > 0, 0.5 / max(1, truth.sum()), 0.5 / max(1, (1 - truth).sum()))
-        inside = place[picked][:, None] + np.arange(WINDOW)[None]
-        used = np.arange(WINDOW)[None] < width[picked][:, None]
-        pull = np.bincount(words[inside[used]], np.repeat(wrong / width[picked], width[picked]), len(rows))
-        hit = np.flatnonzero(pull)
-        side = np.array([-1.0, 1.0])
-        g_soft = (vectors[hit].T @ pull[hit])[:, None] * side
-        live = np.isin(owner, hit) if len(hit) < len(rows) // 4 else slice(None)
-        share = (pull / sizes)[owner[live]]
-        direction = soft @ side
-        g_rows = np.bincount(flat[live], share, ROWS)
-        g_table = g_rows[:, None] * direction[None]
-        g_bias = side * wrong.sum()
-        for value, grad, (m, v), scale in zip((table, soft, bias), (g_table, g_soft, g_bias), state, (1.0, 1.0, 1.0)):
-            m += 0.1 * (grad - m)
-            v += 0.01 * (grad * grad - v)
-            value -= scale * rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
-    return Model(table @ (soft @ np.array([-1.0, 1.0])), float(bias[1] - bias[0]))
+        if step <= steps // 3:
+            share = 1 / counts[text_of]
+            top = np.add.reduceat(means * share, first)
+        else:
+            top = np.maximum.reduceat(means, first)
+            share = (means >= top[text_of]).astype(float)
+            share /= np.add.reduceat(share, first)[text_of]
+        wrong = (1 / (1 + np.exp(-np.clip(top + bias @ side, -40, 40))) - truth) * weight
+        force = wrong[text_of] * share / width
+        change = np.bincount(place, force, len(words) + 1) - np.bincount(place + width, force, len(words) + 1)
+        pull = np.bincount(words, np.cumsum(change)[:-1], len(rows)) / sizes
+        slope = np.bincount(flat, pull[owner], ROWS)
+        slopes = (slope[:, None] * toward, (table.T @ slope)[:, None] * side, side * wrong.sum())
+        for value, now, kept_on, rate in zip((table, soft, bias), slopes, drift, (30, 0.1, 1)):
+            kept_on += 0.1 * (now - kept_on)
+            value -= 0.1 * (1 - 0.7 * step / steps) * rate * kept_on / (np.abs(kept_on).max() + 1e-12)
+    return Model(table @ (soft @ side), float(bias @ side))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -135,19 +134,19 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """A model from labelled documents that are not held out, at most TRAIN_DOCS of each label.
+    """A model from labelled documents that are not held out, at most TRAIN_DOCS of the labels.
 
     Which ones is decided by a hash of the id. Labels that contradict each other are left out, as are
     null ones and null or empty texts.
     """
     usable = labels.filter(~held_out()).filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
     usable = usable.filter("toxic = most").select(F.col("doc_id").alias("_tx_id"), (F.col("toxic") > 0).cast("int").alias("_tx_toxic"))
-    picked = [usable.filter(F.col("_tx_toxic") == t).orderBy(F.xxhash64("_tx_id"), "_tx_id").limit(TRAIN_DOCS) for t in (0, 1)]
+    picked = [usable.filter(F.col("_tx_toxic") == t).orderBy(F.xxhash64("_tx_id"), "_tx_id").limit(TRAIN_DOCS[t]) for t in (0, 1)]
     picked = settle(picked[0].unionByName(picked[1]), "toxic-sample")
     short = docs.filter("length(text) BETWEEN 1 AND " + str(TRAIN_CHARS))
-    chosen = F.broadcast(picked)  # 2 * TRAIN_DOCS rows at most
+    chosen = F.broadcast(picked)  # sum(TRAIN_DOCS) rows at most
     found = short.join(chosen, short["doc_id"] == chosen["_tx_id"]).select("text", "_tx_toxic", F.xxhash64("text").alias("h"))
-    found = found.dropDuplicates(["h", "_tx_toxic"]).orderBy("h").limit(2 * TRAIN_DOCS).toArrow()
+    found = found.dropDuplicates(["h", "_tx_toxic"]).orderBy("h").limit(sum(TRAIN_DOCS)).toArrow()
     return train(found.column("text").to_pylist(), found.column("_tx_toxic").to_numpy())
 
 
