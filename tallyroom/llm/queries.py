@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyroom.llm import embedding_dedup, html_text, mixing, sharding, topk, toxicity, urls
+from tallyroom.llm import embedding_dedup, html_text, mixing, sharding, text_dedup, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,11 @@ def query(name: str, table: str, sql: str | None = None):
     return register
 
 
+@query("op4_minhash_hamming_join", "documents")
+def op4(docs: DataFrame) -> DataFrame:
+    return text_dedup.near_texts(docs, 75)
+
+
 TOPK_SQL = """
     WITH v AS (
         SELECT DISTINCT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
