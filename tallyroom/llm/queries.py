@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyroom.llm import embedding_dedup, html_text, mixing, sharding, text_dedup, topk, toxicity, urls
+from tallyroom.llm import embedding_dedup, html_text, mixing, sharding, substring_dedup, text_dedup, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,6 +84,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES["op8_subword_toxicity"] = op8
 
+@query("op10_debruijn_repeats", "documents")
+def op10(docs: DataFrame) -> DataFrame:
+    return substring_dedup.count_removed(docs, 13)
+
+
 URL_SQL = """
     WITH parts AS (
         SELECT page_id, url,
