@@ -1,7 +1,7 @@
 """Toxicity by bags of subword embeddings, averaged into a linear softmax and trained jointly in numpy.
 
-A word is the mean of the vectors of its character n-grams and of itself, all hashed into one table, so a
-misspelling or an inflection never seen shares most of its vector with words that were. A bag is a run of
+A word is the mean of the vectors of its character n-grams, hashed into one table, its borders being
+characters too; a misspelling or an inflection never seen shares most of its vector with words that were. A bag is a run of
 WINDOW words; its mean goes through a linear softmax of two classes, and a text is as toxic as its worst
 bag, so a few words count as much in a long text as in a short one. Table and softmax are trained
 together on the labelled sample.
@@ -11,8 +11,6 @@ After training, a text needs only the softmax margin of every table row: one num
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,24 +20,61 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom.llm.frames import settle
+from tallyroom.llm.words import WORD_BASE, range_hashes, spread
 
 #: The training sample: at most so many documents of label 0 and of label 1, none longer than TRAIN_CHARS.
 TRAIN_DOCS, TRAIN_CHARS = (4000, 2000), 20_000
-ROWS, DIM, WINDOW, STEPS = 1 << 17, 8, 8, 60
+ROW_BITS, DIM, WINDOW, STEPS = 17, 8, 8, 60
+ROWS = 1 << ROW_BITS
 GRAMS = (3, 4, 5)
-WORD = re.compile(r"\w+")
-CACHED_WORDS = 300_000
+SLICE_CHARS = 1 << 20
+#: Characters of words: letters, digits, marks of the upper planes and the underscore.
+LETTER = np.array([chr(i).isalnum() or i == 95 for i in range(1 << 16)] + [True])
 
 
-def grams(word: str) -> np.ndarray:
-    """Table rows of a word's n-grams and of the word itself."""
-    marked = f"<{word[:40]}>"
-    parts = {marked}.union(*({marked[i : i + n] for i in range(len(marked) - n + 1)} for n in GRAMS))
-    return np.array(sorted({zlib.crc32(p.encode("utf-8", "replace")) % ROWS for p in parts}), np.int64)
-
-
-def tokens(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+@dataclass
+class Spelling:
+    """Texts as one row of characters with a 0 before and after every word; `gap` has the places of the
+    zeros, and word `first[i]` is the first of text i (one entry more than texts)."""
+
+    chars: np.ndarray
+    gap: np.ndarray
+    first: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str | None]) -> Spelling:
+        lower = [t.lower() if t else "" for t in texts]
+        codes = np.frombuffer(("\0" + "\0".join(lower) + "\0").encode("utf-32-le", "surrogatepass"), np.uint32)
+        letter = LETTER[np.minimum(codes, 1 << 16)]
+        keep = letter.copy()
+        keep[1:] |= letter[:-1]
+        keep[0] = True
+        at = np.flatnonzero(keep)
+        chars = np.where(letter, codes, 0)[at].astype(np.uint32)
+        gap = np.flatnonzero(chars == 0)
+        begins = np.cumsum([1] + [len(t) + 1 for t in lower])
+        return cls(chars, gap, np.searchsorted(at[gap[:-1] + 1] if len(gap) > 1 else at[:0], begins))
+
+    def grams(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each length: table rows of the n-grams at every place, and which of them lie in one word; its
+        borders count as characters."""
+        inner = self.chars != 0
+        for n in GRAMS:
+            size = len(self.chars) - n + 1
+            if size <= 0:
+                continue
+            key = np.full(size, n, np.uint32)
+            for i in range(n):
+                key = key * np.uint32(0x01000193) + self.chars[i : i + size]
+            key ^= key >> np.uint32(15)
+            key *= np.uint32(0x2C1B3C6D)
+            whole = inner[1 : 1 + size].copy()
+            for i in range(2, n - 1):
+                whole &= inner[i : i + size]
+            yield key >> np.uint32(32 - ROW_BITS), whole
+
+    def words(self) -> int:
+        return len(self.gap) - 1
 
 
 @dataclass
@@ -49,27 +84,45 @@ class Model:
     margin: np.ndarray
     bias: float
 
-    def __post_init__(self):
-        self.known: dict[str, float] = {}
-
-    def word(self, word: str) -> float:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= CACHED_WORDS:
-                self.known.clear()
-            found = self.known[word] = float(self.margin[grams(word)].mean())
-        return found
-
-    def score(self, text: str | None) -> float:
-        words = tokens(text) if text else []
-        worst = 0.0
-        if words:
-            word = self.word
-            sums = np.zeros(len(words) + 1)
-            np.cumsum(np.fromiter((word(w) for w in words), float, len(words)), out=sums[1:])
-            n = min(WINDOW, len(words))
-            worst = float((sums[n:] - sums[:-n]).max()) / n
-        return float(1 / (1 + np.exp(-np.clip(worst + self.bias, -40, 40))))
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        spelled = Spelling.of(texts)
+        worst = np.zeros(len(texts))
+        if spelled.words():
+            sums, counts = np.zeros(len(spelled.chars)), np.zeros(len(spelled.chars), np.int32)
+            for rows, whole in spelled.grams():
+                sums[: len(rows)] += np.where(whole, self.margin[rows], 0)
+                counts[: len(rows)] += whole
+            word = np.add.reduceat(sums, spelled.gap[:-1]) / np.add.reduceat(counts, spelled.gap[:-1])
+            bags = Bags.of(np.diff(spelled.first))
+            means = bags.means(word)
+            worst[bags.texts] = np.maximum.reduceat(means, bags.first)
+        return 1 / (1 + np.exp(-np.clip(worst + self.bias, -40, 40)))
+
+
+@dataclass
+class Bags:
+    """The runs of WINDOW words of some texts: where they begin, how long they are, and the first bag of every
+    text that has words (`texts`)."""
+
+    texts: np.ndarray
+    place: np.ndarray
+    width: np.ndarray
+    first: np.ndarray
+    counts: np.ndarray
+
+    @classmethod
+    def of(cls, lengths: np.ndarray) -> Bags:
+        texts = np.flatnonzero(lengths)
+        own = lengths[texts]
+        spans = np.minimum(own, WINDOW)
+        counts = own - spans + 1
+        first = np.cumsum(counts) - counts
+        place = np.arange(counts.sum()) + np.repeat(np.cumsum(own) - own - first, counts)
+        return cls(texts, place, np.repeat(spans, counts).astype(np.int32), first, counts)
+
+    def means(self, word: np.ndarray) -> np.ndarray:
+        sums = np.concatenate(([0.0], np.cumsum(word)))
+        return (sums[self.place + self.width] - sums[self.place]) / self.width
 
 
 def train(texts: list[str], toxic: np.ndarray, steps: int = STEPS, seed: int = 11) -> Model:
@@ -80,24 +133,27 @@ def train(texts: list[str], toxic: np.ndarray, steps: int = STEPS, seed: int = 1
     holds moves little, so the table does not learn single texts by heart. Without texts of both labels
     the model knows only the one.
     """
-    bags, vocabulary = [], {}
-    for text in texts:
-        bags.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in tokens(text)], np.int32))
-    kept = [i for i, bag in enumerate(bags) if len(bag)]
-    bags, truth = [bags[i] for i in kept], np.asarray(toxic)[kept].astype(float)
-    if not bags or truth.min() == truth.max():
-        return Model(np.zeros(ROWS), 4.0 if bags and truth.min() else -4.0)
-    rows = [grams(w) for w in vocabulary]
-    sizes = np.array([len(r) for r in rows])
-    flat, begins = np.concatenate(rows).astype(np.int32), np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
-    words, lengths = np.concatenate(bags), np.array([len(b) for b in bags])
-    spans = np.minimum(lengths, WINDOW)
-    counts = lengths - spans + 1  # bags of each text
-    first = np.cumsum(counts) - counts
-    text_of = np.repeat(np.arange(len(bags), dtype=np.int32), counts)
-    place = np.arange(counts.sum()) + np.repeat(np.cumsum(lengths) - lengths - first, counts)
-    width = np.repeat(spans, counts).astype(np.int32)
+    spelled, truth = Spelling.of(texts), np.asarray(toxic).astype(float)
+    bags = Bags.of(np.diff(spelled.first))
+    truth = truth[bags.texts]
+    if not len(truth) or truth.min() == truth.max():
+        return Model(np.zeros(ROWS), 4.0 if len(truth) and truth.min() else -4.0)
+    begin, end = spelled.gap[:-1], spelled.gap[1:]
+    _, some, words = np.unique(range_hashes(spelled.chars.astype(np.uint64), begin + 1, end, WORD_BASE), return_index=True, return_inverse=True)
+    once = Spelling(spelled.chars[spread(begin[some], end[some] - begin[some] + 1)], np.zeros(0), np.zeros(0))  # each distinct word
+    size = end[some] - begin[some] + 1
+    owner_at = np.repeat(np.arange(len(some), dtype=np.int32), size)
+    inside = np.concatenate((np.diff(owner_at) == 0, [False]))
+    flat, owner = [], []
+    for rows, whole in once.grams():
+        at = np.flatnonzero(whole & inside[: len(rows)])
+        flat.append(rows[at].astype(np.int32))
+        owner.append(owner_at[at])
+    flat, owner = np.concatenate(flat), np.concatenate(owner)
+    sizes = np.bincount(owner, minlength=len(some))
+    del spelled, once, owner_at, inside
+    place, width, first, counts = bags.place, bags.width, bags.first, bags.counts
+    text_of = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
     weight = np.where(truth > 0, 0.5 / truth.sum(), 0.5 / (1 - truth).sum())
     rng, side = np.random.default_rng(seed), np.array([-1.0, 1.0])
     table, soft, bias = rng.uniform(-1, 1, (ROWS, DIM)) / (100 * DIM), np.zeros((DIM, 2)), np.zeros(2)
@@ -106,9 +162,8 @@ def train(texts: list[str], toxic: np.ndarray, steps: int = STEPS, seed: int = 1
     drift = [np.zeros_like(x) for x in (table, soft, bias)]
     for step in range(1, steps + 1):
         toward = soft @ side
-        word = np.add.reduceat((table @ toward)[flat], begins) / sizes
-        sums = np.concatenate(([0.0], np.cumsum(word[words])))
-        means = (sums[place + width] - sums[place]) / width
+        word = np.bincount(owner, (table @ toward)[flat], len(some)) / sizes
+        means = bags.means(word[words])
         if step <= steps // 3:
             share = 1 / counts[text_of]
             top = np.add.reduceat(means * share, first)
@@ -119,7 +174,7 @@ def train(texts: list[str], toxic: np.ndarray, steps: int = STEPS, seed: int = 1
         wrong = (1 / (1 + np.exp(-np.clip(top + bias @ side, -40, 40))) - truth) * weight
         force = wrong[text_of] * share / width
         change = np.bincount(place, force, len(words) + 1) - np.bincount(place + width, force, len(words) + 1)
-        pull = np.bincount(words, np.cumsum(change)[:-1], len(rows)) / sizes
+        pull = np.bincount(words, np.cumsum(change)[:-1], len(some)) / sizes
         slope = np.bincount(flat, pull[owner], ROWS)
         slopes = (slope[:, None] * toward, (table.T @ slope)[:, None] * side, side * wrong.sum())
         for value, now, kept_on, rate in zip((table, soft, bias), slopes, drift, (30, 0.1, 1)):
@@ -150,6 +205,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return train(found.column("text").to_pylist(), found.column("_tx_toxic").to_numpy())
 
 
+def runs(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """The texts in lists of about SLICE_CHARS characters."""
+    begin = total = 0
+    for i, text in enumerate(texts):
+        total += len(text or "") + 1
+        if total >= SLICE_CHARS:
+            yield texts[begin : i + 1]
+            begin, total = i + 1, 0
+    if begin < len(texts):
+        yield texts[begin:]
+
+
 def scorer(docs: DataFrame, model: Model) -> Column:
     """The score of a text column, as an expression; null and empty texts get the score of an empty bag."""
     shared = docs.sparkSession.sparkContext.broadcast((model.margin.astype(np.float32), model.bias))  # ROWS numbers
@@ -158,7 +225,7 @@ def scorer(docs: DataFrame, model: Model) -> Column:
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = Model(*shared.value)
         for texts in batches:
-            yield pd.Series([own.score(t) for t in texts], dtype="float64")
+            yield pd.Series(np.concatenate([own.scores(part) for part in runs(list(texts))] or [np.zeros(0)]))
 
     return score(F.col("text"))
 
