@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyroom.llm import embedding_dedup, html_text, mixing, sharding, substring_dedup, text_dedup, topk, toxicity, urls
+from tallyroom.llm import embedding_dedup, html_text, mixing, packing, sharding, substring_dedup, text_dedup, topk, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,6 +57,11 @@ def op1(vectors: DataFrame) -> DataFrame:
     return embedding_dedup.near_vectors(vectors, 0.98)
 
 
+@query("op2_best_fit_packing", "documents")
+def op2(docs: DataFrame) -> DataFrame:
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("op3_temperature_mixing", "documents")
 def op3(docs: DataFrame) -> DataFrame:
     """Every source at least once, the smallest one at most four times as often as the largest."""
