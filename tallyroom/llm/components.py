@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyroom.llm.frames import one_row, settle
+from tallyroom.llm.frames import discard, one_row, settle
 
 
 def components(links: DataFrame, a: str, b: str, label: str) -> DataFrame:
@@ -25,21 +25,25 @@ def components(links: DataFrame, a: str, b: str, label: str) -> DataFrame:
         if seen == known or not seen[0]:
             return links.select(F.col("u").alias("id"), F.col("v").alias("component"))
         known = seen
-        links = small_star(large_star(links, label), label)
+        before, links = links, small_star(large_star(links, label), label)
+        discard(before)
 
 
 def large_star(links: DataFrame, label: str) -> DataFrame:
     both = links.select("v", F.col("v").alias("n")).groupBy("v").agg(F.min("n").alias("n"))
     least = links.select(F.col("u").alias("v"), F.col("v").alias("n")).groupBy("v").agg(F.min("n").alias("n"))
     least = settle(both.unionByName(least).groupBy("v").agg(F.min("n").alias("m")), label)
-    return links.join(least, "v").select("u", F.col("m").alias("v")).filter("u != v").distinct()
+    turned = settle(links.join(least, "v").select("u", F.col("m").alias("v")).filter("u != v").distinct(), label)
+    discard(least)
+    return turned
 
 
 def small_star(links: DataFrame, label: str) -> DataFrame:
-    links = settle(links, label)
     least = settle(links.groupBy("u").agg(F.min("v").alias("m")), label)
     met = links.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return settle(met.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), label)
+    turned = settle(met.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), label)
+    discard(links, least)
+    return turned
 
 
 def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom.llm.components import components, local_roots
-from tallyroom.llm.frames import settle
+from tallyroom.llm.frames import discard, settle
 from tallyroom.llm.vectors import kmeans, lengths, matrix, nearest, squares
 
 #: The codebooks are fitted on about this many vectors at most; every vector is indexed.
@@ -196,10 +196,12 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     asking = asking.join(sizes, key).withColumn("chunk", dealt("chunks")).withColumn("block", each("blocks")).withColumn("ask", F.lit(True))
     met = held.unionByName(asking).drop("blocks", "chunks").groupBy(*GROUP).applyInArrow(compare, "rid long, links long, root long")
     met = settle(met, "pq-links")
+    discard(places, sizes)
     counts = met.groupBy("rid").agg(F.sum("links").alias("n_links"))
     joined = components(met, "rid", "root", "pq-components").select(F.col("id").alias("rid"), "component")
     facts = rows.select("rid", "vec_id").join(counts, "rid", "left").join(joined, "rid", "left")
     facts = settle(facts.withColumn("component", F.coalesce("component", "rid")), "pq-facts")
+    discard(met, rows)
     smallest = facts.filter("n_links IS NOT NULL").groupBy("component").agg(F.min("vec_id").alias("component_id"))
     out = facts.join(smallest, "component", "left").select(
         "vec_id",

@@ -31,7 +31,19 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     with shuffles_removed(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.scratch_path = path
+    return written
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Remove settled frames that nothing will read again."""
+    for df in frames:
+        path = getattr(df, "scratch_path", None)
+        if path:
+            context = df.sparkSession.sparkContext
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def one_row(df: DataFrame):

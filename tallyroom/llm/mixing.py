@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyroom.llm.frames import all_rows, bucket_bits, bucket_of, one_row, permuted_rank, settle
+from tallyroom.llm.frames import all_rows, bucket_bits, bucket_of, discard, one_row, permuted_rank, settle
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Exponents tried at once: five halvings of the interval in one pass over the sources.
@@ -109,7 +109,9 @@ def mixing_plan(
         .agg(F.max(F.when(F.col("upto") <= F.col("rest"), unsigned("key"))).alias("edge"))
         .select("_mix_key", F.coalesce("edge", unsigned_floor(F.col("bucket"), bits)).alias("edge"))
     )
-    return settle(weighed.drop("rest").join(last, "_mix_key", "left"), "mix-plan")
+    plan = settle(weighed.drop("rest").join(last, "_mix_key", "left"), "mix-plan")
+    discard(facts, sources, weighed)
+    return plan
 
 
 def block_key(block: Column, seed: int) -> Column:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyroom.llm.frames import settle
+from tallyroom.llm.frames import discard, settle
 from tallyroom.llm.words import WORD_BASE, Words, range_hashes, slices, window_hashes, words_of
 
 ANCHOR_WORDS = 5
@@ -128,12 +128,19 @@ def repeated_spans(docs: DataFrame, k: int) -> DataFrame:
     mine = anchors.join(shared, "anchor", "left_semi").groupBy("f1").agg(F.collect_set("anchor").alias("anchors"))
     wanted = settle(firsts.join(mine, "f1").select(F.col("first").alias("doc_id"), "f1", "f2", "anchors"), "sub-wanted")
     found = texts.join(wanted, ["doc_id", "f1", "f2"]).select("doc_id", "f1", "text", "anchors")
+    discard(shared)
     windows = settle(found.mapInArrow(window_rows(k), WINDOWS), "sub-windows")
-    paths = settle(compact(edges(windows)), "sub-paths")
+    discard(wanted)
+    repeated = edges(windows)
+    paths = compact(repeated)
+    discard(repeated)
     spans = settle(walk(windows, paths, k), "sub-spans")
+    discard(windows, paths)
     copies = facts.join(firsts, ["f1", "f2"]).filter("doc_id > first")
     copies = copies.select("doc_id", "f1", F.array(F.struct(F.lit(-1).alias("low"), F.lit(-1).alias("high"))).alias("spans"))
-    return settle(spans.unionByName(copies).groupBy("doc_id", "f1").agg(F.flatten(F.collect_list("spans")).alias("spans")), "sub-marks")
+    marks = settle(spans.unionByName(copies).groupBy("doc_id", "f1").agg(F.flatten(F.collect_list("spans")).alias("spans")), "sub-marks")
+    discard(spans, facts)
+    return marks
 
 
 def edges(windows: DataFrame) -> DataFrame:
@@ -154,7 +161,9 @@ def compact(edges: DataFrame) -> DataFrame:
     follows = F.col("node").isNotNull() & (F.lag("p0").over(source) == F.col("p0") - 1) & (F.lag("v").over(source) == F.col("u"))
     marked = marked.withColumn("start", F.when(~F.coalesce(follows, F.lit(False)), F.col("p0")))
     marked = marked.withColumn("head", F.max("start").over(source))
-    return marked.select("u", "t", "d0", "f0", "head", (F.col("p0") - F.col("head")).alias("along"))
+    paths = settle(marked.select("u", "t", "d0", "f0", "head", (F.col("p0") - F.col("head")).alias("along")), "sub-paths")
+    discard(straight)
+    return paths
 
 
 def walk(windows: DataFrame, paths: DataFrame, k: int) -> DataFrame:
@@ -186,7 +195,7 @@ def remove_repeats(docs: DataFrame, k: int = 13) -> DataFrame:
     stay null. Documents with a null id neither lose words nor take them from others, and those that share an
     id take none from each other. Columns whose names begin with _cut_ are refused.
     """
-    joined = with_spans(docs, k)
+    joined, names = with_spans(docs, k), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,8 +205,8 @@ def remove_repeats(docs: DataFrame, k: int = 13) -> DataFrame:
                     n, words = cut(texts[i], own, k)
                     if len(words) < n:
                         texts[i] = b" ".join(words).decode()
-            columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in docs.columns]
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return joined.mapInArrow(run, docs.schema)
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom.llm.components import components
-from tallyroom.llm.frames import one_row, settle
+from tallyroom.llm.frames import discard, one_row, settle
 from tallyroom.llm.words import WORD_BASE, mix, range_hashes, slices, spread, words_of
 
 SHINGLE = 5
@@ -177,18 +177,20 @@ def near_texts(docs: DataFrame, percent: int = 75) -> DataFrame:
     # A vertex of the search is a class; its number is a place in this table.
     classes = classes.agg(F.min("doc_id").alias("doc_id"), F.min("signature").alias("signature"))
     classes = settle(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
-    keys = settle(shared_keys(classes), "near-keys")
+    keys = shared_keys(classes)
     wanted = classes.join(keys.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "low", "high")
     texts = settle(class_texts(plain, wanted), "near-texts")
     links, where = None, classes.select("node", F.col("node").alias("component"))
     for turn in range(2):
         met = settle(meetings(keys, where, turn), "near-meetings")
         more = confirmed(met, texts, percent, "near-links")
+        discard(met)
         links = more if links is None else links.unionByName(more)
         joined = components(links, "a", "b", "near-components").select(F.col("id").alias("node"), F.col("component").alias("c"))
         where = settle(classes.select("node").join(joined, "node", "left").select("node", F.coalesce("c", "node").alias("component")), "near-where")
     rest = settle(block_pairs(keys, where, classes.select("node", "signature")).distinct(), "near-rest")
     links = links.unionByName(confirmed(rest, texts, percent, "near-links"))
+    discard(keys, texts, rest)
     # From classes to documents: vertices are ids now, and every member of a class hangs on its smallest.
     ids = classes.select("node", "doc_id")
     ends = links.join(ids.withColumnsRenamed({"node": "a", "doc_id": "x"}), "a").join(ids.withColumnsRenamed({"node": "b", "doc_id": "y"}), "b")
@@ -206,7 +208,9 @@ def shared_keys(classes: DataFrame) -> DataFrame:
     keys = classes.select("node", "signature").mapInArrow(enumerate_keys, "key long, node long")
     shared = keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
     shared = settle(shared.select("key"), "near-shared")
-    return keys.join(shared, "key", "left_semi")
+    found = settle(keys.join(shared, "key", "left_semi"), "near-keys")
+    discard(shared)
+    return found
 
 
 def class_texts(plain: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -261,3 +265,15 @@ def block_pairs(keys: DataFrame, where: DataFrame, signed: DataFrame) -> DataFra
         F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"),
     )
     return rows.groupBy("key", "first", "second").applyInArrow(compare_blocks, "a long, b long")
+
+
+def one_of_each(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """The rows of `docs` without near-duplicates: of each component of `near_texts` its smallest doc_id.
+
+    Rows with a null id have no component and stay; of rows that share an id one stays."""
+    gone = near_texts(docs.select("doc_id", "text"), percent).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id")
+    left = docs.join(settle(gone.distinct(), "near-gone"), "doc_id", "left_anti").select(*docs.columns)
+    if repeated_ids(docs):
+        named = left.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+        left = named.unionByName(left.filter("doc_id IS NULL"))
+    return left
