@@ -61,6 +61,11 @@ HEADLINE = [
     "parquet_filter_rewrite",
     "table_roundtrip",
     "jdbc_partitioned",
+    "jdbc_leavers",
+    "jdbc_top_salaries",
+    "single_file_csv",
+    "flight_copy_json",
+    "fire_busiest_month",
 ]
 
 

@@ -18,11 +18,14 @@ from tallyroom.operators import (
     count_by,
     create_database,
     drop_table,
+    drop_view,
     external_table,
     register_view,
+    sql_view,
+    use_database,
 )
 from tallyroom.plans import counts, incidents
-from tallyroom.sinks import write_csv, write_json, write_parquet, write_single_csv
+from tallyroom.sinks import save_table, write_csv, write_json, write_parquet, write_single_csv
 from tallyroom.sources import read_csv, read_json, read_parquet
 from tallyroom.staging import scratch_path, settle
 
@@ -56,7 +59,7 @@ def checks_table(spark, name):
 def json_roundtrip_typed(spark, folder):
     path = scratch_path(spark, "events-json")
     write_json(table(spark, folder, "events"), path)
-    return conform(read_json(spark, path), EVENT_STRUCT)
+    return conform(read_json(spark, path), EVENT_STRUCT, lossy=True)  # JSON has no timestamps
 
 
 @check(EVENT_SQL)
@@ -82,16 +85,16 @@ def csv_snappy_roundtrip(spark, folder):
 
 @check(
     """
-    SELECT cast(event_id AS integer) AS event_id, ts, cast(user_id AS integer) AS user_id,
-           event_type, value, props
-    FROM events
+    SELECT event_id, ts, user_id, event_type, value, props FROM events
     """
 )
 def csv_inferred(spark, folder):
+    """Guessed types depend on the largest number; `schema_trio` compares them."""
     path = scratch_path(spark, "events-csv")
     write_csv(table(spark, folder, "events"), path)
     events = read_csv(spark, path)
-    return events.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    kinds = {"ts": "timestamp_ntz", "event_id": "bigint", "user_id": "bigint"}
+    return events.withColumns({name: F.col(name).cast(kind) for name, kind in kinds.items()})
 
 
 @check(EVENT_SQL)
@@ -105,8 +108,12 @@ def csv_struct_schema(spark, folder):
     """
     WITH kinds AS (
         SELECT * FROM (VALUES
-            ('event_id', 'int', 'bigint'), ('ts', 'timestamp', 'timestamp_ntz'),
-            ('user_id', 'int', 'bigint'), ('event_type', 'string', 'string'),
+            ('event_id', (SELECT CASE WHEN max(event_id) < 2147483648 THEN 'int' ELSE 'bigint' END
+                          FROM events), 'bigint'),
+            ('ts', 'timestamp', 'timestamp_ntz'),
+            ('user_id', (SELECT CASE WHEN max(user_id) < 2147483648 THEN 'int' ELSE 'bigint' END
+                         FROM events), 'bigint'),
+            ('event_type', 'string', 'string'),
             ('value', 'double', 'double'), ('props', 'string', 'string')
         ) AS k(name, guessed, declared)
     )
@@ -121,6 +128,60 @@ def schema_trio(spark, folder):
     return counts.schema_trio(spark, path, EVENT_STRUCT, EVENT_DDL)
 
 
+PADDED_SQL = """
+    SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN '  ' || c_name || ' ' END AS c_name,
+           CASE WHEN c_custkey % 2 = 0 THEN ' ' ELSE c_mktsegment END AS c_mktsegment,
+           cast(NULL AS double) AS nothing
+    FROM customer
+"""
+
+
+def padded_customers(spark, folder):
+    key = F.col("c_custkey")
+    name = F.concat(F.lit("  "), F.col("c_name"), F.lit(" "))
+    return table(spark, folder, "customer").select(
+        key,
+        F.when(key % 3 > 0, name).alias("c_name"),
+        F.when(key % 2 == 0, " ").otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
+        F.lit(None).cast("double").alias("nothing"),
+    )
+
+
+@check(PADDED_SQL)
+def csv_padded_roundtrip(spark, folder):
+    """Blanks around strings, and nulls."""
+    path = scratch_path(spark, "padded-csv")
+    customers = padded_customers(spark, folder)
+    write_csv(customers, path)
+    return read_csv(spark, path, customers.schema)
+
+
+@check(PADDED_SQL)
+def json_padded_roundtrip(spark, folder):
+    """The column of nulls is there although the types are inferred."""
+    path = scratch_path(spark, "padded-json")
+    customers = padded_customers(spark, folder)
+    write_json(customers, path)
+    return conform(read_json(spark, path), customers.schema, lossy=True)
+
+
+@check("SELECT event_type, count(*) AS count FROM events GROUP BY event_type")
+def used_database(spark, folder):
+    """A table addressed by its bare name in the database in use."""
+    name = checks_table(spark, "events_by_type")
+    before = spark.catalog.currentDatabase()
+    save_table(
+        count_by(table(spark, folder, "events"), ["event_type"]),
+        name,
+        path=scratch_path(spark, "events-by-type"),
+    )
+    use_database(spark, DATABASE)
+    try:
+        return spark.table("events_by_type")
+    finally:
+        use_database(spark, before)
+
+
 @check(EVENT_SQL)
 def csv_external_table(spark, folder):
     path = scratch_path(spark, "events-csv")
@@ -211,14 +272,14 @@ def label_sql(spark, folder):
 )
 def month_day_view(spark, folder):
     register_view(table(spark, folder, "orders"), "tallyroom_orders_dated")
-    spark.sql("DROP VIEW IF EXISTS tallyroom_march")
-    spark.sql(
+    drop_view(spark, "tallyroom_march")
+    return sql_view(
+        spark,
+        "tallyroom_march",
         f"""
-        CREATE OR REPLACE TEMP VIEW tallyroom_march AS
         SELECT o_orderkey, month(o_orderdate) AS month_of_date, day(o_orderdate) AS day_of_date
         FROM tallyroom_orders_dated
         WHERE o_orderstatus = {sql_text("F")} AND month(o_orderdate) = 3
           AND day(o_orderdate) BETWEEN 1 AND 15
-        """
+        """,
     )
-    return spark.table("tallyroom_march")

@@ -18,10 +18,14 @@ from tallyroom.sources import read_csv, read_lines
 from tallyroom.staging import scratch_path
 
 
+LINE_WIDTH = 114
+
+
 def weather_lines(spark, folder):
-    """Orders as weather lines: station from the customer, measures from price and date, an
-    impossible date for status P, a letter for its wind quality and a missing temperature above
-    450,000. A comma and a quote follow the fields."""
+    """Orders as weather lines: stations from the customer's and the order's number, as far as the
+    fields hold them, measures from price and date, an impossible date for status P, a letter for
+    its wind quality and a missing temperature above 450,000. A comma and a quote follow the
+    fields."""
     price, day = F.floor("o_totalprice"), F.col("o_orderdate")
     digit = F.substring("o_orderpriority", 1, 1)
     status = F.col("o_orderstatus")
@@ -32,8 +36,8 @@ def weather_lines(spark, folder):
     warm = F.when(F.month(day) <= 3, "-").otherwise("+")
     pieces = [
         F.lit("0088"),
-        padded(F.col("o_custkey"), 6),
-        padded(F.col("o_orderkey"), 5),
+        padded(F.col("o_custkey") % 1_000_000, 6),
+        padded(F.col("o_orderkey") % 100_000, 5),
         F.when(status == "P", "19991345").otherwise(F.date_format(day, "yyyyMMdd")),
         F.concat(F.lit("0"), digit, F.lit("00")),
         F.lit("5+"),
@@ -63,14 +67,18 @@ def weather_lines(spark, folder):
         F.lit(' EQD,"N01'),
     ]
     path = scratch_path(spark, "weather-lines")
-    table(spark, folder, "orders").select(F.concat(*pieces).alias("value")).write.text(path)
+    line = F.concat(*pieces)
+    whole = F.when(F.length(line) == LINE_WIDTH, line).otherwise(
+        F.raise_error(F.concat(F.lit("a field does not fit: "), line))
+    )
+    table(spark, folder, "orders").select(whole.alias("value")).write.text(path)
     return read_lines(spark, path)
 
 
 WEATHER_SQL = """
     WITH weather AS (
-        SELECT lpad(cast(o_custkey AS varchar), 6, '0') AS "WeatherStation",
-               lpad(cast(o_orderkey AS varchar), 5, '0') AS "WBAN",
+        SELECT lpad(cast(o_custkey % 1000000 AS varchar), 6, '0') AS "WeatherStation",
+               lpad(cast(o_orderkey % 100000 AS varchar), 5, '0') AS "WBAN",
                CASE WHEN o_orderstatus <> 'P' THEN cast(o_orderdate AS date) END
                    AS "ObservationDate",
                cast(o_orderpriority[1] AS integer) * 100 AS "ObservationHour",
@@ -101,12 +109,38 @@ def fixed_width(spark, folder):
     return weather.parse_weather(weather_lines(spark, folder))
 
 
+def exported_weather(spark, folder, ending, single_file=False):
+    """One of the four copies, read back; the CSVs under the declared types."""
+    base = scratch_path(spark, "weather")
+    stored = weather.export_weather(
+        weather_lines(spark, folder), base, single_file=single_file
+    )
+    return stored if ending == ".parquet" else read_csv(spark, f"{base}{ending}", stored.schema)
+
+
 @check(WEATHER_SQL + "SELECT * FROM weather")
 def weather_export(spark, folder):
-    """The single-file CSV of the four copies, read back under the declared types."""
-    base = scratch_path(spark, "weather")
-    stored = weather.export_weather(weather_lines(spark, folder), base)
-    return read_csv(spark, f"{base}.csv", stored.schema)
+    return exported_weather(spark, folder, ".csv")
+
+
+@check(WEATHER_SQL + "SELECT * FROM weather")
+def weather_export_single(spark, folder):
+    return exported_weather(spark, folder, ".csv", single_file=True)
+
+
+@check(WEATHER_SQL + "SELECT * FROM weather")
+def weather_export_parquet(spark, folder):
+    return exported_weather(spark, folder, ".parquet")
+
+
+@check(WEATHER_SQL + "SELECT * FROM weather")
+def weather_export_plain(spark, folder):
+    return exported_weather(spark, folder, "-uncompressed.csv")
+
+
+@check(WEATHER_SQL + "SELECT * FROM weather")
+def weather_export_lz4(spark, folder):
+    return exported_weather(spark, folder, "-compressed.csv")
 
 
 @check(
@@ -154,6 +188,46 @@ def weather_stddev_valid(spark, folder):
     return spread.select("month", F.round("StdDevAirTemp", 4).alias("StdDevAirTemp"))
 
 
+@check(
+    WEATHER_SQL
+    + """
+    SELECT cast(year("ObservationDate") AS integer) AS year,
+           cast(month("ObservationDate") AS integer) AS month,
+           round(avg("AirTemperature"), 4) AS "AvgAirTemp"
+    FROM weather WHERE "AirTemperature" BETWEEN -93.2 AND 61.8
+        AND year("ObservationDate") = (
+            SELECT min(year("ObservationDate")) FROM weather
+            WHERE "AirTemperature" BETWEEN -93.2 AND 61.8)
+    GROUP BY 1, 2
+    """
+)
+def weather_first_year_csv(spark, folder):
+    """The CSV beside the monthly means: the first year's months."""
+    base = scratch_path(spark, "weather-monthly")
+    parsed = weather.parse_weather(weather_lines(spark, folder))
+    stored = weather.export_monthly(parsed, base, weather.PLAUSIBLE_CELSIUS)
+    means = read_csv(spark, f"{base}.csv", stored.schema)
+    return means.select("year", "month", F.round("AvgAirTemp", 4).alias("AvgAirTemp"))
+
+
+@check(
+    WEATHER_SQL
+    + """
+    SELECT cast(month("ObservationDate") AS integer) AS month,
+           round(stddev_samp("AirTemperature"), 4) AS "StdDevAirTemp"
+    FROM weather WHERE "AirTemperature" BETWEEN -93.2 AND 61.8 AND "ObservationDate" IS NOT NULL
+    GROUP BY 1
+    """
+)
+def weather_spread_csv(spark, folder):
+    """The CSV of the same job with the standard deviation as its main result."""
+    base = scratch_path(spark, "weather-monthly")
+    parsed = weather.parse_weather(weather_lines(spark, folder))
+    stored = weather.export_monthly(parsed, base, weather.PLAUSIBLE_CELSIUS, spread=True)
+    spread = read_csv(spark, f"{base}.csv", stored.schema)
+    return spread.select("month", F.round("StdDevAirTemp", 4).alias("StdDevAirTemp"))
+
+
 @check(
     """
     SELECT event_id, date_trunc('day', ts) AS day_ts, date_trunc('second', ts) AS clock_ts,

@@ -17,7 +17,7 @@ FLIGHTS_SQL = """
                    || lpad(cast(cast(l_quantity AS integer) AS varchar), 2, '0') AS date,
                CASE WHEN l_linenumber < 7
                     THEN cast(floor(l_extendedprice / 200) AS integer) - 30 END AS delay,
-               cast(l_partkey AS integer) AS distance,
+               cast(l_partkey % 1000000000 AS integer) AS distance,
                CASE l_returnflag WHEN 'A' THEN 'ORD' WHEN 'N' THEN 'SFO' ELSE 'JFK' END AS origin,
                CASE l_linestatus WHEN 'O' THEN 'ORD' ELSE 'SFO' END AS destination,
                l_shipdate
@@ -43,7 +43,7 @@ LABELS_SQL = (
                                   'Very Long Delays'],
                                  1 + (delay > 60)::int + (delay > 120)::int + (delay > 360)::int)
                 ELSE 'Early' END AS "Flight_Delays"
-    FROM flights ORDER BY origin, delay DESC NULLS LAST, destination LIMIT 200
+    FROM flights
     """
 )
 
@@ -71,7 +71,7 @@ def delays(spark, folder):
     return table(spark, folder, "lineitem").select(
         F.concat(F.date_format("l_shipdate", "MMdd"), hour, minute).alias("date"),
         F.when(F.col("l_linenumber") < 7, late).alias("delay"),
-        F.col("l_partkey").cast("int").alias("distance"),
+        (F.col("l_partkey") % 1_000_000_000).cast("int").alias("distance"),
         origin.alias("origin"),
         F.when(F.col("l_linestatus") == "O", "ORD").otherwise("SFO").alias("destination"),
     )
@@ -135,13 +135,13 @@ def label_df(spark, folder):
 
 @check(LABELS_SQL)
 def flight_labels(spark, folder):
-    return flights.delay_labels(delays(spark, folder), n=200)
+    return flights.delay_labels(delays(spark, folder))
 
 
 @check(LABELS_SQL)
 def flight_labels_sql(spark, folder):
     view = flights.register_flights(delays(spark, folder), "tallyroom_label_flights")
-    return flights.delay_labels_sql(spark, view, n=200)
+    return flights.delay_labels_sql(spark, view)
 
 
 @check(PERIOD_SQL)
@@ -189,6 +189,12 @@ def flight_copy_json_lz4(spark, folder):
     return read_json(spark, paths["json_lz4"], flights.FLIGHT_COLUMNS)
 
 
+@check(COPY_SQL)
+def flight_copy_parquet(spark, folder):
+    paths = flights.export_copies(delays(spark, folder), scratch_path(spark, "departuredelays"))
+    return read_parquet(spark, paths["parquet"])
+
+
 @check(
     FLIGHTS_SQL
     + """

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyroom.operators import (
     catalog_columns,
-    conform,
     create_database,
     external_table,
     frame_report,
@@ -21,15 +20,15 @@ from tallyroom.session import start_session
 from tallyroom.sinks import write_jdbc
 from tallyroom.sources import (
     Remote,
+    even_predicates,
     object_store_conf,
     read_csv,
     read_jdbc,
     read_json,
     read_lines,
     read_parquet,
-    split_over,
 )
-from tallyroom.staging import settle
+from tallyroom.staging import scratch_job, settle
 
 
 def show(title: str, df: DataFrame, n: int = 20) -> None:
@@ -42,7 +41,7 @@ def table_path(args: argparse.Namespace, name: str) -> str | None:
 
 
 def candy(spark: SparkSession, args: argparse.Namespace) -> None:
-    rows = settle(read_csv(spark, args.path).select("State", "Color", "Count"), "candy")
+    rows = settle(read_csv(spark, args.path, counts.CANDY_COLUMNS), "candy")
     totals = counts.candy_counts(rows, how=args.how)
     show("Counts per state and colour", totals, 60)
     show("Number of groups", row_count(totals))
@@ -56,7 +55,7 @@ def trips(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def fire(spark: SparkSession, args: argparse.Namespace) -> None:
-    raw = read_csv(spark, args.path, incidents.FIRE_COLUMNS)
+    raw = settle(read_csv(spark, args.path, incidents.FIRE_COLUMNS), "calls")
     show(f"Kinds of calls in {args.year}", incidents.call_types(raw, args.year))
     calls = incidents.roundtrip_parquet(incidents.with_times(raw), args.out)
     show("Busiest month", incidents.busiest_month(calls, args.year))
@@ -69,7 +68,9 @@ def fire(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def iot(spark: SparkSession, args: argparse.Namespace) -> None:
-    readings = settle(conform(read_json(spark, args.path), devices.device_record()), "devices")
+    # Types named beforehand save a pass over the file; a value of another type is refused.
+    readings = read_json(spark, args.path, devices.device_record(), mode="FAILFAST")
+    readings = settle(readings, "devices")
     show("Devices with a weak battery", devices.low_battery_count(readings, args.battery))
     show("Those with the least CO2", devices.low_battery(readings, args.battery))
     show("Countries with high CO2", devices.high_co2_by_country(readings, args.co2))
@@ -79,7 +80,7 @@ def iot(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def flight(spark: SparkSession, args: argparse.Namespace) -> None:
     delays = read_csv(spark, args.path, flights.FLIGHT_COLUMNS)
-    copies = flights.export_copies(delays, f"{args.out}/departuredelays")
+    copies = flights.export_copies(delays, f"{args.out}/departuredelays", mode="overwrite")
     stored = read_parquet(spark, copies["parquet"])
     view = flights.register_flights(stored)
     show("Late flights, SQL", flights.route_delays_sql(spark, view, n=10))
@@ -91,13 +92,14 @@ def flight(spark: SparkSession, args: argparse.Namespace) -> None:
     # The catalog reads a relative path from the place of the database. Name a full URI for any
     # other file system than this machine's.
     path = args.path if "://" in args.path else os.path.abspath(args.path)
-    external_table(spark, table, flights.FLIGHT_COLUMNS, path)
+    external_table(spark, table, flights.FLIGHT_COLUMNS, path, replace=True)
     period = flights.period_view(spark, table, f"us_origin_airport_{args.origin}_tmp_view",
                                  args.origin)
     show(f"Flights from {args.origin}, 1 to 15 March", period.orderBy("delay", ascending=False), 5)
     show("Columns of the table", catalog_columns(spark, table))
     kept = flights.filter_rewrite(
-        spark, copies["parquet"], f"{args.out}/{args.origin.lower()}departuredelays", args.origin
+        spark, copies["parquet"], f"{args.out}/{args.origin.lower()}departuredelays", args.origin,
+        mode="overwrite",
     )
     show(f"Rewritten flights from {args.origin}", kept, 10)
 
@@ -109,19 +111,23 @@ def personnel(spark: SparkSession, args: argparse.Namespace) -> None:
     )
 
     def whole(table: str) -> DataFrame:
-        split = split_over(spark, remote, table, "emp_no", args.parts)
-        return read_jdbc(spark, remote, table, split=split)
+        ranges = even_predicates(spark, remote, table, "emp_no", args.parts)
+        return read_jdbc(spark, remote, table, predicates=ranges)
 
     show("Employees", frame_report(whole("employees")))
-    best = hr.publish_top_salaries(whole("salaries"), remote, args.out, args.top)
+    best = hr.publish_top_salaries(
+        whole("salaries"), remote, args.out, args.top, mode="overwrite"
+    )
     show("Highest salaries", best)
-    split = split_over(spark, remote, "titles", "emp_no", args.parts)
-    holders = hr.titles_of(spark, remote, args.title, split=split)
+    ranges = even_predicates(spark, remote, "titles", "emp_no", args.parts)
+    holders = hr.titles_of(spark, remote, args.title, predicates=ranges)
     titles = settle(hr.with_status(holders), "titles")
     show(f"{args.title}: status", hr.status_counts(titles))
     names = hr.LEAVER_NAMES
     places = {kind: table_path(args, names[kind]) for kind in ("table", "frame")}
-    published = hr.publish_leavers(hr.leavers(titles), remote, names, paths=places)
+    published = hr.publish_leavers(
+        hr.leavers(titles), remote, names, mode="overwrite", paths=places
+    )
     for name in ("aces", *names.values()):
         show(f"Remote table {name}", frame_report(read_jdbc(spark, remote, name)))
     try:
@@ -133,25 +139,29 @@ def personnel(spark: SparkSession, args: argparse.Namespace) -> None:
 def weather_parse(spark: SparkSession, args: argparse.Namespace) -> None:
     fields = weather.scaled_dew_point() if args.scale_dew_point else weather.WEATHER_FIELDS
     lines = read_lines(spark, args.path)
-    stored = weather.export_weather(lines, args.base, fields, args.single_file_rows)
+    stored = weather.export_weather(lines, args.base, fields, args.single_file, mode="overwrite")
     stored.printSchema()
     show("Weather", stored, 5)
 
 
 def weather_monthly(spark: SparkSession, args: argparse.Namespace) -> None:
     valid = (args.low, args.high) if args.valid_only else None
-    stored = weather.export_monthly(read_parquet(spark, args.path), args.base, valid, args.spread)
+    stored = weather.export_monthly(
+        read_parquet(spark, args.path), args.base, valid, args.spread, mode="overwrite"
+    )
     stored.printSchema()
     show("Per month", stored, 12)
 
 
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tallyroom", description=__doc__)
-    parser.add_argument("--hive", action="store_true", help="keep tables between runs")
+    parser.add_argument(
+        "--forget", action="store_true", help="keep tables for this run only, in memory"
+    )
     parser.add_argument("--s3-endpoint", help="object store to use for s3a:// paths")
     parser.add_argument(
         "--table-folder",
-        help="where tables lie; without --hive a managed one is in the way of the next run",
+        help="where tables lie; with --forget a managed one is in the way of the next run",
     )
     jobs = parser.add_subparsers(required=True, metavar="job")
 
@@ -191,8 +201,8 @@ def arguments() -> argparse.ArgumentParser:
     sub = job("weather-parse", weather_parse)
     sub.add_argument("base", help="output path without its ending, such as s3a://bucket/60")
     sub.add_argument("--scale-dew-point", action="store_true")
-    sub.add_argument("--single-file-rows", type=int, default=5_000_000,
-                     help="rows up to which the last CSV is one file")
+    sub.add_argument("--single-file", action="store_true",
+                     help="write the last CSV as one file, in one task")
     sub = job("weather-monthly", weather_monthly)
     sub.add_argument("base", help="output path without its ending")
     sub.add_argument("--valid-only", action="store_true", help="leave out other temperatures")
@@ -205,8 +215,9 @@ def arguments() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = arguments().parse_args(argv)
     conf = object_store_conf(args.s3_endpoint) if args.s3_endpoint else None
-    spark = start_session(f"tallyroom {args.run.__name__}", args.hive, conf)
-    args.run(spark, args)
+    spark = start_session(f"tallyroom {args.run.__name__}", not args.forget, conf)
+    with scratch_job(spark):
+        args.run(spark, args)
 
 
 if __name__ == "__main__":

@@ -6,7 +6,26 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import FractionalType, IntegralType, StructType
+from pyspark.sql.types import (
+    AtomicType,
+    BinaryType,
+    ByteType,
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    FractionalType,
+    IntegerType,
+    IntegralType,
+    LongType,
+    NullType,
+    ShortType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from tallyroom.functions.fields import Field, cut_field
 
@@ -16,11 +35,27 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def conform(df: DataFrame, record: StructType) -> DataFrame:
+def widens(have: DataType, want: DataType) -> bool:
+    """Whether every value of one type has its place in the other, as Spark's store assignment
+    sees it: the same type, a number in a wider one, a date as a timestamp, anything as text."""
+    if have == want or isinstance(have, NullType):
+        return True
+    if isinstance(want, StringType):
+        return isinstance(have, AtomicType) and not isinstance(have, BinaryType)
+    order = [ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType]
+    if type(have) in order and type(want) in order:
+        return order.index(type(have)) <= order.index(type(want))
+    if isinstance(have, DecimalType) and isinstance(want, DecimalType):
+        return have.scale <= want.scale and have.precision - have.scale <= want.precision - want.scale
+    return isinstance(have, DateType) and isinstance(want, (TimestampType, TimestampNTZType))
+
+
+def conform(df: DataFrame, record: StructType, lossy: bool = False) -> DataFrame:
     """The record's columns, in its order and with its types.
 
-    Names match without regard to case, as in Spark. A field that the frame lacks, or that would
-    lose its fraction, is an error; a single value that does not fit the type becomes null.
+    Names match without regard to case, as in Spark. A field that the frame lacks, or whose type
+    does not widen to the record's, is an error: text is no number. With `lossy` such a field is
+    cast, and a single value that does not fit becomes null; fractions are never cut off.
     Columns outside the record are left out.
     """
     present = {field.name.lower(): field for field in df.schema}
@@ -35,6 +70,13 @@ def conform(df: DataFrame, record: StructType) -> DataFrame:
     ]
     if cut_off:
         raise ValueError(f"fractions would be cut off in: {', '.join(cut_off)}")
+    narrowed = [
+        f"{field.name} ({present[field.name.lower()].dataType.simpleString()} to {field.dataType.simpleString()})"
+        for field in record
+        if not lossy and not widens(present[field.name.lower()].dataType, field.dataType)
+    ]
+    if narrowed:
+        raise ValueError(f"types that do not fit the record: {', '.join(narrowed)}")
     return df.select(
         [
             df[quoted(present[field.name.lower()].name)].try_cast(field.dataType).alias(field.name)

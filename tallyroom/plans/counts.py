@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from tallyroom.operators import count_by, frame_report, in_order
 from tallyroom.sources import read_csv
@@ -19,11 +19,13 @@ TRIP_COLUMNS = (
 )
 
 
+# Columns of the candy file, in file order.
+CANDY_COLUMNS = "State STRING, Color STRING, Count INT"
+
+
 def trip_struct() -> StructType:
-    """`TRIP_COLUMNS` built field by field."""
-    types = {"INT": IntegerType(), "STRING": StringType()}
-    pairs = [column.split() for column in TRIP_COLUMNS.split(", ")]
-    return StructType([StructField(name, types[kind]) for name, kind in pairs])
+    """`TRIP_COLUMNS` as a `StructType`."""
+    return StructType.fromDDL(TRIP_COLUMNS)
 
 
 def candy_counts(

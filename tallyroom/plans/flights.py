@@ -169,7 +169,9 @@ def period_frame(
     )
 
 
-def export_copies(flights: DataFrame, base: str) -> dict[str, str]:
+def export_copies(
+    flights: DataFrame, base: str, mode: str = "errorifexists"
+) -> dict[str, str]:
     """JSON, JSON with lz4 and Parquet copies next to each other; returns their paths.
 
     Parquet comes first and the text copies are made from it, so that a costly input is read once.
@@ -179,18 +181,22 @@ def export_copies(flights: DataFrame, base: str) -> dict[str, str]:
         "json": f"{base}.json",
         "json_lz4": f"{base}.json.lz4",
     }
-    write_parquet(flights, paths["parquet"])
+    write_parquet(flights, paths["parquet"], mode)
     stored = read_parquet(flights.sparkSession, paths["parquet"])
     write_together(
         flights.sparkSession,
-        lambda: write_json(stored, paths["json"]),
-        lambda: write_json(stored, paths["json_lz4"], compression="lz4"),
+        lambda: write_json(stored, paths["json"], mode),
+        lambda: write_json(stored, paths["json_lz4"], mode, compression="lz4"),
     )
     return paths
 
 
 def filter_rewrite(
-    spark: SparkSession, source: str, target: str, origin: str = "ORD"
+    spark: SparkSession,
+    source: str,
+    target: str,
+    origin: str = "ORD",
+    mode: str = "errorifexists",
 ) -> DataFrame:
     """One origin's rows of a Parquet copy as a Parquet copy of their own."""
     kept = (
@@ -198,7 +204,7 @@ def filter_rewrite(
         .where(F.col("origin") == origin)
         .select("date", "delay", "origin", "destination", "distance")
     )
-    write_parquet(kept, target, compact=True)
+    write_parquet(kept, target, mode, compact=True)
     return read_parquet(spark, target)
 
 

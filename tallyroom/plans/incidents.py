@@ -16,8 +16,8 @@ from tallyroom.functions import (
     parse_local_timestamp,
     parse_timestamp,
 )
-from tallyroom.operators import count_by, drop_table, mean_by, swap_columns, top_n
-from tallyroom.sinks import save_table, write_parquet
+from tallyroom.operators import count_by, mean_by, swap_columns, top_n
+from tallyroom.sinks import replace_table, write_parquet
 from tallyroom.sources import read_parquet
 
 # Columns of the fire-call file, in file order.
@@ -95,11 +95,10 @@ def area_zip_counts(calls: DataFrame, kind: str = "Fire") -> DataFrame:
 
 
 def roundtrip_parquet(df: DataFrame, path: str) -> DataFrame:
-    write_parquet(df, path)
+    write_parquet(df, path, mode="overwrite")
     return read_parquet(df.sparkSession, path)
 
 
 def roundtrip_table(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
-    """Replace a table by the frame and read it back by name."""
-    drop_table(df.sparkSession, table)
-    return save_table(df, table, mode="overwrite" if path else "errorifexists", path=path)
+    """Replace a table by the frame, which may read that table, and read it back by name."""
+    return replace_table(df, table, path)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom.functions import Field
-from tallyroom.operators import mean_by, parse_fixed_width, stddev_by
+from tallyroom.operators import in_order, mean_by, parse_fixed_width, stddev_by
 from tallyroom.sinks import write_csv, write_parquet, write_single_csv, write_together
 from tallyroom.sources import read_parquet
 
@@ -52,20 +52,22 @@ def export_weather(
     lines: DataFrame,
     base: str,
     fields: Sequence[Field] = WEATHER_FIELDS,
-    single_file_rows: int = 5_000_000,
+    single_file: bool = False,
+    mode: str = "errorifexists",
 ) -> DataFrame:
-    """Typed copies: Parquet, CSV, CSV with lz4 and a CSV in one file. Returns the Parquet copy.
+    """Typed copies: Parquet, CSV, CSV with lz4 and a last CSV. Returns the Parquet copy.
 
-    The lines are parsed once, into Parquet; the CSVs are made from there.
+    The lines are parsed once, into Parquet; the CSVs are made from there. With `single_file` the
+    last CSV is one file, which one task writes, at any number of rows; without, it has many.
     """
     spark = lines.sparkSession
-    write_parquet(parse_weather(lines, fields), f"{base}.parquet")
+    write_parquet(parse_weather(lines, fields), f"{base}.parquet", mode)
     stored = read_parquet(spark, f"{base}.parquet")
     write_together(
         spark,
-        lambda: write_single_csv(stored, f"{base}.csv", rows_per_file=single_file_rows),
-        lambda: write_csv(stored, f"{base}-uncompressed.csv"),
-        lambda: write_csv(stored, f"{base}-compressed.csv", compression="lz4"),
+        lambda: (write_single_csv if single_file else write_csv)(stored, f"{base}.csv", mode),
+        lambda: write_csv(stored, f"{base}-uncompressed.csv", mode),
+        lambda: write_csv(stored, f"{base}-compressed.csv", mode, compression="lz4"),
     )
     return stored
 
@@ -98,21 +100,15 @@ def monthly_stddev(
     return stddev_by(weather, [month], measure, name, where=_within(measure, valid_range))
 
 
-def first_year(monthly: DataFrame, n: int = 12) -> DataFrame:
-    """The months of the first year, in order.
+def first_year(monthly: DataFrame, n: int | None = 12) -> DataFrame:
+    """The rows of the first year in order of the months, the first `n` of them or all.
 
-    Twelve rows in date order contain the whole first year, so the year is looked up among them
-    and the monthly frame is computed once.
+    The year is found first, by a subquery of its own: pass a frame that is cheap to read twice, such
+    as a monthly copy written before.
     """
-    dated = monthly.where(F.col("year").isNotNull())
-    earliest = dated.orderBy("year", "month").limit(min(n, 12))
-    first = F.min("year").over(Window.partitionBy(F.lit(0)))
-    return (
-        earliest.withColumn("first_year", first)
-        .where(F.col("year") == F.col("first_year"))
-        .drop("first_year")
-        .orderBy("month")
-    )
+    rows = monthly.where(F.col("year") == monthly.agg(F.min("year")).scalar())
+    others = [c for c in monthly.columns if c not in ("year", "month")]
+    return in_order(rows, n, ["month"], tiebreak=others)
 
 
 def export_monthly(
@@ -120,19 +116,20 @@ def export_monthly(
     base: str,
     valid_range: tuple[float, float] | None = None,
     spread: bool = False,
+    mode: str = "errorifexists",
 ) -> DataFrame:
     """Monthly means as Parquet and their first year as CSV. With `spread` the main files hold the
     standard deviation per month over all years, and the means lie in `{base}-means.parquet`.
     Returns the main Parquet copy."""
     spark = weather.sparkSession
     means_path = f"{base}-means.parquet" if spread else f"{base}.parquet"
-    write_parquet(monthly_mean(weather, valid_range), means_path)
+    write_parquet(monthly_mean(weather, valid_range), means_path, mode)
     if not spread:
         stored = read_parquet(spark, means_path)
-        write_single_csv(first_year(stored), f"{base}.csv")
+        write_single_csv(first_year(stored), f"{base}.csv", mode)
         return stored
-    write_parquet(monthly_stddev(weather, valid_range), f"{base}.parquet")
+    write_parquet(monthly_stddev(weather, valid_range), f"{base}.parquet", mode)
     stored = read_parquet(spark, f"{base}.parquet")
     dated = stored.where(F.col("month").isNotNull())
-    write_single_csv(dated.orderBy("month"), f"{base}.csv")
+    write_single_csv(dated.orderBy("month"), f"{base}.csv", mode)
     return stored

@@ -1,11 +1,12 @@
-"""Writers. Each names its save mode; `overwrite` replaces earlier output."""
+"""Writers. As in Spark, they refuse to replace earlier output unless `mode="overwrite"` says so."""
 
 from tallyroom.sinks.files import write_csv, write_json, write_parquet, write_single_csv
 from tallyroom.sinks.remote import write_jdbc
-from tallyroom.sinks.tables import save_table
+from tallyroom.sinks.tables import replace_table, save_table
 from tallyroom.sinks.together import write_together
 
 __all__ = [
+    "replace_table",
     "save_table",
     "write_csv",
     "write_jdbc",

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, DataFrameWriter
 
+# How to write: "errorifexists", as in Spark, unless the caller says otherwise.
+REFUSE = "errorifexists"
+
 # Spark's text formats keep milliseconds unless told otherwise.
 MICROSECONDS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
+# Spark's CSV writer trims strings unless told otherwise.
+WHOLE_STRINGS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def _text_writer(
@@ -23,53 +29,60 @@ def _text_writer(
 
 
 def write_parquet(
-    df: DataFrame, path: str, mode: str = "overwrite", compact: bool = False, **options: Any
+    df: DataFrame,
+    path: str,
+    mode: str = REFUSE,
+    compact: bool = False,
+    partition_by: Sequence[str] = (),
+    **options: Any,
 ) -> None:
     """Parquet. `compact` shuffles the rows into files of even, sensible size first: for the few
-    rows that a filter leaves in each of very many tasks."""
-    rows = df.hint("rebalance") if compact else df
-    rows.write.mode(mode).options(**options).parquet(path)
+    rows that a filter leaves in each of very many tasks. `partition_by` lays the rows out in a
+    folder per value, so that a filter on these columns reads only its folders; rebalancing by
+    them first keeps a task from opening a file in every folder."""
+    rows = df.hint("rebalance", *partition_by) if compact or partition_by else df
+    rows.write.mode(mode).options(**options).partitionBy(*partition_by).parquet(path)
 
 
 def write_json(
     df: DataFrame,
     path: str,
-    mode: str = "overwrite",
+    mode: str = REFUSE,
     compression: str | None = None,
     **options: Any,
 ) -> None:
-    """JSON lines. Null fields are left out of a line."""
-    _text_writer(df, mode, compression, options).json(path)
+    """JSON lines. Nulls are written out, so a column of nulls alone is still there when the types
+    are inferred; `ignoreNullFields=True` leaves them out."""
+    _text_writer(df, mode, compression, {"ignoreNullFields": False, **options}).json(path)
 
 
 def write_csv(
     df: DataFrame,
     path: str,
-    mode: str = "overwrite",
+    mode: str = REFUSE,
     header: bool = True,
     compression: str | None = None,
     **options: Any,
 ) -> None:
     """CSV. Compressed text cannot be split by its readers, so leave it in many files.
 
+    Blanks around a string are kept, where Spark's writer would trim them. A line break inside a
+    string is written within quotes: read such files with `multiLine=True`, which takes one task
+    per file, or the row is split.
+
     Empty strings are read back as nulls unless both sides name the same `nullValue`. So do for a
     frame of one column too: a null alone is an empty line, which readers skip.
     """
-    _text_writer(df, mode, compression, options).csv(path, header=header)
+    _text_writer(df, mode, compression, {**WHOLE_STRINGS, **options}).csv(path, header=header)
 
 
 def write_single_csv(
     df: DataFrame,
     path: str,
-    mode: str = "overwrite",
+    mode: str = REFUSE,
     header: bool = True,
-    rows_per_file: int = 5_000_000,
     **options: Any,
 ) -> None:
-    """CSV in one file, as long as the rows fit in one; beyond that, all rows in several files.
-
-    One file means one task, hence the check. The frame is counted and then written, so pass one
-    that is cheap to read twice: an aggregate, or a copy written before.
-    """
-    rows = df.coalesce(1) if df.count() <= rows_per_file else df
-    write_csv(rows, path, mode, header, maxRecordsPerFile=rows_per_file, **options)
+    """CSV in one file, at any number of rows. One file means that one task reads and writes them
+    all: it is for frames that are small by nature, such as an aggregate settled before."""
+    write_csv(df.coalesce(1), path, mode, header, **options)

@@ -43,9 +43,9 @@ def read_json(
 
 
 def read_lines(spark: SparkSession, path: Paths) -> DataFrame:
-    """Text lines whole, in the column `value`; empty lines are skipped. Commas and quotes have no
-    meaning here, unlike in a CSV read without a heading."""
-    return spark.read.text(path).where(F.col("value") != "")
+    """Text lines whole, in the column `value`; empty lines and those of white space alone are
+    skipped. Commas and quotes have no meaning here, unlike in a CSV read without a heading."""
+    return spark.read.text(path).where(F.col("value").rlike(r"\S"))
 
 
 def read_parquet(spark: SparkSession, path: Paths) -> DataFrame:

@@ -1,6 +1,7 @@
 """The driver's entry points."""
 
 import __spark_entry__ as entry_points
+from checks import ORACLES, QUERIES
 
 
 def test_flagship_query(spark):
@@ -10,7 +11,8 @@ def test_flagship_query(spark):
 
 def test_queries_and_sql_have_the_same_names():
     queries, sql = entry_points.queries(), entry_points.oracle_sql()
-    assert set(queries) == set(sql) and len(queries) > 80
+    assert set(QUERIES) == set(ORACLES) and len(QUERIES) > 80
+    assert set(QUERIES) <= set(queries) and set(sql) <= set(queries)
     assert all(callable(query) for query in queries.values())
     assert entry_points.queries() is not queries
 

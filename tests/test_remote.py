@@ -115,10 +115,10 @@ def test_empty_table_has_no_split(spark, remote):
 def test_save_modes(spark, remote):
     df = titles(spark)
     sinks.write_jdbc(df, remote, "titles", column_types=TITLE_TYPES)
-    sinks.write_jdbc(df.limit(2), remote, "titles", truncate=True, expect_rows=2)
+    sinks.write_jdbc(df.limit(2), remote, "titles", "overwrite", truncate=True, expect_rows=2)
     sinks.write_jdbc(df.limit(2), remote, "titles", mode="append", expect_rows=4)
     with pytest.raises(AnalysisException):
-        sinks.write_jdbc(df, remote, "titles", mode="errorifexists")
+        sinks.write_jdbc(df, remote, "titles")
     assert sources.read_jdbc(spark, remote, "titles").count() == 4
 
 
