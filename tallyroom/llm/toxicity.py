@@ -23,7 +23,7 @@ from tallyroom.llm.frames import settle
 from tallyroom.llm.words import WORD_BASE, range_hashes, spread
 
 #: The training sample: at most so many documents of label 0 and of label 1, none longer than TRAIN_CHARS.
-TRAIN_DOCS, TRAIN_CHARS = (4000, 2000), 20_000
+TRAIN_DOCS, TRAIN_CHARS = (3000, 1500), 10_000
 ROW_BITS, DIM, WINDOW, STEPS = 17, 8, 8, 60
 ROWS = 1 << ROW_BITS
 GRAMS = (3, 4, 5)
@@ -76,6 +76,23 @@ class Spelling:
     def words(self) -> int:
         return len(self.gap) - 1
 
+    def word_hashes(self) -> np.ndarray:
+        return range_hashes(self.chars.astype(np.uint64), self.gap[:-1] + 1, self.gap[1:], WORD_BASE)
+
+    def rows_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The table rows of the n-grams of some words, one word after the other, and how many each has."""
+        begin, size = self.gap[words], self.gap[words + 1] - self.gap[words] + 1
+        alone = Spelling(self.chars[spread(begin, size)], self.gap, self.first)
+        owner = np.repeat(np.arange(len(words), dtype=np.int32), size)
+        rows, owners = [], []
+        for keys, whole in alone.grams():
+            at = np.flatnonzero(whole & (owner[: len(keys)] == owner[len(owner) - len(keys) :]))
+            rows.append(keys[at].astype(np.int32))
+            owners.append(owner[at])
+        rows, owners = (np.concatenate(x) if x else np.zeros(0, np.int32) for x in (rows, owners))
+        order = np.argsort(owners, kind="stable")
+        return rows[order], np.bincount(owners, minlength=len(words))
+
 
 @dataclass
 class Model:
@@ -117,7 +134,7 @@ class Bags:
         spans = np.minimum(own, WINDOW)
         counts = own - spans + 1
         first = np.cumsum(counts) - counts
-        place = np.arange(counts.sum()) + np.repeat(np.cumsum(own) - own - first, counts)
+        place = np.arange(counts.sum(), dtype=np.int32) + np.repeat((np.cumsum(own) - own - first).astype(np.int32), counts)
         return cls(texts, place, np.repeat(spans, counts).astype(np.int32), first, counts)
 
     def means(self, word: np.ndarray) -> np.ndarray:
@@ -133,25 +150,26 @@ def train(texts: list[str], toxic: np.ndarray, steps: int = STEPS, seed: int = 1
     holds moves little, so the table does not learn single texts by heart. Without texts of both labels
     the model knows only the one.
     """
-    spelled, truth = Spelling.of(texts), np.asarray(toxic).astype(float)
-    bags = Bags.of(np.diff(spelled.first))
+    words, lengths, known, flat, sizes = [], [], np.zeros(0, np.uint64), [], []
+    for part in runs(texts):  # characters take far more room than words
+        spelled = Spelling.of(part)
+        hashes, where = spelled.word_hashes(), np.diff(spelled.first)
+        words.append(hashes)
+        lengths.append(where)
+        new, at = np.unique(hashes, return_index=True)
+        fresh = ~np.isin(new, known)
+        known = np.concatenate((known, new[fresh]))
+        rows, counts = spelled.rows_of(at[fresh])
+        flat.append(rows)
+        sizes.append(counts)
+    bags, truth = Bags.of(np.concatenate(lengths) if lengths else np.zeros(0, np.int64)), np.asarray(toxic).astype(float)
     truth = truth[bags.texts]
     if not len(truth) or truth.min() == truth.max():
         return Model(np.zeros(ROWS), 4.0 if len(truth) and truth.min() else -4.0)
-    begin, end = spelled.gap[:-1], spelled.gap[1:]
-    _, some, words = np.unique(range_hashes(spelled.chars.astype(np.uint64), begin + 1, end, WORD_BASE), return_index=True, return_inverse=True)
-    once = Spelling(spelled.chars[spread(begin[some], end[some] - begin[some] + 1)], np.zeros(0), np.zeros(0))  # each distinct word
-    size = end[some] - begin[some] + 1
-    owner_at = np.repeat(np.arange(len(some), dtype=np.int32), size)
-    inside = np.concatenate((np.diff(owner_at) == 0, [False]))
-    flat, owner = [], []
-    for rows, whole in once.grams():
-        at = np.flatnonzero(whole & inside[: len(rows)])
-        flat.append(rows[at].astype(np.int32))
-        owner.append(owner_at[at])
-    flat, owner = np.concatenate(flat), np.concatenate(owner)
-    sizes = np.bincount(owner, minlength=len(some))
-    del spelled, once, owner_at, inside
+    order = np.argsort(known)
+    words = order[np.searchsorted(known[order], np.concatenate(words))].astype(np.int32)
+    flat, sizes, some = np.concatenate(flat), np.concatenate(sizes), known
+    owner = np.repeat(np.arange(len(known), dtype=np.int32), sizes)
     place, width, first, counts = bags.place, bags.width, bags.first, bags.counts
     text_of = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
     weight = np.where(truth > 0, 0.5 / truth.sum(), 0.5 / (1 - truth).sum())
