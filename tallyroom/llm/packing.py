@@ -16,6 +16,7 @@ ranks with runs; that gives every row its sequence and its place there.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from bisect import bisect_left, insort
@@ -32,7 +33,7 @@ from tallyroom.llm.frames import all_rows, permuted_rank, settle
 from tallyroom.llm.words import slices, spread
 
 CAPACITY, END = 4096, 1
-CACHED_WORDS = 1_000_000
+CACHED_WORDS, SLICE_BYTES = 800_000, 6 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -44,29 +45,64 @@ FAR_LETTER = re.compile("[^\x00-\u024f]")
 JOINED_STOP = re.compile(r"[^A-Za-z0-9\u00c0-\u024f][.,](?=\s|$)")
 
 
+def byte_letters() -> dict[int, str]:
+    """How byte-level tokenizers spell a character: printable bytes as themselves, the others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in plain)}
+    return {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0x250)}
+
+
+SPELLED = byte_letters()
+
+
 class WordTokens:
     """Ids of whole texts by a tokenizer that drops white space and cuts its pieces at it, and knows no case:
     a text's ids are those of its words in a row. The ids of words met before are kept."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
         self.slot: dict[str, int] = {}
         self.flat, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.hits = np.zeros(0, np.int32)
+
+    def forget(self) -> None:
+        """Keep only words that several slices held."""
+        words = list(self.slot)
+        kept = np.flatnonzero(self.hits[: len(words)] > 1)[: CACHED_WORDS // 2]
+        self.flat = self.flat[spread(self.begin[kept], self.size[kept])]
+        self.size, self.hits = self.size[kept], np.ones(len(kept), np.int32)
+        self.begin = np.cumsum(self.size) - self.size
+        self.slot = {words[i]: n for n, i in enumerate(kept.tolist())}
+
+    def words_ids(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word. Letters alone are one piece of the tokenizer, whose model takes it as it is."""
+        found: list[list[int] | None] = [None] * len(words)
+        rest = []
+        for i, word in enumerate(words):
+            if word.isalpha() and word.islower() and not FAR_LETTER.search(word):
+                found[i] = [t.id for t in self.tokenizer.model.tokenize(word.translate(SPELLED))]
+            else:
+                rest.append(i)
+        for k in range(0, len(rest), 1000):  # what the tokenizer gives back for a word is far larger than its ids
+            part = rest[k : k + 1000]
+            for i, e in zip(part, self.tokenizer.encode_batch([words[i] for i in part], add_special_tokens=False)):
+                found[i] = e.ids
+        return found
 
     def learn(self, words: list[str]) -> None:
-        if len(self.slot) + len(words) > CACHED_WORDS:
+        new = [w for w in words if w not in self.slot]
+        if len(self.slot) + len(new) > CACHED_WORDS:
             self.forget()
-        words = [w for w in words if w not in self.slot]
-        found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+            new = [w for w in words if w not in self.slot]
+        found = self.words_ids(new)
         sizes = np.array([len(ids) for ids in found], np.int64)
-        self.slot.update(zip(words, range(len(self.slot), len(self.slot) + len(words))))
+        self.slot.update(zip(new, range(len(self.slot), len(self.slot) + len(new))))
         self.begin = np.append(self.begin, len(self.flat) + np.cumsum(sizes) - sizes)
         self.size = np.append(self.size, sizes)
+        self.hits = np.append(self.hits, np.zeros(len(new), np.int32))
         self.flat = np.append(self.flat, np.array([i for ids in found for i in ids], np.uint32))
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
@@ -87,10 +123,10 @@ class WordTokens:
         lists = pc.ascii_split_whitespace(pa.array([t for _, t in plain], pa.large_string()))
         coded = lists.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
-        if any(w not in self.slot for w in words):
-            new = [w for w in words if w not in self.slot]
-            self.learn(words if len(self.slot) + len(new) > CACHED_WORDS else new)
-        slots = np.fromiter((self.slot[w] for w in words), np.int64, len(words))[coded.indices.to_numpy()]
+        self.learn(words)
+        own = np.fromiter((self.slot[w] for w in words), np.int64, len(words))
+        self.hits[own] += 1
+        slots = own[coded.indices.to_numpy()]
         sizes = self.size[slots]
         ids = self.flat[spread(self.begin[slots], sizes)]
         upto = np.concatenate(([0], np.cumsum(sizes)))
@@ -119,7 +155,7 @@ def tokenize(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: boo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_tokens(path)
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 texts = [t or "" for t in batch.column("text").to_pylist()]
                 columns: list[list] = [[] for _ in names]
                 for doc, ids in zip(batch.column("doc_id").to_pylist(), words.ids(texts)):
