@@ -34,6 +34,10 @@ from tallyroom.llm.words import WORD_BASE, mix, range_hashes, slices, spread, wo
 SHINGLE = 5
 SYMBOLS, BITS, CHUNKS, ERRORS = 64, 16, 16, 31
 BLOCK_ROWS = 512
+#: Cells of the sketch that rules out most pairs inside keys, and the share of equal cells that it takes to stay. A
+#: pair of similarity 0.75 falls below with a chance of 1 in a million at most.
+CELLS, LEAST_SHARE = 1024, 0.68
+TURNS = 3
 _rng = np.random.default_rng(20)
 TIMES = _rng.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) | np.uint64(1)
 PLUS = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64)
@@ -62,6 +66,29 @@ def signatures(found: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketches(found: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """CELLS bytes per set: a byte of the smallest hash that falls into a cell, 0 if none does."""
+    row = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    cell = row * CELLS + (found >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
+    first = np.ones(len(cell), bool)
+    first[1:] = cell[1:] != cell[:-1]  # hashes are sorted within a set
+    out = np.zeros(len(ends) * CELLS, np.uint8)
+    out[cell[first]] = mix(found[first], 104) % np.uint64(255) + np.uint64(1)
+    return out.reshape(-1, CELLS)
+
+
+def with_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            cells = [row.tobytes() for row in sketches(*shingle_sets(batch, "text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("text"), pa.array(cells, pa.binary())], names=["node", "text", "sketch"])
+
+
+def alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether the sketches of pairs leave it open that the sets are similar enough."""
+    return ((x == y) & (x > 0)).sum(1) >= LEAST_SHARE * ((x > 0) | (y > 0)).sum(1)
+
+
 SIGNED = "doc_id long, n_shingles long, low long, high long, signature binary"
 
 
@@ -87,14 +114,18 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+WIDTH = SYMBOLS // CHUNKS
+#: The symbols of a chunk that a key keeps.
+KEPT = [list(c) for c in combinations(range(WIDTH), WIDTH - ERRORS // CHUNKS)]
+
+
 def index_keys(rows: np.ndarray) -> np.ndarray:
     """Every key of every signature: the chunks with each allowed choice of symbols left out."""
-    width, wrong = SYMBOLS // CHUNKS, ERRORS // CHUNKS
-    kept = [list(c) for c in combinations(range(width), width - wrong)]
-    out = np.empty((len(rows), CHUNKS * len(kept)), np.uint64)
+    width = WIDTH
+    out = np.empty((len(rows), CHUNKS * len(KEPT)), np.uint64)
     for chunk in range(CHUNKS):
-        for i, places in enumerate(kept):
-            number = chunk * len(kept) + i
+        for i, places in enumerate(KEPT):
+            number = chunk * len(KEPT) + i
             key = np.full(len(rows), number + 1, np.uint64)
             for p in places:
                 key = mix(key ^ (rows[:, chunk * width + p].astype(np.uint64) << np.uint64(8)), number)
@@ -102,6 +133,13 @@ def index_keys(rows: np.ndarray) -> np.ndarray:
     return out
 
 
+def first_shared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The number of the first key that the signatures of each pair share; they share one."""
+    same = (x == y).reshape(len(x), CHUNKS, WIDTH)
+    shared = np.stack([same[:, :, places].all(2) for places in KEPT], 2)
+    return shared.reshape(len(x), CHUNKS * len(KEPT)).argmax(1)
+
+
 def enumerate_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for begin in range(0, len(batch), 4096):
@@ -109,7 +147,8 @@ def enumerate_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             rows = np.frombuffer(b"".join(part.column("signature").to_pylist()), np.uint16).reshape(-1, SYMBOLS)
             keys = index_keys(rows)
             node = np.repeat(part.column("node").to_numpy(), keys.shape[1])
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(node, pa.int64())], names=["key", "node"])
+            number = np.tile(np.arange(keys.shape[1], dtype=np.int32), len(keys))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(node, pa.int64()), pa.array(number)], names=["key", "node", "number"])
 
 
 def confirm(percent: int):
@@ -134,6 +173,20 @@ def confirm(percent: int):
     return run
 
 
+def keep_alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CELLS) for c in ("sketch_p", "sketch_q"))
+        yield pa.RecordBatch.from_arrays([batch.column("p"), batch.column("q")], names=["a", "b"]).filter(pa.array(alike(x, y)))
+
+
+def promising(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose sketches leave it open that they link; texts need not be moved for the others."""
+    p = texts.select(F.col("node").alias("p"), F.col("sketch").alias("sketch_p"))
+    q = texts.select(F.col("node").alias("q"), F.col("sketch").alias("sketch_q"))
+    both = pairs.select(F.col("a").alias("p"), F.col("b").alias("q")).join(p, "p").join(q, "q")
+    return both.select("p", "q", "sketch_p", "sketch_q").mapInArrow(keep_alike, "a long, b long")
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, label: str) -> DataFrame:
     a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
@@ -142,23 +195,30 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, label: str) -> D
 
 
 def compare_blocks(table: pa.Table) -> pa.Table:
-    """Pairs of two blocks of one key in different components and within the signature distance."""
+    """Pairs of two blocks of one key in different components, within the signature distance and alike in their
+    sketches. A pair that shares several keys is left to the first of them."""
     side = table.column("side").to_numpy()
     node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
     rows = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+    cells = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, CELLS)
+    number = table.column("number")[0].as_py()
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     same = table.column("first")[0] == table.column("second")[0]
     right = left if same else right
     found: tuple[list, list] = ([], [])
-    for begin in range(0, len(left), 64):
-        part = left[begin : begin + 64]
+    for begin in range(0, len(left), 32):
+        part = left[begin : begin + 32]
         wrong = (rows[part][:, None, :] != rows[right][None]).sum(2)
         near = (wrong <= ERRORS) & (component[part][:, None] != component[right][None])
         if same:
             near &= node[part][:, None] < node[right][None]
         i, j = np.nonzero(near)
-        found[0].append(node[part[i]])
-        found[1].append(node[right[j]])
+        i, j = part[i], right[j]
+        mine = first_shared(rows[i], rows[j]) == number
+        i, j = i[mine], j[mine]
+        open_ = alike(cells[i], cells[j])
+        found[0].append(node[i[open_]])
+        found[1].append(node[j[open_]])
     x, y = (np.concatenate(f) if f else np.zeros(0, np.int64) for f in found)
     return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
 
@@ -179,16 +239,16 @@ def near_texts(docs: DataFrame, percent: int = 75) -> DataFrame:
     classes = settle(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
     keys = shared_keys(classes)
     wanted = classes.join(keys.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "low", "high")
-    texts = settle(class_texts(plain, wanted), "near-texts")
+    texts = settle(class_texts(plain, wanted).mapInArrow(with_sketch, "node long, text string, sketch binary"), "near-texts")
     links, where = None, classes.select("node", F.col("node").alias("component"))
-    for turn in range(2):
-        met = settle(meetings(keys, where, turn), "near-meetings")
+    for turn in range(TURNS):
+        met = settle(promising(meetings(keys, where, turn), texts), "near-meetings")
         more = confirmed(met, texts, percent, "near-links")
         discard(met)
         links = more if links is None else links.unionByName(more)
         joined = components(links, "a", "b", "near-components").select(F.col("id").alias("node"), F.col("component").alias("c"))
         where = settle(classes.select("node").join(joined, "node", "left").select("node", F.coalesce("c", "node").alias("component")), "near-where")
-    rest = settle(block_pairs(keys, where, classes.select("node", "signature")).distinct(), "near-rest")
+    rest = settle(block_pairs(keys, where, classes.select("node", "signature").join(texts.select("node", "sketch"), "node")).distinct(), "near-rest")
     links = links.unionByName(confirmed(rest, texts, percent, "near-links"))
     discard(keys, texts, rest)
     # From classes to documents: vertices are ids now, and every member of a class hangs on its smallest.
@@ -204,8 +264,8 @@ def near_texts(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 
 def shared_keys(classes: DataFrame) -> DataFrame:
-    """(key, node) of the keys that two classes share at least."""
-    keys = classes.select("node", "signature").mapInArrow(enumerate_keys, "key long, node long")
+    """(key, node, number of the key) of the keys that two classes share at least."""
+    keys = classes.select("node", "signature").mapInArrow(enumerate_keys, "key long, node long, number int")
     shared = keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
     shared = settle(shared.select("key"), "near-shared")
     found = settle(keys.join(shared, "key", "left_semi"), "near-keys")
@@ -260,7 +320,7 @@ def block_pairs(keys: DataFrame, where: DataFrame, signed: DataFrame) -> DataFra
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
-        "key", "node", "component", "signature",
+        "key", "number", "node", "component", "signature", "sketch",
         F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"),
         F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"),
     )
