@@ -35,13 +35,13 @@ def op4(docs: DataFrame) -> DataFrame:
 
 TOPK_SQL = """
     WITH v AS (
-        SELECT DISTINCT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+        SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
         FROM embeddings
         WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-          AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     ), s AS (
         SELECT q.vec_id AS query_id, c.vec_id,
-               CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+               CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
         FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
         WHERE q.vec_id % 50 = 0
     ), r AS (
