@@ -1,0 +1,215 @@
+"""Packing, mixing and sharding: ids against the tokenizer, and what must hold of every result."""
+
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tallyroom.llm import mixing, packing, sharding
+from tallyroom.llm.frames import permuted_rank
+from tests.llm.conftest import rows_of
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def pieces_of(docs, capacity=4096):
+    whole = Tokenizer.from_file(PATH)
+    out = []
+    for doc, text in docs:
+        ids = np.array([*whole.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
+        out += [(doc, n, s, len(ids[s : s + capacity]), zlib.crc32(ids[s : s + capacity].tobytes())) for n, s in enumerate(range(0, len(ids), capacity))]
+    return out
+
+
+def check_sequences(rows, capacity=4096):
+    """Gapless from 0, never over the capacity; returns how many sequences there are."""
+    by = defaultdict(list)
+    for row in rows:
+        by[row.sequence_id].append((row.offset, row.length))
+    for held in by.values():
+        at = 0
+        for offset, length in sorted(held):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(by)
+
+
+def best_fit_decreasing(sizes, capacity):
+    gaps = []
+    for size in sorted(sizes, reverse=True):
+        fits = [g for g in gaps if g >= size]
+        if fits:
+            gaps.remove(min(fits))
+            gaps.append(min(fits) - size)
+        else:
+            gaps.append(capacity - size)
+    return len(gaps)
+
+
+def test_pieces_and_sequences_of_documents(documents):
+    rows = packing.pack_documents(documents, PATH).collect()
+    got = Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows)
+    assert got == Counter(pieces_of(rows_of(documents.select("doc_id", "text"))))
+    sizes = [r.length for r in rows]
+    assert check_sequences(rows) == best_fit_decreasing(sizes, 4096) <= -(-sum(sizes) // 4096) + 1
+
+
+def test_odd_texts_have_the_ids_of_the_whole_text(spark, odd_documents):
+    texts = [
+        "a\xa0b. c", "Σας ΣΑΣ. İx, y", "e\u0301 E\u0301. n\u0303", "it's (so). Really), yes_. No", "x<|endoftext|>y z", "٣ 3.5, 4", "a.\nb,\nc", "日本 語. 。",
+        "...", ". , .", "ÀÉ. ÿÿ, Ā.", "a\u2028b", "tab\there", "\u1e9e \u00df. \u017f", "x" * 5000,
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)) + [(99, None), (99, None)], "doc_id long, text string").unionByName(odd_documents.select("doc_id", "text"))
+    got = Counter(rows_of(packing.tokenize(frame, PATH)))
+    assert got == Counter(pieces_of(rows_of(frame)))
+
+
+@given(st.lists(st.integers(1, 60), max_size=80), st.integers(60, 64))
+@settings(max_examples=150, deadline=None)
+def test_rounds_are_best_fit_decreasing(sizes, capacity):
+    runs, opened = packing.plan(dict(Counter(sizes)), capacity)
+    assert opened == best_fit_decreasing(sizes, capacity)
+    used = defaultdict(list)
+    for size, _, n, first, each, base in runs:
+        for k in range(n):
+            used[first + k // each].append((base + k % each * size, size))
+    assert sum(map(len, used.values())) == len(sizes)
+    for held in used.values():
+        ends = [0, *(o + s for o, s in sorted(held))]
+        assert [o for o, _ in sorted(held)] == ends[:-1] and ends[-1] <= capacity
+
+
+def test_pack_keeps_columns_and_refuses_what_cannot_be(spark):
+    frame = spark.createDataFrame([("x", 5, None), ("x", 5, None), ("y", 3, 1)], "name string, length long, size int")
+    rows = packing.pack(frame, 8).collect()
+    assert check_sequences(rows, 8) == 2 and Counter(r.name for r in rows) == {"x": 2, "y": 1}
+    with pytest.raises(ValueError, match="1 to 4"):
+        packing.pack(frame, 4)
+    with pytest.raises(ValueError, match="rename"):
+        packing.pack(frame.withColumn("offset", F.lit(1)), 8)
+    assert packing.pack(frame.limit(0), 8).count() == 0
+
+
+def test_ids_come_with_the_pieces(documents):
+    row = packing.tokenize(documents.filter("doc_id = 0"), PATH, with_ids=True).first()
+    assert zlib.crc32(np.array(row.ids, "<u4").tobytes()) == row.ids_crc32 and row.ids[-1] == 1
+
+
+def test_ranks_within_groups_are_gapless(spark):
+    frame = spark.range(20_000).select((F.col("id") % 3 == 0).alias("g"), F.xxhash64("id").alias("k"), "id")
+    ranked = permuted_rank(frame, ["g"], "k", ["id"], 20_000, "r").groupBy("g").agg(F.count("r"), F.count_distinct("r"), F.min("r"), F.max("r")).collect()
+    assert all(n == d == top + 1 and low == 0 for _, n, d, low, top in ranked) and len(ranked) == 2
+
+
+def mixed(frame, **options):
+    return mixing.mix_sources(frame, **options)
+
+
+@pytest.fixture(scope="module")
+def uneven(spark):
+    """One source with two thirds of the tokens, some small ones, one without tokens, one null."""
+    sizes = {"big": 600, "mid": 200, "small": 50, "tiny": 10, None: 40}
+    rows = [(i, " ".join(["w"] * (1 + i % 9)), s, 7, "k") for s, n in sizes.items() for i in range(hash(str(s)) % 7, n + hash(str(s)) % 7)]
+    rows = [(n, *row[1:]) for n, row in enumerate(rows)] + [(5000, None, "none", 0, "k"), (5001, "", "none", 0, "k")]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, tokens long, weight string").repartition(4)
+
+
+def tokens_by_source(frame):
+    return {s: (n, t) for s, n, t in rows_of(frame.groupBy("source").agg(F.count("*"), F.sum(F.size(F.split("text", " ")))))}
+
+
+def test_mixture_has_the_target_entropy(uneven):
+    got = mixed(uneven, target_entropy=0.9, repetition_limit=None)
+    weights = [r.w for r in got.groupBy("source").agg(F.max("mix_weight").alias("w")).collect() if r.w]
+    assert abs(sum(weights) - 1) < 1e-9
+    assert abs(-sum(w * np.log(w) for w in weights) / np.log(5) - 0.9) < 1e-6
+    before, after = tokens_by_source(uneven), tokens_by_source(got)
+    assert after["big"] == before["big"] and after["none"][0] == 2
+    total = sum(after[s][1] for s in ("big", "mid", "small", "tiny", None))
+    shares = {r.source: r.w for r in got.groupBy("source").agg(F.max("mix_weight").alias("w")).collect()}
+    assert all(abs(after[s][1] / total - shares[s]) < 0.01 for s in ("big", "mid", "small", "tiny", None))
+
+
+def test_repetition_limit_binds(uneven):
+    got = mixed(uneven, target_entropy=None, repetition_limit=3.0)
+    before, after = tokens_by_source(uneven), tokens_by_source(got)
+    rates = {s: after[s][1] / before[s][1] for s in ("big", "mid", "small", "tiny", None)}
+    assert rates["big"] == 1 and 2.8 <= rates["tiny"] <= 3 and all(r <= 3 for r in rates.values())
+    per_block = got.groupBy("doc_id", "mix_block").count().agg(F.max("count")).first()[0]
+    assert per_block == 1 and got.agg(F.max("mix_block")).first()[0] == 2
+
+
+def test_budget_takes_a_prefix_of_each_permutation(uneven):
+    got = mixed(uneven, target_entropy=None, repetition_limit=None, budget=1000.0)
+    before, after = tokens_by_source(uneven), tokens_by_source(got)
+    whole = sum(t for s, (_, t) in before.items() if s != "none")
+    for source in ("big", "mid", "small", None):
+        wanted = before[source][1] / whole * 1000
+        assert wanted - 9 <= after[source][1] <= wanted
+
+
+def test_mixing_edge_cases(spark, uneven, odd_documents):
+    assert mixed(uneven.limit(0)).count() == 0
+    assert mixed(odd_documents, repetition_limit=1.0).drop("mix_block", "mix_weight").exceptAll(odd_documents).count() == 0
+    assert mixed(odd_documents, repetition_limit=1.0).count() == odd_documents.count()
+    only = spark.createDataFrame([(1, "a b", "s"), (1, "a b", "s"), (None, "c", "s")], "doc_id long, text string, source string")
+    assert mixed(only).count() == 3
+    with pytest.raises(ValueError, match="rename"):
+        mixed(uneven.withColumn("mix_block", F.lit(1)))
+    blocks = mixing.mixed_blocks(uneven, repetition_limit=2.0)
+    per = blocks.groupBy("source", "block").agg(F.count("slot").alias("n"), F.count_distinct("slot").alias("d"), F.max("slot").alias("m")).collect()
+    assert all(r.n == r.d == r.m + 1 for r in per)
+
+
+def test_matrix_rows_and_columns_add_up():
+    parts, shards = [0, 5, 1, 30, 17], [18, 18, 17]
+    matrix = sharding.communication_matrix(parts, shards, 1)
+    assert [sum(r) for r in matrix] == parts and [sum(c) for c in zip(*matrix)] == shards
+    with pytest.raises(ValueError):
+        sharding.communication_matrix([1], [2], 0)
+
+
+def test_draws_are_hypergeometric():
+    rng = np.random.default_rng(0)
+    draws = [sharding.hypergeometric(rng, 30, 70, 20) for _ in range(4000)]
+    assert abs(np.mean(draws) - 6) < 0.15 and abs(np.var(draws) - 20 * 0.3 * 0.7 * 80 / 99) < 0.3
+    large = [sharding.hypergeometric(rng, 2_000_000_000, 6_000_000_000, 1000) for _ in range(400)]
+    assert abs(np.mean(large) - 250) < 4 and abs(np.std(large) - 13.7) < 2
+
+
+def test_every_document_gets_one_slot(documents, odd_documents):
+    for frame, n in ((documents, 24), (odd_documents, 4), (documents.limit(0), 24)):
+        rows = sharding.shard_documents(frame, n).collect()
+        texts = {d: (t or "").encode() for d, t in rows_of(frame.select("doc_id", "text"))}
+        assert sorted(r.doc_id for r in rows) == sorted(texts)
+        assert all((r.size, r.text_crc32) == (len(texts[r.doc_id]) + 8, zlib.crc32(texts[r.doc_id])) for r in rows)
+        assert {r.law for r in rows} <= {"rows"} and all(r.grown_shard is None for r in rows)
+        by = defaultdict(list)
+        for r in rows:
+            by[r.shard].append(r.slot)
+        assert all(sorted(s) == list(range(len(s))) for s in by.values())
+        assert not rows or max(map(len, by.values())) - (min(map(len, by.values())) if len(by) == n else 0) <= 1
+
+
+def test_shards_are_mixed(spark):
+    frame = spark.range(0, 24_000, 1, 6).withColumnRenamed("id", "doc_id")
+    placed = sharding.uniform_shards(frame, 6, seed=1)
+    spread = placed.groupBy("shard", F.floor(F.col("doc_id") / 4000)).count().collect()
+    assert len(spread) == 36 and all(abs(r["count"] - 667) < 130 for r in spread)
+    inside = placed.groupBy("shard").agg(F.corr("slot", "doc_id").alias("c")).collect()
+    assert all(abs(r.c) < 0.08 for r in inside)
+    with pytest.raises(ValueError, match="rename"):
+        sharding.uniform_shards(placed, 2)
+
+
+def test_no_python_in_native_plans(documents):
+    for frame in (sharding.shard_documents(documents), mixing.mixed_blocks(documents)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
