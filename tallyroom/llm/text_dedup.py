@@ -34,9 +34,8 @@ from tallyroom.llm.words import WORD_BASE, mix, range_hashes, slices, spread, wo
 SHINGLE = 5
 SYMBOLS, BITS, CHUNKS, ERRORS = 64, 16, 16, 31
 BLOCK_ROWS = 512
-#: Cells of the sketch that rules out most pairs inside keys, and the share of equal cells that it takes to stay. A
-#: pair of similarity 0.75 falls below with a chance of 1 in a million at most.
-CELLS, LEAST_SHARE = 1024, 0.68
+#: Bytes of the sketch that rules out most pairs inside keys; the last ones hold the size of the set.
+CELLS, SIZE_BYTES = 1024, 4
 TURNS = 3
 _rng = np.random.default_rng(20)
 TIMES = _rng.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) | np.uint64(1)
@@ -67,14 +66,17 @@ def signatures(found: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def sketches(found: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """CELLS bytes per set: a byte of the smallest hash that falls into a cell, 0 if none does."""
-    row = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-    cell = row * CELLS + (found >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
+    """CELLS bytes per set: a byte of the smallest hash that falls into a cell, 0 if none does, and the set's size."""
+    sizes = np.diff(ends, prepend=0)
+    row = np.repeat(np.arange(len(ends)), sizes)
+    cell = row * CELLS + ((found >> np.uint64(32)) * np.uint64(CELLS - SIZE_BYTES) >> np.uint64(32)).astype(np.int64)
     first = np.ones(len(cell), bool)
     first[1:] = cell[1:] != cell[:-1]  # hashes are sorted within a set
     out = np.zeros(len(ends) * CELLS, np.uint8)
     out[cell[first]] = mix(found[first], 104) % np.uint64(255) + np.uint64(1)
-    return out.reshape(-1, CELLS)
+    out = out.reshape(-1, CELLS)
+    out[:, -SIZE_BYTES:] = sizes.astype("<u4").view(np.uint8).reshape(-1, SIZE_BYTES)
+    return out
 
 
 def with_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,9 +86,16 @@ def with_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("text"), pa.array(cells, pa.binary())], names=["node", "text", "sketch"])
 
 
-def alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Whether the sketches of pairs leave it open that the sets are similar enough."""
-    return ((x == y) & (x > 0)).sum(1) >= LEAST_SHARE * ((x > 0) | (y > 0)).sum(1)
+def alike(x: np.ndarray, y: np.ndarray, percent: int = 75) -> np.ndarray:
+    """Whether the sketches of pairs leave it open that the sets are similar enough.
+
+    No pair that links is ruled out: a cell differs only if a shingle of one set alone lies in it, so at least
+    as many shingles as cells that differ are not shared, and as many as the sizes differ by. With
+    `sizes` for the sum of both sizes, `100 * shared >= percent * union` says that at most
+    `sizes * (100 - percent) / (100 + percent)` are not shared."""
+    a, b = (np.ascontiguousarray(s[:, -SIZE_BYTES:]).view("<u4")[:, 0].astype(np.int64) for s in (x, y))
+    apart = np.maximum((x[:, :-SIZE_BYTES] != y[:, :-SIZE_BYTES]).sum(1), np.abs(a - b))
+    return apart * (100 + percent) <= (a + b) * (100 - percent)
 
 
 SIGNED = "doc_id long, n_shingles long, low long, high long, signature binary"
@@ -173,18 +182,21 @@ def confirm(percent: int):
     return run
 
 
-def keep_alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CELLS) for c in ("sketch_p", "sketch_q"))
-        yield pa.RecordBatch.from_arrays([batch.column("p"), batch.column("q")], names=["a", "b"]).filter(pa.array(alike(x, y)))
+def keep_alike(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CELLS) for c in ("sketch_p", "sketch_q"))
+            yield pa.RecordBatch.from_arrays([batch.column("p"), batch.column("q")], names=["a", "b"]).filter(pa.array(alike(x, y, percent)))
+
+    return run
 
 
-def promising(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def promising(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sketches leave it open that they link; texts need not be moved for the others."""
     p = texts.select(F.col("node").alias("p"), F.col("sketch").alias("sketch_p"))
     q = texts.select(F.col("node").alias("q"), F.col("sketch").alias("sketch_q"))
     both = pairs.select(F.col("a").alias("p"), F.col("b").alias("q")).join(p, "p").join(q, "q")
-    return both.select("p", "q", "sketch_p", "sketch_q").mapInArrow(keep_alike, "a long, b long")
+    return both.select("p", "q", "sketch_p", "sketch_q").mapInArrow(keep_alike(percent), "a long, b long")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, label: str) -> DataFrame:
@@ -194,7 +206,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, label: str) -> D
     return settle(both.mapInArrow(confirm(percent), "a long, b long"), label)
 
 
-def compare_blocks(table: pa.Table) -> pa.Table:
+def compare_blocks(table: pa.Table, percent: int = 75) -> pa.Table:
     """Pairs of two blocks of one key in different components, within the signature distance and alike in their
     sketches. A pair that shares several keys is left to the first of them."""
     side = table.column("side").to_numpy()
@@ -216,7 +228,7 @@ def compare_blocks(table: pa.Table) -> pa.Table:
         i, j = part[i], right[j]
         mine = first_shared(rows[i], rows[j]) == number
         i, j = i[mine], j[mine]
-        open_ = alike(cells[i], cells[j])
+        open_ = alike(cells[i], cells[j], percent)
         found[0].append(node[i[open_]])
         found[1].append(node[j[open_]])
     x, y = (np.concatenate(f) if f else np.zeros(0, np.int64) for f in found)
@@ -242,13 +254,13 @@ def near_texts(docs: DataFrame, percent: int = 75) -> DataFrame:
     texts = settle(class_texts(plain, wanted).mapInArrow(with_sketch, "node long, text string, sketch binary"), "near-texts")
     links, where = None, classes.select("node", F.col("node").alias("component"))
     for turn in range(TURNS):
-        met = settle(promising(meetings(keys, where, turn), texts), "near-meetings")
+        met = settle(promising(meetings(keys, where, turn), texts, percent), "near-meetings")
         more = confirmed(met, texts, percent, "near-links")
         discard(met)
         links = more if links is None else links.unionByName(more)
         joined = components(links, "a", "b", "near-components").select(F.col("id").alias("node"), F.col("component").alias("c"))
         where = settle(classes.select("node").join(joined, "node", "left").select("node", F.coalesce("c", "node").alias("component")), "near-where")
-    rest = settle(block_pairs(keys, where, classes.select("node", "signature").join(texts.select("node", "sketch"), "node")).distinct(), "near-rest")
+    rest = settle(block_pairs(keys, where, classes.select("node", "signature").join(texts.select("node", "sketch"), "node"), percent).distinct(), "near-rest")
     links = links.unionByName(confirmed(rest, texts, percent, "near-links"))
     discard(keys, texts, rest)
     # From classes to documents: vertices are ids now, and every member of a class hangs on its smallest.
@@ -311,7 +323,7 @@ def meetings(keys: DataFrame, where: DataFrame, turn: int) -> DataFrame:
     return joined.select(F.least("node", "point").alias("a"), F.greatest("node", "point").alias("b")).distinct()
 
 
-def block_pairs(keys: DataFrame, where: DataFrame, signed: DataFrame) -> DataFrame:
+def block_pairs(keys: DataFrame, where: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     """Pairs inside keys that still hold several components, block by block."""
     placed = keys.join(where, "node")
     open_keys = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count(F.lit(1)).alias("n"))
@@ -324,7 +336,11 @@ def block_pairs(keys: DataFrame, where: DataFrame, signed: DataFrame) -> DataFra
         F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"),
         F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"),
     )
-    return rows.groupBy("key", "first", "second").applyInArrow(compare_blocks, "a long, b long")
+
+    def compare(table: pa.Table) -> pa.Table:
+        return compare_blocks(table, percent)
+
+    return rows.groupBy("key", "first", "second").applyInArrow(compare, "a long, b long")
 
 
 def one_of_each(docs: DataFrame, percent: int = 75) -> DataFrame:

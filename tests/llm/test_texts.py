@@ -90,6 +90,29 @@ def test_sketches_keep_similar_sets():
             assert text_dedup.alike(x, y)[0] or similar < 0.75
 
 
+@pytest.mark.parametrize("union", range(4, 31))
+def test_sketches_keep_every_boundary_pair_of_small_sets(union):
+    """The least similar pairs that link, at any collision of cells."""
+    shared, rng = -(-75 * union // 100), np.random.default_rng(union)
+    pools = np.array([np.sort(rng.integers(0, 1 << 64, union, dtype=np.uint64)) for _ in range(3000)])
+    pools[:1000] >>= np.uint64(6)  # crowded: few cells for all
+    places = rng.permuted(np.tile(np.arange(union), (len(pools), 1)), axis=1)
+    cut = rng.integers(shared, union + 1, len(pools))  # what is not shared is dealt to the two sides
+    one = [np.sort(p[o[:c]]) for p, o, c in zip(pools, places, cut)]
+    two = [np.sort(p[np.concatenate((o[:shared], o[c:]))]) for p, o, c in zip(pools, places, cut)]
+    x, y = (text_dedup.sketches(np.concatenate(s), np.cumsum([len(p) for p in s])) for s in (one, two))
+    assert text_dedup.alike(x, y).all()
+
+
+def test_short_texts_at_the_boundary_are_linked(spark):
+    docs = []
+    for i in range(2000):
+        words = [f"w{i}_{j}" for j in range(8)]
+        docs += [(2 * i, " ".join(words[:7])), (2 * i + 1, " ".join(words))]
+    got = text_dedup.near_texts(spark.createDataFrame(docs, "doc_id long, text string")).filter("kept").count()
+    assert got == 2000
+
+
 def test_near_texts_of_odd_rows(odd_documents):
     docs = rows_of(odd_documents.select("doc_id", "text"))
     assert found(text_dedup.near_texts(odd_documents), *COLUMNS) == brute.near_texts(docs)
