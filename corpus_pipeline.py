@@ -24,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id. Documents without words or id stay;
-    of rows that share an id one stays."""
+    rows that share an id are told apart by their texts, see `text_dedup.one_of_each`."""
     return text_dedup.one_of_each(docs)
 
 

@@ -20,12 +20,14 @@ one class, whose smallest document stands for it.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyroom.llm.components import components
 from tallyroom.llm.frames import discard, one_row, settle
@@ -243,6 +245,21 @@ def near_texts(docs: DataFrame, percent: int = 75) -> DataFrame:
     share a doc_id are one vertex: a link of one is a link of all. A null doc_id has a null component
     and is not kept. Other columns are not read. An empty table gives no rows.
     """
+    signed, classes, links = linked_classes(docs, percent)
+    # From classes to documents: vertices are ids now, and every member of a class hangs on its smallest.
+    ids = classes.select("node", "doc_id")
+    ends = links.join(ids.withColumnsRenamed({"node": "a", "doc_id": "x"}), "a").join(ids.withColumnsRenamed({"node": "b", "doc_id": "y"}), "b")
+    members = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").select("low", "high", F.col("doc_id").alias("x"))
+    members = members.join(classes.select("low", "high", F.col("doc_id").alias("y")), ["low", "high"])
+    found = components(ends.select("x", "y").unionByName(members.select("x", "y")), "x", "y", "near-documents")
+    found = found.select(F.col("id").alias("_near_id"), "component")
+    out = signed.join(found, signed["doc_id"] == found["_near_id"], "left")
+    out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+def linked_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The signed rows, the classes of equal sets on rows with an id, and the links (a, b) between nodes of classes."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = settle(plain.mapInArrow(sign, SIGNED), "near-signatures")
     classes = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("low", "high")
@@ -263,16 +280,7 @@ def near_texts(docs: DataFrame, percent: int = 75) -> DataFrame:
     rest = settle(block_pairs(keys, where, classes.select("node", "signature").join(texts.select("node", "sketch"), "node"), percent).distinct(), "near-rest")
     links = links.unionByName(confirmed(rest, texts, percent, "near-links"))
     discard(keys, texts, rest)
-    # From classes to documents: vertices are ids now, and every member of a class hangs on its smallest.
-    ids = classes.select("node", "doc_id")
-    ends = links.join(ids.withColumnsRenamed({"node": "a", "doc_id": "x"}), "a").join(ids.withColumnsRenamed({"node": "b", "doc_id": "y"}), "b")
-    members = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").select("low", "high", F.col("doc_id").alias("x"))
-    members = members.join(classes.select("low", "high", F.col("doc_id").alias("y")), ["low", "high"])
-    found = components(ends.select("x", "y").unionByName(members.select("x", "y")), "x", "y", "near-documents")
-    found = found.select(F.col("id").alias("_near_id"), "component")
-    out = signed.join(found, signed["doc_id"] == found["_near_id"], "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    return signed, classes, links
 
 
 def shared_keys(classes: DataFrame) -> DataFrame:
@@ -288,11 +296,9 @@ def shared_keys(classes: DataFrame) -> DataFrame:
 def class_texts(plain: DataFrame, wanted: DataFrame) -> DataFrame:
     """The text of one document of each class wanted."""
     found = plain.join(wanted, "doc_id")
-    more = wanted.groupBy("doc_id").count().filter("count > 1").limit(1).count()
-    if more:  # ids that stand on different texts: tell these apart by their sets
-        found = found.mapInArrow(told_apart, "node long, text string")
-        return found.dropDuplicates(["node"])
-    return found.select("node", "text").dropDuplicates(["node"]) if repeated_ids(plain) else found.select("node", "text")
+    if repeated_ids(plain):  # an id may stand on different texts: tell these apart by their sets
+        return found.mapInArrow(told_apart, "node long, text string").dropDuplicates(["node"])
+    return found.select("node", "text")
 
 
 def repeated_ids(plain: DataFrame) -> bool:
@@ -303,8 +309,8 @@ def repeated_ids(plain: DataFrame) -> bool:
 def told_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows whose text has the set that the class says."""
     for batch in batches:
-        own = pa.concat_arrays([b.column("low") for b in sign([batch.select(["doc_id", "text"])])])
-        same = [x == y for x, y in zip(own.to_pylist(), batch.column("low").to_pylist())]
+        own = pa.Table.from_batches(sign([batch.select(["doc_id", "text"])])).select(["low", "high"])
+        same = [all(x == y for x, y in zip(*p)) for p in zip(zip(*own.to_pydict().values()), zip(*batch.select(["low", "high"]).to_pydict().values()))]
         yield batch.select(["node", "text"]).filter(pa.array(same, pa.bool_()))
 
 
@@ -346,10 +352,41 @@ def block_pairs(keys: DataFrame, where: DataFrame, signed: DataFrame, percent: i
 def one_of_each(docs: DataFrame, percent: int = 75) -> DataFrame:
     """The rows of `docs` without near-duplicates: of each component of `near_texts` its smallest doc_id.
 
-    Rows with a null id have no component and stay; of rows that share an id one stays."""
-    gone = near_texts(docs.select("doc_id", "text"), percent).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id")
-    left = docs.join(settle(gone.distinct(), "near-gone"), "doc_id", "left_anti").select(*docs.columns)
+    Rows with a null id have no component and stay. Where rows share an id, texts are told apart: of each group of
+    linked texts one row stays, with the smallest id. If several texts of an id would stay, those that a row
+    without id has as well do not stay twice. Of rows without words one stays for each id."""
     if repeated_ids(docs):
-        named = left.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-        left = named.unionByName(left.filter("doc_id IS NULL"))
-    return left
+        return one_of_each_text(docs, percent)
+    gone = near_texts(docs.select("doc_id", "text"), percent).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id")
+    return docs.join(settle(gone.distinct(), "near-gone"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def one_of_each_text(docs: DataFrame, percent: int) -> DataFrame:
+    signed, classes, links = linked_classes(docs.select("doc_id", "text"), percent)
+    groups = components(links, "a", "b", "near-text-groups").select(F.col("id").alias("node"), "component")
+    groups = classes.join(groups, "node", "left").select("low", "high", F.col("doc_id").alias("least"), F.coalesce("component", "node").alias("group"))
+    unnamed = signed.filter("n_shingles > 0 AND doc_id IS NULL").select("low", "high", F.lit(1).alias("spare")).distinct()
+    groups = settle(groups.join(unnamed, ["low", "high"], "left"), "near-groups")
+    best = groups.groupBy("group").agg(F.min("least").alias("doc_id"), F.max("spare").alias("spare"))
+    # Of an id with texts that stand nowhere else, those that a row without id has go; of one with none, all but one.
+    ids = best.groupBy("doc_id").agg(F.bool_or(F.col("spare").isNull()).alias("own"), F.min("group").alias("first"))
+    best = best.join(ids, "doc_id").filter(F.expr("spare IS NULL OR NOT own AND group = first")).select("group", F.col("doc_id").alias("least"))
+    best = settle(groups.drop("least", "spare").join(best, "group").select(*(F.col(c).alias(f"_near_{c}") for c in ("low", "high", "group", "least"))), "near-best")
+    fields = {f"_near_{c}": c for c in ("low", "high")}
+
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                plain = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text")], names=["doc_id", "text"])
+                own = pa.Table.from_batches(sign([plain])).combine_chunks()
+                for name, source in fields.items():
+                    column = own.column(source)
+                    batch = batch.append_column(name, column.chunk(0) if column.num_chunks else pa.array([], pa.int64()))
+                yield batch
+
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(name, T.LongType()) for name in fields)])
+    rows = settle(docs.mapInArrow(prints, schema), "near-rows")
+    wordless = rows.filter("doc_id IS NOT NULL AND _near_low IS NULL").dropDuplicates(["doc_id"])
+    kept = rows.join(best, ["_near_low", "_near_high"]).filter("doc_id = _near_least").dropDuplicates(["_near_group"])
+    parts = [rows.filter("doc_id IS NULL"), wordless, kept]
+    return reduce(DataFrame.unionByName, (p.select(*docs.columns) for p in parts))

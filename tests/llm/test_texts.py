@@ -130,6 +130,28 @@ def test_near_texts_with_null_and_repeated_ids(spark):
     assert sorted(str(r.doc_id) for r in text_dedup.one_of_each(frame).collect()) == ["1", "3", "None", "None"]
 
 
+def test_no_text_is_lost_to_a_shared_id(spark):
+    """An id on several texts: each is compared as itself, and none goes without an equal or linked one that stays."""
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    alone, late, near = " ".join(f"c{i}" for i in range(30)), " ".join(f"d{i}" for i in range(30)), b + " more"
+    rows = [(1, a), (5, a), (5, b), (7, near), (5, alone), (7, late), (8, late), (8, late), (9, None), (9, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = {r.doc_id: r.component_id for r in text_dedup.near_texts(frame).collect()}
+    assert groups == {1: 1, 5: 1, 7: 1, 8: 1, 9: 9}
+    kept = sorted(((r.doc_id, r.text) for r in text_dedup.one_of_each(frame).collect()), key=str)
+    assert kept[:4] == sorted([(1, a), (5, b), (5, alone), (7, late)]) and [k[0] for k in kept[4:]] == [9]
+
+
+def test_a_class_is_confirmed_on_its_own_text(spark):
+    """The review's case, forty times."""
+    rows = []
+    for i in range(0, 400, 10):
+        a, b = (" ".join(f"{c}{i}_{j}" for j in range(30)) for c in "ab")
+        rows += [(i + 1, a), (i + 5, a), (i + 5, b), (i + 7, b + " more")]
+    got = text_dedup.near_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.component_id == r.doc_id // 10 * 10 + 1 for r in got)
+
+
 DIGEST = ("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
