@@ -1,9 +1,10 @@
 """Main text of web pages, with site templates found by counting element subtrees per host.
 
-Every container element of a page is hashed with all that it holds. Spark counts on how many different
-pages of a host each hash stands; what recurs on many of them belongs to the site and is deleted. Pages
-that are whole copies of each other count once, and paragraphs, headings and the article itself are never
-templates: articles do repeat each other.
+Every element of a page is hashed with all that it holds. Spark counts on how many different
+pages of a host each hash stands; what recurs on many of them belongs to the site and is deleted, whether or not
+the rules below find it too. Pages that are whole copies of each other count once. Articles do repeat each other's
+paragraphs, so text blocks and inline elements take a large share of the host's pages besides; inline elements
+count if they stand alone in their block or hold four words, as short ones inside a sentence are words of it.
 
 Besides that, elements whose tag, role or class says that they are no part of the article go: menus, headers,
 footers, sidebars, notices, adverts, forms, comments. Where a page has an `article` or `main` element, the
@@ -26,6 +27,8 @@ from tallyroom.llm.urls import host_and_path
 
 #: A subtree is a template from so many different pages of its host on, if they are at least that share of them.
 MIN_PAGES, MIN_SHARE = 5, 0.01
+#: The same for text blocks and inline elements.
+TEXT_PAGES, TEXT_SHARE = 10, 0.3
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'<]|"[^"<]*"|'[^'<]*')*+>|[^>]*(?:>|\Z))|<[!?][^>]*(?:>|\Z)""", re.S)
 MARK = re.compile(r"""\b(class|id|role|aria-label|hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
@@ -46,6 +49,8 @@ NAMES = frozenset(
     "social related recommended widget pagination pager toolbar skip".split()
 )
 HOLDERS = frozenset(("article", "main"))
+#: Never text of a page, so not worth counting.
+GONE_UNSEEN = frozenset("head script style noscript template iframe textarea svg canvas object title math video audio".split())
 
 
 class Node:
@@ -116,23 +121,44 @@ def no_article(node: Node, inside: bool) -> bool:
 
 
 def subtrees(top: Node) -> list[tuple[Node, bytes, bool]]:
-    """Containers of a tree with the hash of all that they hold, and whether they would be kept otherwise."""
+    """The elements of a tree that may be templates with the hash of all that they hold, and whether they are text."""
     out, done = [], {}
-    stack = [(top, False, True, False)]
+    stack = [(top, True, False)]
     while stack:
-        node, inside, live, ready = stack.pop()
-        if ready:
-            whole = blake2b(node.tag.encode(), digest_size=8)
-            for part in node.parts:
-                whole.update(b"<" + done.pop(id(part)) if isinstance(part, Node) else b">" + " ".join(part.split()).encode("utf-8", "replace"))
-            done[id(node)] = whole.digest()
-            if node.tag not in TEXT_BLOCKS and node.tag in BLOCKS and node.tag not in ("html", "body", "article", "main", "hr"):
-                out.append((node, whole.digest(), live))
+        node, alone, ready = stack.pop()
+        if not ready:
+            stack.append((node, alone, True))
+            single = lone_parts(node) if alone or node.tag in BLOCKS else ()
+            stack.extend((part, id(part) in single, False) for part in node.parts if isinstance(part, Node))
             continue
-        inside = inside or node.tag in HOLDERS
-        live = live and not no_article(node, inside)
-        stack.append((node, inside, live, True))
-        stack.extend((part, inside, live, False) for part in node.parts if isinstance(part, Node))
+        whole, words = blake2b(node.tag.encode(), digest_size=8), 0
+        for part in node.parts:
+            if isinstance(part, Node):
+                key, n = done.pop(id(part))
+                whole.update(b"<" + key)
+            else:
+                pieces = part.split()
+                n = len(pieces)
+                whole.update(b">" + " ".join(pieces).encode("utf-8", "replace"))
+            words += n
+        done[id(node)] = whole.digest(), words
+        if words and node.tag not in ("", "html", "body", "article", "main", "hr") and node.tag not in GONE_UNSEEN:
+            container = node.tag in BLOCKS and node.tag not in TEXT_BLOCKS
+            if container or node.tag in TEXT_BLOCKS or words >= 4 or alone:
+                out.append((node, whole.digest(), not container))
+    return out
+
+
+def lone_parts(node: Node) -> set[int]:
+    """The ids of the parts of a node that nothing else shares a line with."""
+    out, line = set(), []
+    for part in (*node.parts, None):
+        if part is None or isinstance(part, Node) and (part.tag in BLOCKS or part.tag == "br"):
+            if len(line) == 1:
+                out.add(id(line[0]))
+            line.clear()
+        elif isinstance(part, Node) or part.strip():
+            line.append(part)
     return out
 
 
@@ -190,28 +216,27 @@ def main_text(page: str | None, templates: frozenset[bytes] = frozenset()) -> st
 
 
 def site_templates(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """(key, hashes): for a page, by its `key`, the subtrees to delete that its own marks would keep."""
+    """(key, hashes): for a page, by its `key`, the subtrees to delete."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             for key, url, page in zip(*(batch.column(c).to_pylist() for c in ("key", "url", "html"))):
-                host, own = host_and_path(url)[0], {}
+                host = host_and_path(url)[0]
                 article = number(blake2b(main_text(page).encode("utf-8", "replace"), digest_size=8).digest())
-                for _, whole, live in subtrees(parse(page or "")):
-                    own[whole] = own.get(whole, False) or live
-                rows.extend((key, host, article, number(whole), live) for whole, live in own.items())
+                own = {(number(whole), text) for _, whole, text in subtrees(parse(page or ""))}
+                rows.extend((key, host, article, *one) for one in own)
             yield pa.RecordBatch.from_pylist([dict(zip(FOUND.names, row)) for row in rows], schema=FOUND)
 
-    found = settle(pages.mapInArrow(scan, "key long, host string, article long, hash long, live boolean").distinct(), "site-subtrees")
-    kinds = found.select("host", "hash", "article", "live").groupBy("host", "hash", "article").agg(F.max("live").alias("live"))
-    often = kinds.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"), F.max("live").alias("live")).filter(f"n >= {min_pages} AND live")
+    found = settle(pages.mapInArrow(scan, "key long, host string, article long, hash long, textual boolean").distinct(), "site-subtrees")
+    kinds = found.select("host", "hash", "textual", "article").distinct()
+    often = kinds.groupBy("host", "hash", "textual").agg(F.count(F.lit(1)).alias("n")).filter(f"n >= IF(textual, {max(min_pages, TEXT_PAGES)}, {min_pages})")
     sizes = found.select("host", "article").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    often = often.join(sizes, "host").filter(F.col("n") >= F.col("pages") * min_share).select("host", "hash")
-    return settle(found.filter("live").join(often, ["host", "hash"]).groupBy("key").agg(F.collect_set("hash").alias("hashes")), "site-templates")
+    often = often.join(sizes, "host").filter(f"n >= pages * IF(textual, {max(min_share, TEXT_SHARE)}, {min_share})").select("host", "hash")
+    return settle(found.join(often, ["host", "hash"]).groupBy("key").agg(F.collect_set("hash").alias("hashes")), "site-templates")
 
 
-FOUND = pa.schema([("key", pa.int64()), ("host", pa.string()), ("article", pa.int64()), ("hash", pa.int64()), ("live", pa.bool_())])
+FOUND = pa.schema([("key", pa.int64()), ("host", pa.string()), ("article", pa.int64()), ("hash", pa.int64()), ("textual", pa.bool_())])
 
 
 def number(digest: bytes) -> int:

@@ -96,6 +96,21 @@ def test_templates_are_found_by_recurrence(spark):
     assert html_text.extract_pages(frame.limit(0)).count() == 0
 
 
+def texts_of(spark, pages):
+    rows = [(i, url, page) for i, (url, page) in enumerate(pages)]
+    return {r.page_id: r.text for r in html_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_notices_inside_articles_are_found_by_recurrence(spark):
+    """Plain text blocks and inline elements on most pages of a host go; a passage of few articles and words of sentences stay."""
+    def page(i):
+        shared = "<p>Passage of a few articles.</p>" if i < 6 else ""
+        return f"<article><h3>Read more</h3><p>Text {i} <b>The</b> end</p>{shared}<p>Subscribe to us</p><ul><li>Follow us<li>Own {i}</ul><span>Sign up</span></article>"
+
+    got = texts_of(spark, [(f"http://a.org/{i}", page(i)) for i in range(40)])
+    assert got[0] == "Text 0 The end\nPassage of a few articles.\nOwn 0" and got[30] == "Text 30 The end\nOwn 30"
+
+
 def test_every_page_of_the_table_has_a_text(spark):
     frame = spark.read.parquet(f"{SMALL}/pages.parquet")
     rows = html_text.extract_pages(frame).collect()
