@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from tallyroom.llm.frames import settle
 from tallyroom.llm.urls import host_and_path
 
-#: A subtree is a template from so many different pages of its host on, if they are at least that share of them.
-MIN_PAGES, MIN_SHARE = 5, 0.01
-#: The same for text blocks and inline elements.
+#: A container is a template from so many different pages of its host on, however large the host is.
+MIN_PAGES, MIN_SHARE = 10, 0.0
+#: Text blocks and inline elements are from so many on, if they are at least that share of the host's.
 TEXT_PAGES, TEXT_SHARE = 10, 0.3
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'<]|"[^"<]*"|'[^'<]*')*+>|[^>]*(?:>|\Z))|<[!?][^>]*(?:>|\Z)""", re.S)

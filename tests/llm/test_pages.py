@@ -111,6 +111,18 @@ def test_notices_inside_articles_are_found_by_recurrence(spark):
     assert got[0] == "Text 0 The end\nPassage of a few articles.\nOwn 0" and got[30] == "Text 30 The end\nOwn 30"
 
 
+def test_templates_do_not_depend_on_the_size_of_a_host(spark):
+    """A menu on 0.5% of a hot host goes; a container that five articles share stays, also on a small host."""
+    def page(i, menu, box):
+        return f"<body>{'<div>Section menu</div>' if menu else ''}<p>Text {i}</p>{'<div>Table of facts</div>' if box else ''}</body>"
+
+    hot = [("http://hot.org/x", page(i, i % 200 == 0, i % 500 == 1)) for i in range(2500)]
+    small = [("http://small.org/x", page(i, i < 12, i < 5)) for i in range(30)]
+    got = texts_of(spark, hot + small)
+    assert not any("menu" in t for t in got.values())
+    assert sum("Table of facts" in t for t in got.values()) == 10
+
+
 def test_every_page_of_the_table_has_a_text(spark):
     frame = spark.read.parquet(f"{SMALL}/pages.parquet")
     rows = html_text.extract_pages(frame).collect()
