@@ -7,8 +7,9 @@ paragraphs, so text blocks and inline elements take a large share of the host's
 count if they stand alone in their block or hold four words, as short ones inside a sentence are words of it.
 
 Besides that, elements whose tag, role or class says that they are no part of the article go: menus, headers,
-footers, sidebars, notices, adverts, forms, comments. Where a page has an `article` or `main` element, the
-text is what stands in it.
+footers, sidebars, notices, adverts, forms, comments. A class or id says so only of elements that hold neither
+the page's largest `article` or `main` nor most of its text, and not if nothing would be left; comments may hold most.
+Where `article` or `main` elements hold half of what is kept at least, the text is what stands in them.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ MIN_PAGES, MIN_SHARE = 10, 0.0
 TEXT_PAGES, TEXT_SHARE = 10, 0.3
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'<]|"[^"<]*"|'[^'<]*')*+>|[^>]*(?:>|\Z))|<[!?][^>]*(?:>|\Z)""", re.S)
-MARK = re.compile(r"""\b(class|id|role|aria-label|hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+MARK = re.compile(r"class|id|role|hidden|style", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 PIECE = re.compile(r"[a-z]+|[0-9]+")
 RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "xmp", "template")
 RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
@@ -48,16 +50,17 @@ NAMES = frozenset(
     "subscribe signup login sidebar aside menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead comment comments disqus reply replies respond share sharing "
     "social related recommended widget pagination pager toolbar skip".split()
 )
+COMMENTS = frozenset("comment comments disqus reply replies respond".split())
 HOLDERS = frozenset(("article", "main"))
 #: Never text of a page, so not worth counting.
 GONE_UNSEEN = frozenset("head script style noscript template iframe textarea svg canvas object title math video audio".split())
 
 
 class Node:
-    __slots__ = ("tag", "marks", "parts", "up")
+    __slots__ = ("tag", "marks", "parts", "up", "said")
 
     def __init__(self, tag: str, marks: str, up: Node | None):
-        self.tag, self.marks, self.parts, self.up = tag, marks, [], up
+        self.tag, self.marks, self.parts, self.up, self.said = tag, marks, [], up, None
 
 
 def parse(text: str) -> Node:
@@ -103,21 +106,69 @@ def parse(text: str) -> Node:
     return top
 
 
-def no_article(node: Node, inside: bool) -> bool:
-    """Whether tag, role, class or id say that an element is not part of the article."""
+def said_by(node: Node) -> tuple[bool, bool, bool, bool]:
+    """Whether role or style say that an element is no part of the article, whether class or id do, whether they name
+    a header, and whether a name begins with comments."""
+    if node.said is None:
+        sure = named = header = comments = False
+        if MARK.search(node.marks):
+            for key, value in ATTRIBUTE.findall(node.marks):
+                key, value = key.lower(), value.strip("\"'").lower()
+                if key == "hidden" or key == "style" and "display:none" in value.replace(" ", "") or key == "role" and value in ROLES:
+                    sure = True
+                elif key in ("class", "id") and node.tag not in ("html", "body"):
+                    for name in value.split():
+                        pieces = PIECE.findall(name)
+                        named, header = named or not NAMES.isdisjoint(pieces), header or "header" in pieces
+                        comments = comments or bool(pieces) and pieces[0] in COMMENTS
+        node.said = sure, named, header, comments
+    return node.said
+
+
+def no_article(node: Node, inside: bool, spared: set[int] | None = frozenset()) -> bool:
+    """Whether tag, role, class or id say that an element is not part of the article. Class and id are not asked
+    for elements that are spared; None spares all."""
     if node.tag in GONE or node.tag == "header" and not inside:
         return True
-    if "=" not in node.marks and "hidden" not in node.marks:
-        return False
-    for key, value in MARK.findall(node.marks):
-        key, value = key.lower(), value.strip("\"'").lower()
-        if key == "hidden" or key == "style" and "display:none" in value.replace(" ", "") or key == "role" and value in ROLES:
-            return True
-        if key in ("class", "id") and node.tag not in ("html", "body"):
-            pieces = PIECE.findall(value)
-            if not NAMES.isdisjoint(pieces) or not inside and "header" in pieces:
-                return True
-    return False
+    sure, named, header, _ = said_by(node)
+    return sure or (named or header and not inside) and spared is not None and id(node) not in spared
+
+
+def spare(top: Node) -> set[int]:
+    """The elements, by their ids, that hold the largest article or main or most of the page's text outside links."""
+    weights: dict[int, int] = {}
+    nodes, stack = [], [top]
+    while stack:
+        node = stack.pop()
+        if node.tag in GONE or node.tag == "a" or said_by(node)[0]:
+            weights[id(node)] = 0
+            continue
+        nodes.append(node)
+        stack.extend(part for part in node.parts if isinstance(part, Node))
+    largest = None
+    for node in reversed(nodes):  # parts before the elements that hold them
+        weight = sum(weights[id(part)] if isinstance(part, Node) else len(part.strip()) for part in node.parts)
+        weights[id(node)] = weight
+        if node.tag in HOLDERS and (largest is None or weight >= weights[id(largest)]):
+            largest = node
+    spared = set()
+    node = largest
+    while node:
+        spared.add(id(node))
+        node = node.up
+    for node in nodes:
+        if 2 * weights[id(node)] > weights[id(top)] and id(node) not in spared:
+            if not (said_by(node)[3] and largest and apart(node, largest, weights)):
+                spared.add(id(node))
+    return spared
+
+
+def apart(node: Node, holder: Node, weights: dict[int, int]) -> bool:
+    """Whether an article or main has text outside an element that does not hold it."""
+    up = node
+    while up and up is not holder:
+        up = up.up
+    return weights[id(holder)] > (weights[id(node)] if up else 0)
 
 
 def subtrees(top: Node) -> list[tuple[Node, bytes, bool]]:
@@ -162,17 +213,26 @@ def lone_parts(node: Node) -> set[int]:
     return out
 
 
-def holders(top: Node) -> list[Node]:
-    """The outermost article or main elements that are kept; the whole tree if there are none."""
-    found, stack = [], [top]
+def holders(top: Node, gone: set[int], spared: set[int] | None) -> list[Node]:
+    """The outermost article or main elements that are kept; the whole tree if more text is kept outside them."""
+    found, within, total = [], 0, 0
+    stack = [(top, False, False)]
     while stack:
-        node = stack.pop()
-        if node.tag in HOLDERS:
-            if not no_article(node, True):
-                found.append(node)
-        elif not no_article(node, False):
-            stack.extend(p for p in reversed(node.parts) if isinstance(p, Node))
-    return found or [top]
+        node, inside, link = stack.pop()
+        if node.tag in HOLDERS and not inside:
+            if no_article(node, True, spared) or id(node) in gone:
+                continue
+            inside = True
+            found.append(node)
+        elif node is not top and (no_article(node, inside, spared) or id(node) in gone):
+            continue
+        link = link or node.tag == "a"
+        if not link:
+            weight = sum(len(part.strip()) for part in node.parts if isinstance(part, str))
+            total += weight
+            within += weight if inside else 0
+        stack.extend((part, inside, link) for part in reversed(node.parts) if isinstance(part, Node))
+    return found if found and 2 * within >= total else [top]
 
 
 def main_text(page: str | None, templates: frozenset[bytes] = frozenset()) -> str:
@@ -180,7 +240,15 @@ def main_text(page: str | None, templates: frozenset[bytes] = frozenset()) -> st
     if not page:
         return ""
     top = parse(page)
-    gone = {id(node) for node, key, _ in subtrees(top) if key in templates} if templates else ()
+    gone = {id(node) for node, key, _ in subtrees(top) if key in templates} if templates else set()
+    spared = spare(top)
+    text = kept_text(top, gone, spared)
+    if not text and not (gone and kept_text(top, set(), spared)):
+        text = kept_text(top, gone, None)
+    return text
+
+
+def kept_text(top: Node, gone: set[int], spared: set[int] | None) -> str:
     blocks: list[str] = []
     run: list[str] = []
 
@@ -192,16 +260,18 @@ def main_text(page: str | None, templates: frozenset[bytes] = frozenset()) -> st
                 blocks.append(text)
             run.clear()
 
-    for holder in holders(top):
-        inside = holder.tag in HOLDERS
-        stack: list[Node | str | None] = [holder]
+    for holder in holders(top, gone, spared):
+        stack: list[tuple[Node | str | None, bool]] = [(holder, False)]
         while stack:
-            part = stack.pop()
+            part, inside = stack.pop()
             if part is None:
                 close()
-            elif isinstance(part, str):
+                continue
+            if isinstance(part, str):
                 run.append(part)
-            elif part is not holder and no_article(part, inside) or id(part) in gone:
+                continue
+            inside = inside or part.tag in HOLDERS
+            if part is not holder and no_article(part, inside, spared) or id(part) in gone:
                 if part.tag in BLOCKS:
                     close()
             elif part.tag == "br":
@@ -209,8 +279,8 @@ def main_text(page: str | None, templates: frozenset[bytes] = frozenset()) -> st
             else:
                 if part.tag in BLOCKS:
                     close()
-                    stack.append(None)
-                stack.extend(reversed(part.parts))
+                    stack.append((None, inside))
+                stack.extend((p, inside) for p in reversed(part.parts))
         close()
     return "\n".join(blocks)
 

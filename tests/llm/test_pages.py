@@ -96,6 +96,24 @@ def test_templates_are_found_by_recurrence(spark):
     assert html_text.extract_pages(frame.limit(0)).count() == 0
 
 
+LONG = "<p>The text of this page goes on for a while, so that it is most of it.</p>"
+PLAIN = "The text of this page goes on for a while, so that it is most of it."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f'<article class="post has-comments">{LONG}<div class="comments">c</div></article>', PLAIN),
+    (f'<div class="layout with-sidebar"><article>{LONG}</article><div class="sidebar">s</div></div>', PLAIN),
+    (f'<article>{LONG}<p>See <a href="/the-hidden-valley">the valley</a> and <a href="?id=comment">more</a> <b aria-hidden="false" data-class="ad">now</b></p></article>', PLAIN + "\nSee the valley and more now"),
+    (f"<div>{LONG}</div><article>teaser</article><article>other</article>", PLAIN + "\nteaser\nother"),
+    (f'<div class="page notice">{LONG}</div><article>teaser</article>', PLAIN + "\nteaser"),
+    (f'<div class="menu"><p>a b</p></div><div class="notice"><p>c d</p></div>', "a b\nc d"),
+    (f'<article><p>Short post</p><section id="comments">{LONG}</section></article>', "Short post"),
+    (f'<article>{LONG}</article><div class="related"><article>teaser</article></div>', PLAIN),
+])
+def test_no_article_goes_for_a_piece_of_a_name(page, text):
+    assert html_text.main_text(page) == text
+
+
 def texts_of(spark, pages):
     rows = [(i, url, page) for i, (url, page) in enumerate(pages)]
     return {r.page_id: r.text for r in html_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
