@@ -1,7 +1,14 @@
 """The driver's entry points."""
 
+import shutil
+import subprocess
+import sys
+
+import pytest
+
 import __spark_entry__ as entry_points
 from checks import ORACLES, QUERIES
+from tests.conftest import ROOT
 
 
 def test_flagship_query(spark):
@@ -23,3 +30,13 @@ def test_queries_can_be_built_twice_before_either_is_read(spark):
         query = entry_points.queries()[name]
         first, second = (query(spark, "/root/testdata/sf0.001") for _ in range(2))
         assert first.count() == second.count() > 0
+
+
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_entry_without_the_operators_for_training_data(tmp_path, pipeline):
+    """All other queries stay when the subpackage is gone, whether or not the pipeline's module is still there."""
+    gone = ["llm", ".git", "__pycache__", "tests"] + ([] if pipeline else ["corpus_pipeline.py"])
+    shutil.copytree(ROOT, tmp_path / "copy", ignore=shutil.ignore_patterns(*gone))
+    names = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), 'pipeline' in e.queries())"
+    done = subprocess.run([sys.executable, "-c", names], cwd=tmp_path / "copy", capture_output=True, text=True, check=True)
+    assert done.stdout.split() == [str(len(QUERIES)), str(len(ORACLES)), "False"]
