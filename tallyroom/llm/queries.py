@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyroom.llm import embedding_dedup, html_text, mixing, packing, sharding, substring_dedup, text_dedup, topk, toxicity, urls
+from tallyroom.llm import alignment, embedding_dedup, html_text, mixing, packing, sharding, substring_dedup, text_dedup, topk, toxicity, urls, vector_packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +127,13 @@ URL_SQL = """
 @query("op9_url_wildcards", "pages", URL_SQL)
 def op9(pages: DataFrame) -> DataFrame:
     return urls.judge_urls(pages)
+
+
+@query("op11_vector_packing", "documents")
+def op11(docs: DataFrame) -> DataFrame:
+    return vector_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op13_interval_alignment", "documents")
+def op13(docs: DataFrame) -> DataFrame:
+    return alignment.align_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
