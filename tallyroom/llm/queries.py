@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyroom.llm import alignment, embedding_dedup, html_text, mixing, packing, sharding, substring_dedup, text_dedup, topk, toxicity, urls, vector_packing
+from tallyroom.llm import alignment, embedding_dedup, html_text, mixing, packing, phrases, sharding, substring_dedup, text_dedup, topk, toxicity, urls, vector_packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -134,6 +134,48 @@ def op11(docs: DataFrame) -> DataFrame:
     return vector_packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+#: The grammar of DuckDB's regular expressions is that of RE2; its 128-bit integers hold the products.
+PHRASE_SQL = """
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents WHERE text IS NOT NULL
+    ), lists AS (
+        SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces
+    ), grams AS (
+        SELECT lang, k, unnest(list_transform(generate_series(1, len(w) - k + 1), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+        FROM lists, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k
+    ), f AS (
+        SELECT lang, phrase, any_value(k) AS k, count(*) AS c FROM grams GROUP BY lang, phrase
+    ), totals AS (
+        SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+    ), chosen AS (
+        SELECT lang, phrase, k, c AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND c >= 10
+    ), cuts AS (
+        SELECT lang, phrase, k, a, unnest(generate_series(1, k - 1)) AS cut, w FROM chosen
+    ), scored AS (
+        SELECT c.lang, c.phrase, c.k, c.a, c.cut, l.c AS l, r.c AS r,
+               CAST((1000000::HUGEINT * c.a * c.a) // (l.c::HUGEINT * r.c) AS BIGINT) AS score
+        FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.cut], ' ')
+        JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.cut + 1:c.k], ' ')
+    ), lowest AS (
+        SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+    ), longer AS (
+        SELECT lang, array_to_string(w[s:s + 1], ' ') AS phrase, max(a) AS most
+        FROM chosen, (SELECT unnest([1, 2]) AS s) WHERE k = 3 GROUP BY ALL
+    ), ranked AS (
+        SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DESC, encode(c.phrase)) AS rank, c.phrase, a, l, r, score
+        FROM lowest c LEFT JOIN longer g ON g.lang = c.lang AND g.phrase = c.phrase AND 100 * g.most >= 50 * c.a
+        WHERE g.phrase IS NULL
+    )
+    SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op12_phrase_automata", "documents", PHRASE_SQL)
+def op12(docs: DataFrame) -> DataFrame:
+    return phrases.collocations(docs)
+
 @query("op13_interval_alignment", "documents")
 def op13(docs: DataFrame) -> DataFrame:
     return alignment.align_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
