@@ -31,7 +31,7 @@ from tallyroom.llm.frames import all_rows, one_row, settle
 from tallyroom.llm.words import LOWER, slices, spread
 
 WORDS, LEAST, SHARE, MOST, MILLION = 3, 10, 50, 2000, 1_000_000
-SLICE_BYTES, RANGE_BYTES = 8 << 20, 16 << 20
+SLICE_BYTES, RANGE_BYTES = 4 << 20, 4 << 20
 #: Borders of ranges come from so many windows of so many characters.
 SAMPLE_DOCS, SAMPLE_CHARS = 1500, 400
 BREAK, BETWEEN = np.zeros(256, bool), np.zeros(256, bool)
