@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import check, table
 from tallyroom.functions import in_year
-from tallyroom.operators import count_by, frame_report, mean_by, min_max, row_count, top_n
+from tallyroom.operators import count_by, frame_report, mean_by, min_max, row_count, top_n, with_position
 from tallyroom.plans import counts, weather
 
 
@@ -293,3 +293,16 @@ def month_stddev(spark, folder):
 @check(STDDEV_SQL.format(where="WHERE o_totalprice BETWEEN 50000 AND 400000"))
 def month_stddev_valid(spark, folder):
     return monthly_spread(spark, folder, (50_000.0, 400_000.0))
+
+
+@check(
+    """
+    SELECT o_orderkey, o_orderpriority, o_totalprice, row_number() OVER (
+               ORDER BY o_orderpriority DESC, o_totalprice, o_orderkey) AS position
+    FROM orders
+    """
+)
+def sorted_positions(spark, folder):
+    """The place of every order by a key with few values, so that ranges must part its ties."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return with_position(orders, [F.desc("o_orderpriority"), "o_totalprice"], ["o_orderkey"])

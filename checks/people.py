@@ -14,12 +14,12 @@ from checks.files import checks_table
 from checks.registry import check, table
 from tallyroom.operators import frame_report, row_count, top_n
 from tallyroom.plans import hr
-from tallyroom.sinks import write_jdbc
+from tallyroom.sinks import publish_jdbc, write_jdbc
 from tallyroom.sources import (
     Remote,
-    Split,
     attach_catalog,
     even_predicates,
+    quantile_predicates,
     read_csv,
     read_jdbc,
     split_over,
@@ -114,8 +114,18 @@ def remote_customers(spark, folder):
 @check(CUSTOMER_SQL)
 def jdbc_table(spark, folder):
     remote, name = remote_customers(spark, folder)
-    by_key = Split("c_custkey", "0", "1500", parts_of(spark))
-    return read_jdbc(spark, remote, name, split=by_key)
+    ranges = quantile_predicates(spark, remote, name, "c_custkey", parts_of(spark))
+    return read_jdbc(spark, remote, name, predicates=ranges)
+
+
+@check(CUSTOMER_SQL)
+def jdbc_published(spark, folder):
+    """A table that is overwritten through a staging table, read by ranges of a text."""
+    remote, name = remote_customers(spark, folder)
+    customers = table(spark, folder, "customer")
+    publish_jdbc(customers, remote, name, "overwrite", column_types=CUSTOMER_TYPES)
+    ranges = quantile_predicates(spark, remote, name, "c_name", parts_of(spark))
+    return read_jdbc(spark, remote, name, predicates=ranges)
 
 
 @check(CUSTOMER_SQL + " WHERE c_mktsegment = 'MACHINERY'")

@@ -20,7 +20,7 @@ from tallyroom.operators.catalog import (
     use_database,
 )
 from tallyroom.operators.shape import conform, parse_fixed_width, swap_columns
-from tallyroom.operators.topk import in_order, sort_all, top_n
+from tallyroom.operators.topk import in_order, sort_all, top_n, with_position
 
 __all__ = [
     "catalog_columns",
@@ -43,5 +43,6 @@ __all__ = [
     "stddev_by",
     "swap_columns",
     "top_n",
+    "with_position",
     "use_database",
 ]

@@ -7,6 +7,7 @@ from tallyroom.sources.remote import (
     Split,
     attach_catalog,
     even_predicates,
+    quantile_predicates,
     read_jdbc,
     split_over,
 )
@@ -17,6 +18,7 @@ __all__ = [
     "attach_catalog",
     "even_predicates",
     "object_store_conf",
+    "quantile_predicates",
     "read_csv",
     "read_jdbc",
     "read_json",

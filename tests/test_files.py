@@ -3,6 +3,8 @@
 import datetime
 import glob
 import os
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -142,6 +144,37 @@ def test_replace_table_can_read_what_it_replaces(spark, tmp_path):
         op.drop_table(spark, name)
 
 
+def test_a_reader_in_a_loop_never_fails_while_a_table_is_replaced(spark, tmp_path):
+    op.create_database(spark, "loop_db", str(tmp_path / "db"))
+    for path in (None, str(tmp_path / "t")):
+        name, seen, stop = f"loop_db.t{path is None}", [], threading.Event()
+        sinks.replace_table(spark.range(100), name, path)
+
+        def read(name=name, seen=seen, stop=stop):
+            while not stop.is_set():
+                seen.append(spark.newSession().table(name).count() if len(seen) % 2 else spark.table(name).count())
+
+        with ThreadPoolExecutor(1) as pool:
+            reader = pool.submit(read)
+            for n in range(1, 7):
+                sinks.replace_table(spark.range(100 + n), name, path)
+            stop.set()
+            reader.result(60)
+        assert set(seen) <= set(range(100, 107)) and seen == sorted(seen) and len(seen) > 3
+        assert sinks.forget_versions(spark, name) == (6 if path else 5)
+        assert spark.table(name).count() == 106 and sinks.forget_versions(spark, name) == 0
+        op.drop_table(spark, name)
+
+
+def test_a_table_of_other_columns_or_layout_is_replaced(spark, tmp_path):
+    op.create_database(spark, "other_db", str(tmp_path / "db"))
+    spark.range(4).selectExpr("id", "id % 2 AS half").write.partitionBy("half").saveAsTable("other_db.t")
+    assert sinks.replace_table(spark.range(3).selectExpr("id", "id AS half"), "other_db.t").count() == 3
+    assert sinks.replace_table(spark.range(2), "other_db.t").columns == ["id"]
+    assert sinks.forget_versions(spark, "other_db.t") == 0
+    op.drop_table(spark, "other_db.t")
+
+
 def test_external_table_notices_another_place_or_other_columns(spark, trips, tmp_path):
     op.create_database(spark, "external_db", str(tmp_path / "db"))
     name, other = "external_db.trips", tmp_path / "other.csv"

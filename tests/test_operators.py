@@ -93,6 +93,42 @@ def test_sort_all_parts_a_value_of_a_third_of_the_rows(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_sort_all_keeps_a_column_of_its_own_helper_s_name(spark):
+    df = spark.createDataFrame([(2, "x"), (1, "y")], "sort_all_row int, SORT_ALL_ROW_1 string")
+    assert rows(op.sort_all(df, ["sort_all_row"])) == [(1, "y"), (2, "x")]
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_positions_are_those_of_the_whole_order(spark, adaptive):
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 7).otherwise(F.col("id") % 50)
+        df = spark.range(5_000).select(hot.alias("k"), "id").repartition(7)
+        placed = op.with_position(df, [F.desc_nulls_first("k")], ["id"], "row no.")
+        assert placed.columns == ["k", "id", "row no."]
+        wanted = sorted(rows(df), key=lambda r: (r[0] is not None, -(r[0] or 0), r[1]))
+        assert sorted(rows(placed), key=lambda r: r[2]) == [(*row, n + 1) for n, row in enumerate(wanted)]
+        ties = op.with_position(df.select("k"), ["k"], first=0)
+        assert sorted(r.position for r in ties.collect()) == list(range(5_000))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_positions_need_a_name_and_no_rows(spark):
+    df = spark.createDataFrame([(1, 2)], "row_number_in int, part_of_row int")
+    assert rows(op.with_position(df, ["part_of_row"])) == [(1, 2, 1)]
+    assert op.with_position(df.limit(0), ["part_of_row"]).count() == 0
+    with pytest.raises(ValueError, match="already"):
+        op.with_position(df, ["part_of_row"], name="ROW_NUMBER_IN")
+
+
+def test_no_task_counts_all_positions(spark):
+    placed = op.with_position(spark.range(100), ["id"])
+    plan = placed._jdf.queryExecution().toString()
+    windows = plan[: plan.index("== Physical")].count("Window [")
+    assert windows >= 1 and "rangepartitioning" not in plan  # the sort is done; only sizes are counted
+
+
 RECORD = StructType([StructField("id", LongType()), StructField("name", StringType())])
 
 
@@ -179,7 +215,9 @@ LAZY = [name for name in QUERIES if not name.startswith("jdbc")]
 @pytest.mark.parametrize("name", sorted(LAZY))
 def test_no_plan_has_a_cross_join_or_python(spark, name):
     text = tree(QUERIES[name](spark, f"{DATA}/sf0.001"))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval", "Join"):
+    unwanted = ["CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval"]
+    # Positions meet the sizes of the ranges before them, one row per task.
+    for operator in unwanted + ([] if name == "sorted_positions" else ["Join"]):
         assert operator not in text, name
 
 
