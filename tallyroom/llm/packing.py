@@ -64,6 +64,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.slot: dict[str, int] = {}
         self.flat, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.hits = np.zeros(0, np.int32)
@@ -109,7 +110,8 @@ class WordTokens:
         out: list[np.ndarray | None] = [None] * len(texts)
         plain = []
         for i, text in enumerate(texts):
-            if ODD_SPACE.search(text):
+            lower = text.lower()  # would make added tokens of what stands there in capitals
+            if ODD_SPACE.search(text) or any(token in lower for token in self.added):
                 out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
             elif FAR_LETTER.search(text):
                 plain.append((i, text))

@@ -2,10 +2,14 @@
 
 A word is the mean of the vectors of its character n-grams, hashed into one table, its borders being
 characters too; a misspelling or an inflection never seen shares most of its vector with words that were. A bag is a run of
-WINDOW words; its mean goes through a linear softmax of two classes, and a text is as toxic as its worst
-bag, so a few words count as much in a long text as in a short one. Table and softmax are trained
+WINDOW words, here a single one; its mean goes through a linear softmax of two classes, and a text is as toxic as its worst
+bag, so one word counts as much in a long text as in a short one. Table and softmax are trained
 together on the labelled sample.
 
+What keeps single texts from being learned by heart: n-grams that fewer than LEAST_TEXTS texts hold take no part; a
+fifth of the sample is held back, and the table is kept as it was when the loss on that part was least, which
+also sets the bias; and the margins of RESTARTS such trainings, each holding back another part, are averaged.
+
 After training, a text needs only the softmax margin of every table row: one number per n-gram.
 """
 
@@ -15,19 +19,21 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroom.llm.frames import settle
-from tallyroom.llm.words import WORD_BASE, range_hashes, spread
+from tallyroom.llm.words import WORD_BASE, range_hashes, slices, spread
 
 #: The training sample: at most so many documents of label 0 and of label 1, none longer than TRAIN_CHARS.
 TRAIN_DOCS, TRAIN_CHARS = (3000, 1500), 10_000
-ROW_BITS, DIM, WINDOW, STEPS = 17, 8, 8, 60
+ROW_BITS, DIM, WINDOW, STEPS = 17, 8, 1, 90
+#: The first steps average over all bags of a text; training ends when PATIENCE steps brought nothing.
+MEAN_STEPS, PATIENCE, RESTARTS, HELD_BACK, LEAST_TEXTS = 20, 20, 3, 0.2, 3
 ROWS = 1 << ROW_BITS
 GRAMS = (3, 4, 5)
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 18
 #: Characters of words: letters, digits, marks of the upper planes and the underscore.
 LETTER = np.array([chr(i).isalnum() or i == 95 for i in range(1 << 16)] + [True])
 
@@ -142,63 +148,130 @@ class Bags:
         return (sums[self.place + self.width] - sums[self.place]) / self.width
 
 
+@dataclass
+class Sample:
+    """The words of some texts, and the table rows of the n-grams of every distinct word."""
+
+    words: np.ndarray
+    lengths: np.ndarray
+    rows: np.ndarray
+    sizes: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Sample:
+        words, lengths, known, flat, sizes = [], [], np.zeros(0, np.uint64), [], []
+        for part in runs(texts):  # characters take far more room than words
+            spelled = Spelling.of(part)
+            hashes, where = spelled.word_hashes(), np.diff(spelled.first)
+            words.append(hashes)
+            lengths.append(where)
+            new, at = np.unique(hashes, return_index=True)
+            fresh = ~np.isin(new, known)
+            known = np.concatenate((known, new[fresh]))
+            rows, counts = spelled.rows_of(at[fresh])
+            flat.append(rows)
+            sizes.append(counts)
+        if not len(known):
+            none = np.zeros(0, np.int64)
+            return cls(none, np.zeros(len(texts), np.int64), none, none)
+        order = np.argsort(known)
+        places = order[np.searchsorted(known[order], np.concatenate(words))].astype(np.int32)
+        return cls(places, np.concatenate(lengths), np.concatenate(flat), np.concatenate(sizes))
+
+    def owner(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
+
+    def common(self) -> np.ndarray:
+        """Which table rows words of LEAST_TEXTS texts hold, where a text counts once for each of its words."""
+        text = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        pairs = np.unique(text * len(self.sizes) + self.words) % max(len(self.sizes), 1)
+        texts = np.bincount(pairs, minlength=len(self.sizes))
+        return np.bincount(self.rows, texts[self.owner()], ROWS) >= LEAST_TEXTS
+
+
 def train(texts: list[str], toxic: np.ndarray, steps: int = STEPS, seed: int = 11) -> Model:
-    """Fit table and softmax together on whole texts, all of them in every step.
+    """Fit table and softmax together on whole texts, RESTARTS times, and average the margins.
 
-    The first steps average over all bags of a text, to find what the label goes with at all; the others
-    follow the worst bag. Steps are scaled by the largest slope, not one by one: an n-gram that one text
-    holds moves little, so the table does not learn single texts by heart. Without texts of both labels
-    the model knows only the one.
+    Texts without words are left out. Without texts of both labels the model knows only the one.
     """
-    words, lengths, known, flat, sizes = [], [], np.zeros(0, np.uint64), [], []
-    for part in runs(texts):  # characters take far more room than words
-        spelled = Spelling.of(part)
-        hashes, where = spelled.word_hashes(), np.diff(spelled.first)
-        words.append(hashes)
-        lengths.append(where)
-        new, at = np.unique(hashes, return_index=True)
-        fresh = ~np.isin(new, known)
-        known = np.concatenate((known, new[fresh]))
-        rows, counts = spelled.rows_of(at[fresh])
-        flat.append(rows)
-        sizes.append(counts)
-    bags, truth = Bags.of(np.concatenate(lengths) if lengths else np.zeros(0, np.int64)), np.asarray(toxic).astype(float)
-    truth = truth[bags.texts]
+    sample = Sample.of(texts)
+    truth = np.asarray(toxic).astype(float)[np.flatnonzero(sample.lengths)]
     if not len(truth) or truth.min() == truth.max():
         return Model(np.zeros(ROWS), 4.0 if len(truth) and truth.min() else -4.0)
-    order = np.argsort(known)
-    words = order[np.searchsorted(known[order], np.concatenate(words))].astype(np.int32)
-    flat, sizes, some = np.concatenate(flat), np.concatenate(sizes), known
-    owner = np.repeat(np.arange(len(known), dtype=np.int32), sizes)
+    found = [train_once(sample, truth, steps, seed + n) for n in range(RESTARTS)]
+    return Model(np.mean([m.margin for m in found], 0), float(np.mean([m.bias for m in found])))
+
+
+def held_back(truth: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """HELD_BACK of the texts of each label; none if a label has too few texts."""
+    back = np.zeros(len(truth), bool)
+    for label in (0, 1):
+        own = rng.permutation(np.flatnonzero(truth == label))
+        back[own[: int(HELD_BACK * len(own))]] = True
+    return back if truth[back].min(initial=1) < truth[back].max(initial=0) else np.zeros(len(truth), bool)
+
+
+def fewest_errors(scores: np.ndarray, truth: np.ndarray) -> float:
+    """The middle of the widest gap between scores at which fewest texts are on the wrong side."""
+    order = np.argsort(scores)
+    scores, truth = scores[order], truth[order]
+    missed = np.concatenate(([0.0], np.cumsum(truth)))  # toxic ones below each cut
+    errors = missed + (1 - truth).sum() - np.concatenate(([0.0], np.cumsum(1 - truth)))
+    edges = np.concatenate(([scores[0] - 1], scores, [scores[-1] + 1]))
+    gap = np.where(errors == errors.min(), np.diff(edges), -1)
+    at = int(gap.argmax())
+    return float((edges[at] + edges[at + 1]) / 2)
+
+
+def train_once(sample: Sample, truth: np.ndarray, steps: int, seed: int) -> Model:
+    """All texts in every step. The first steps average over all bags of a text, to find what the label goes
+    with at all; the others follow the worst bag. Steps are scaled by the largest slope, not one by one."""
+    rng, side = np.random.default_rng(seed), np.array([-1.0, 1.0])
+    bags, words, sizes, flat, owner = Bags.of(sample.lengths), sample.words, sample.sizes, sample.rows, sample.owner()
     place, width, first, counts = bags.place, bags.width, bags.first, bags.counts
     text_of = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
-    weight = np.where(truth > 0, 0.5 / truth.sum(), 0.5 / (1 - truth).sum())
-    rng, side = np.random.default_rng(seed), np.array([-1.0, 1.0])
-    table, soft, bias = rng.uniform(-1, 1, (ROWS, DIM)) / (100 * DIM), np.zeros((DIM, 2)), np.zeros(2)
+    back, common = held_back(truth, rng), sample.common()
+    weight = np.zeros(len(truth))
+    for label in (0, 1):
+        for part in (back, ~back):
+            own = part & (truth == label)
+            weight[own] = 0.5 / max(1, own.sum())
+    table, soft, bias = rng.uniform(-1, 1, (ROWS, DIM)) / (100 * DIM) * common[:, None], np.zeros((DIM, 2)), np.zeros(2)
     soft[:, 1] = rng.normal(0, 1, DIM)
     soft[:, 1] /= np.linalg.norm(soft[:, 1])
     drift = [np.zeros_like(x) for x in (table, soft, bias)]
+    least, kept, kept_at, margins = np.inf, None, 0, np.zeros(0)
     for step in range(1, steps + 1):
         toward = soft @ side
-        word = np.bincount(owner, (table @ toward)[flat], len(some)) / sizes
+        word = np.bincount(owner, (table @ toward)[flat], len(sizes)) / sizes
         means = bags.means(word[words])
-        if step <= steps // 3:
+        worst = np.maximum.reduceat(means, first)
+        if step <= MEAN_STEPS:
             share = 1 / counts[text_of]
             top = np.add.reduceat(means * share, first)
         else:
-            top = np.maximum.reduceat(means, first)
-            share = (means >= top[text_of]).astype(float)
+            share = (means >= worst[text_of]).astype(float)
             share /= np.add.reduceat(share, first)[text_of]
-        wrong = (1 / (1 + np.exp(-np.clip(top + bias @ side, -40, 40))) - truth) * weight
+            top = worst
+            judged = back if back.any() else ~back
+            reach = worst + bias @ side
+            loss = ((np.logaddexp(0, -reach) * truth + np.logaddexp(0, reach) * (1 - truth)) * weight)[judged].sum()
+            if loss < least:
+                least, kept, kept_at, margins = loss, (table @ toward, float(bias @ side)), step, worst
+            elif step - kept_at >= PATIENCE:
+                break
+        wrong = (1 / (1 + np.exp(-np.clip(top + bias @ side, -40, 40))) - truth) * weight * ~back
         force = wrong[text_of] * share / width
         change = np.bincount(place, force, len(words) + 1) - np.bincount(place + width, force, len(words) + 1)
-        pull = np.bincount(words, np.cumsum(change)[:-1], len(some)) / sizes
-        slope = np.bincount(flat, pull[owner], ROWS)
+        pull = np.bincount(words, np.cumsum(change)[:-1], len(sizes)) / sizes
+        slope = np.bincount(flat, pull[owner], ROWS) * common
         slopes = (slope[:, None] * toward, (table.T @ slope)[:, None] * side, side * wrong.sum())
         for value, now, kept_on, rate in zip((table, soft, bias), slopes, drift, (30, 0.1, 1)):
             kept_on += 0.1 * (now - kept_on)
-            value -= 0.1 * (1 - 0.7 * step / steps) * rate * kept_on / (np.abs(kept_on).max() + 1e-12)
-    return Model(table @ (soft @ side), float(bias @ side))
+            value -= 0.1 * (1 - 0.7 * step / STEPS) * rate * kept_on / (np.abs(kept_on).max() + 1e-12)
+    if kept is None:
+        return Model(table @ (soft @ side), float(bias @ side))
+    return Model(kept[0], -fewest_errors(margins[back], truth[back]) if back.any() else kept[1])
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -235,17 +308,18 @@ def runs(texts: list[str | None]) -> Iterator[list[str | None]]:
         yield texts[begin:]
 
 
-def scorer(docs: DataFrame, model: Model) -> Column:
-    """The score of a text column, as an expression; null and empty texts get the score of an empty bag."""
+def scoring(docs: DataFrame, model: Model):
+    """A function that gives batches of rows, bounded by the bytes of their texts, with the scores of the texts; null
+    and empty texts get the score of an empty bag."""
     shared = docs.sparkSession.sparkContext.broadcast((model.margin.astype(np.float32), model.bias))  # ROWS numbers
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
         own = Model(*shared.value)
-        for texts in batches:
-            yield pd.Series(np.concatenate([own.scores(part) for part in runs(list(texts))] or [np.zeros(0)]))
+        for whole in batches:
+            for batch in slices(whole, "text", SLICE_CHARS):
+                yield batch, own.scores(batch.column("text").to_pylist())
 
-    return score(F.col("text"))
+    return score
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -254,12 +328,26 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Whole texts are scored. A null doc_id counts as held out. Rows that repeat an id are scored each;
     other columns are not read. An empty table gives no rows.
     """
-    model = fit(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"))
-    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select("doc_id", scorer(docs, model).alias("score"))
+    score = scoring(docs, fit(docs.select("doc_id", "text"), labels.select("doc_id", "toxic")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, found in score(batches):
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], names=["doc_id", "score"])
+
+    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic, with all their columns."""
-    model = fit(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"))
-    return docs.filter(scorer(docs, model) < 0.5)
+    """The documents that are not predicted toxic, with all their columns.
+
+    Null and empty texts stay, repeated rows are judged each, an empty table stays empty. Columns may have any names;
+    only `doc_id` and `text` mean something here.
+    """
+    score = scoring(docs, fit(docs.select("doc_id", "text"), labels.select("doc_id", "toxic")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, found in score(batches):
+            yield batch.filter(pa.array(found < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)

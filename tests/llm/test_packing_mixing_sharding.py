@@ -63,7 +63,7 @@ def test_pieces_and_sequences_of_documents(documents):
 
 def test_odd_texts_have_the_ids_of_the_whole_text(spark, odd_documents):
     texts = [
-        "a\xa0b. c", "Σας ΣΑΣ. İx, y", "e\u0301 E\u0301. n\u0303", "it's (so). Really), yes_. No", "x<|endoftext|>y z", "٣ 3.5, 4", "a.\nb,\nc", "日本 語. 。",
+        "a\xa0b. c", "Σας ΣΑΣ. İx, y", "e\u0301 E\u0301. n\u0303", "it's (so). Really), yes_. No", "x<|endoftext|>y z", "say <|EndOfText|> now", "<|STARTOFTEXT|><|endoftext|>", "٣ 3.5, 4", "a.\nb,\nc", "日本 語. 。",
         "...", ". , .", "ÀÉ. ÿÿ, Ā.", "a\u2028b", "tab\there", "\u1e9e \u00df. \u017f", "x" * 5000,
     ]
     frame = spark.createDataFrame(list(enumerate(texts)) + [(99, None), (99, None)], "doc_id long, text string").unionByName(odd_documents.select("doc_id", "text"))
@@ -116,7 +116,7 @@ def mixed(frame, **options):
 def uneven(spark):
     """One source with two thirds of the tokens, some small ones, one without tokens, one null."""
     sizes = {"big": 600, "mid": 200, "small": 50, "tiny": 10, None: 40}
-    rows = [(i, " ".join(["w"] * (1 + i % 9)), s, 7, "k") for s, n in sizes.items() for i in range(hash(str(s)) % 7, n + hash(str(s)) % 7)]
+    rows = [(i, " ".join(["w"] * (1 + i % 9)), s, 7, "k") for s, n in sizes.items() for i in range(len(str(s)), n + len(str(s)))]
     rows = [(n, *row[1:]) for n, row in enumerate(rows)] + [(5000, None, "none", 0, "k"), (5001, "", "none", 0, "k")]
     return spark.createDataFrame(rows, "doc_id long, text string, source string, tokens long, weight string").repartition(4)
 

@@ -1,5 +1,6 @@
 """Held-out accuracy of the classifier, and the pipeline stage by stage."""
 
+import re
 import zlib
 
 import corpus_pipeline
@@ -33,7 +34,7 @@ def test_score_columns(scored):
     assert ((scored.score >= 0.5) == (scored.predicted == 1)).all()
 
 
-def model():
+def model(seed=11):
     rng = np.random.default_rng(2)
     plain = ["".join(rng.choice(list("aeioulmnrst"), rng.integers(2, 8))) for _ in range(300)]
     texts, toxic = [], []
@@ -43,15 +44,47 @@ def model():
             words[rng.integers(60)] = str(rng.choice(["grobvex", "grobvixen", "zquaxly", "zquaxed"]))
         texts.append(" ".join(words))
         toxic.append(int(i % 3 == 0))
-    return toxicity.train(texts, np.array(toxic)), plain
+    return toxicity.train(texts, np.array(toxic), seed=seed), plain
 
 
-def test_misspellings_and_long_texts():
-    fitted, plain = model()
+@pytest.mark.parametrize("seed", [11, *range(1, 10)])
+def test_misspellings_and_long_texts(seed):
+    fitted, plain = model(seed)
     clean, bad = " ".join(plain), " ".join(plain[:100]) + " Grobvexer! "
     assert fitted.scores([clean, bad, " ".join([clean] * 200) + " zquaxy", "zquaxing", None, "", "!!"]).round().tolist() == [0, 1, 1, 1, 0, 0, 0]
 
 
+def plain_score(fitted, text):
+    """The score from the margins of n-grams, word by word."""
+    worst = None
+    for word in re.findall(r"\w+", (text or "").lower()):
+        chars, margins = [0, *map(ord, word), 0], []
+        for n in toxicity.GRAMS:
+            for i in range(len(chars) - n + 1):
+                key = n
+                for c in chars[i : i + n]:
+                    key = (key * 0x01000193 + c) % 2**32
+                key = (key ^ key >> 15) * 0x2C1B3C6D % 2**32
+                margins.append(fitted.margin[key >> 32 - toxicity.ROW_BITS])
+        mean = sum(margins) / len(margins) if margins else 0.0
+        worst = mean if worst is None else max(worst, mean)
+    return 1 / (1 + np.exp(-((worst or 0.0) + fitted.bias)))
+
+
+def test_scores_are_those_of_the_plain_way():
+    fitted, plain = model()
+    texts = ["grobvexer", " ".join(plain[:5]), "Zquaxly, et aé", "", None, "a", "x-y zq", " ".join(plain) + " grob"]
+    assert np.allclose(fitted.scores(texts), [plain_score(fitted, t) for t in texts])
+
+
+def test_a_word_of_one_training_text_says_nothing():
+    rng = np.random.default_rng(5)
+    plain = ["".join(rng.choice(list("aeioulmnrst"), 6)) for _ in range(200)]
+    texts = [" ".join(rng.choice(plain, 30)) + (" vexgrob" if i % 4 == 0 else "") + (" qqwwyy" if i == 4 else "") for i in range(200)]
+    fitted = toxicity.train(texts, np.array([int(i % 4 == 0) for i in range(200)]))
+    assert fitted.scores(["qqwwyy", "vexgrob"]).round().tolist() == [0, 1]
+
+
 def test_slices_do_not_change_scores():
     fitted, plain = model()
     texts = [" ".join(plain[i : i + 9]) for i in range(0, 200, 7)] + [None, "", "x"]
@@ -102,5 +135,5 @@ def test_pipeline_on_odd_rows(spark, odd_documents, tmp_path):
 
 
 def test_registered_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLES) < set(queries.QUERIES)
