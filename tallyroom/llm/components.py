@@ -30,19 +30,16 @@ def components(links: DataFrame, a: str, b: str, label: str) -> DataFrame:
 
 
 def large_star(links: DataFrame, label: str) -> DataFrame:
-    both = links.select("v", F.col("v").alias("n")).groupBy("v").agg(F.min("n").alias("n"))
-    least = links.select(F.col("u").alias("v"), F.col("v").alias("n")).groupBy("v").agg(F.min("n").alias("n"))
-    least = settle(both.unionByName(least).groupBy("v").agg(F.min("n").alias("m")), label)
-    turned = settle(links.join(least, "v").select("u", F.col("m").alias("v")).filter("u != v").distinct(), label)
-    discard(least)
-    return turned
+    both = links.select("v", F.col("v").alias("n")).unionByName(links.select(F.col("u").alias("v"), F.col("v").alias("n")))
+    least = both.groupBy("v").agg(F.min("n").alias("m"))
+    return settle(links.join(least, "v").select("u", F.col("m").alias("v")).filter("u != v").distinct(), label)
 
 
 def small_star(links: DataFrame, label: str) -> DataFrame:
-    least = settle(links.groupBy("u").agg(F.min("v").alias("m")), label)
-    met = links.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    turned = settle(met.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), label)
-    discard(links, least)
+    least = links.groupBy("u").agg(F.min("v").alias("m"))
+    met = links.join(least, "u").select(F.when(F.col("v") != F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"))
+    turned = settle(met.distinct(), label)
+    discard(links)
     return turned
 
 

@@ -11,8 +11,8 @@ one class, whose smallest document stands for it.
   share a key for certain. At a similarity of 0.75 a pair has more than ERRORS differing symbols with a
   chance of 1 in 80,000.
 - Keys shared by many texts never give all pairs. First each text meets one text of its key, and links
-  that the full sets confirm are merged into components; this is done twice, with another meeting point. Only
-  then pairs are formed inside keys, blocks against blocks, and only of texts that are still in
+  that the full sets confirm are merged into components; this is done up to TURNS times, with another meeting point and among
+  the components that are left, until it brings nothing. Only then pairs are formed inside keys, blocks against blocks, and only of texts that are still in
   different components and whose signatures are within the distance.
 - Every candidate is confirmed on the full sets, as `100 * shared >= percent * union`.
 """
@@ -20,6 +20,7 @@ one class, whose smallest document stands for it.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
 
@@ -245,21 +246,41 @@ def near_texts(docs: DataFrame, percent: int = 75) -> DataFrame:
     share a doc_id are one vertex: a link of one is a link of all. A null doc_id has a null component
     and is not kept. Other columns are not read. An empty table gives no rows.
     """
-    signed, classes, links = linked_classes(docs, percent)
-    # From classes to documents: vertices are ids now, and every member of a class hangs on its smallest.
-    ids = classes.select("node", "doc_id")
-    ends = links.join(ids.withColumnsRenamed({"node": "a", "doc_id": "x"}), "a").join(ids.withColumnsRenamed({"node": "b", "doc_id": "y"}), "b")
-    members = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").select("low", "high", F.col("doc_id").alias("x"))
-    members = members.join(classes.select("low", "high", F.col("doc_id").alias("y")), ["low", "high"])
-    found = components(ends.select("x", "y").unionByName(members.select("x", "y")), "x", "y", "near-documents")
-    found = found.select(F.col("id").alias("_near_id"), "component")
-    out = signed.join(found, signed["doc_id"] == found["_near_id"], "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    found = linked_classes(docs, percent)
+    signed, classes = found.signed, found.classes
+    if found.repeated:
+        # Vertices are ids now, and every member of a class hangs on its smallest.
+        ids = classes.select("node", "doc_id")
+        ends = found.links.join(ids.withColumnsRenamed({"node": "a", "doc_id": "x"}), "a").join(ids.withColumnsRenamed({"node": "b", "doc_id": "y"}), "b")
+        members = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").select("low", "high", F.col("doc_id").alias("x"))
+        members = members.join(classes.select("low", "high", F.col("doc_id").alias("y")), ["low", "high"])
+        joined = components(ends.select("x", "y").unionByName(members.select("x", "y")), "x", "y", "near-documents")
+        joined = joined.select(F.col("id").alias("_near_id"), "component")
+        out = signed.join(joined, signed["doc_id"] == joined["_near_id"], "left")
+    else:
+        # An id has one set: the component of its class is its own.
+        placed = classes.join(found.where, "node")
+        least = placed.groupBy("component").agg(F.min("doc_id").alias("least"))
+        placed = placed.join(least, "component").select("low", "high", F.col("least").alias("component"))
+        out = signed.join(placed, ["low", "high"], "left")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    out = out.select("doc_id", "n_shingles", own.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
-def linked_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The signed rows, the classes of equal sets on rows with an id, and the links (a, b) between nodes of classes."""
+@dataclass
+class Linked:
+    """The signed rows, the classes of equal sets on rows with an id, the links (a, b) between nodes of classes, the
+    component of every node, and whether ids stand on several rows."""
+
+    signed: DataFrame
+    classes: DataFrame
+    links: DataFrame
+    where: DataFrame
+    repeated: bool
+
+
+def linked_classes(docs: DataFrame, percent: int) -> Linked:
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = settle(plain.mapInArrow(sign, SIGNED), "near-signatures")
     classes = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("low", "high")
@@ -268,19 +289,35 @@ def linked_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame,
     classes = settle(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
     keys = shared_keys(classes)
     wanted = classes.join(keys.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "low", "high")
-    texts = settle(class_texts(plain, wanted).mapInArrow(with_sketch, "node long, text string, sketch binary"), "near-texts")
+    repeated = repeated_ids(signed)
+    texts = settle(class_texts(plain, wanted, repeated).mapInArrow(with_sketch, "node long, text string, sketch binary"), "near-texts")
     links, where = None, classes.select("node", F.col("node").alias("component"))
     for turn in range(TURNS):
         met = settle(promising(meetings(keys, where, turn), texts, percent), "near-meetings")
         more = confirmed(met, texts, percent, "near-links")
         discard(met)
         links = more if links is None else links.unionByName(more)
-        joined = components(links, "a", "b", "near-components").select(F.col("id").alias("node"), F.col("component").alias("c"))
-        where = settle(classes.select("node").join(joined, "node", "left").select("node", F.coalesce("c", "node").alias("component")), "near-where")
+        if one_row(more) is None:
+            break
+        where = merged(where, more, turn == 0)
     rest = settle(block_pairs(keys, where, classes.select("node", "signature").join(texts.select("node", "sketch"), "node"), percent).distinct(), "near-rest")
-    links = links.unionByName(confirmed(rest, texts, percent, "near-links"))
+    more = confirmed(rest, texts, percent, "near-links")
     discard(keys, texts, rest)
-    return signed, classes, links
+    if one_row(more) is not None:
+        links, where = links.unionByName(more), merged(where, more, False)
+    return Linked(signed, classes, links, where, repeated)
+
+
+def merged(where: DataFrame, links: DataFrame, alone: bool) -> DataFrame:
+    """The components with some more links, which are followed between components only; `alone` if every node
+    is a component so far."""
+    if not alone:
+        for side in ("a", "b"):
+            own = where.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+            links = links.join(own, side).drop(side).withColumnRenamed(f"of_{side}", side)
+    joined = components(links.select("a", "b"), "a", "b", "near-components").select(F.col("id").alias("component"), F.col("component").alias("larger"))
+    found = where.join(joined, "component", "left").select("node", F.coalesce("larger", "component").alias("component"))
+    return settle(found, "near-where")
 
 
 def shared_keys(classes: DataFrame) -> DataFrame:
@@ -293,10 +330,10 @@ def shared_keys(classes: DataFrame) -> DataFrame:
     return found
 
 
-def class_texts(plain: DataFrame, wanted: DataFrame) -> DataFrame:
+def class_texts(plain: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
     """The text of one document of each class wanted."""
     found = plain.join(wanted, "doc_id")
-    if repeated_ids(plain):  # an id may stand on different texts: tell these apart by their sets
+    if repeated:  # an id may stand on different texts: tell these apart by their sets
         return found.mapInArrow(told_apart, "node long, text string").dropDuplicates(["node"])
     return found.select("node", "text")
 
@@ -362,9 +399,9 @@ def one_of_each(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 
 def one_of_each_text(docs: DataFrame, percent: int) -> DataFrame:
-    signed, classes, links = linked_classes(docs.select("doc_id", "text"), percent)
-    groups = components(links, "a", "b", "near-text-groups").select(F.col("id").alias("node"), "component")
-    groups = classes.join(groups, "node", "left").select("low", "high", F.col("doc_id").alias("least"), F.coalesce("component", "node").alias("group"))
+    found = linked_classes(docs.select("doc_id", "text"), percent)
+    signed, classes = found.signed, found.classes
+    groups = classes.join(found.where, "node").select("low", "high", F.col("doc_id").alias("least"), F.col("component").alias("group"))
     unnamed = signed.filter("n_shingles > 0 AND doc_id IS NULL").select("low", "high", F.lit(1).alias("spare")).distinct()
     groups = settle(groups.join(unnamed, ["low", "high"], "left"), "near-groups")
     best = groups.groupBy("group").agg(F.min("least").alias("doc_id"), F.max("spare").alias("spare"))
