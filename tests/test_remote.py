@@ -239,7 +239,7 @@ def test_attempts_that_all_committed_count_once(spark, remote):
     part, attempt = '"stage_part"', '"stage_attempt"'
     with staged.transaction(spark, remote) as run:
         assert run(f'INSERT INTO staging SELECT "id", {part}, {attempt} + 1000 FROM staging WHERE {part} <> 0') == 60
-        assert run(f'INSERT INTO staging SELECT "id", {part}, 0 FROM staging WHERE {part} = 0 AND "id" < 10') == 10
+        assert run(f'INSERT INTO staging SELECT "id", {part}, -1 FROM staging WHERE {part} = 0 AND "id" < 10') == 10
         assert run(staged.copy_statement(remote, "target", "staging", ["id"])) == 90
     assert rows(sources.read_jdbc(spark, remote, "target")) == [(n,) for n in range(90)]
 
