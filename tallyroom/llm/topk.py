@@ -23,8 +23,8 @@ from tallyroom.llm.vectors import lengths, matrix
 BLOCK_ROWS, QUERY_ROWS = 4096, 256
 #: Depth of the lists at the first look at the bound; each further look is three times as deep.
 FIRST_DEPTH = 16
-#: Whole numbers below this stay exact in sums of doubles up to 128 dimensions.
-EXACT = 1 << 23
+#: Whole numbers below this stay exact in sums of doubles.
+EXACT = 1 << 53
 
 
 class SortedLists:
@@ -69,7 +69,7 @@ def search_block(table: pa.Table, k: int) -> pa.Table:
     ids = table.column("vec_id").to_numpy()
     size = int(table.column("dim")[0].as_py())
     values = np.floor(256.0 * matrix(table.column("embedding"), size))
-    if np.abs(values).max(initial=0) >= EXACT:
+    if np.abs(values).max(initial=0) ** 2 * size >= EXACT:
         values = np.vectorize(int, otypes=[object])(values)
         return search_wide(ids, values, asks, k)
     block = SortedLists(ids[~asks], values[~asks])
@@ -100,15 +100,16 @@ def result(queries: list, ids: list, scores: list) -> pa.Table:
 
 
 def sound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose vector is not null and holds only finite components."""
+    """Rows whose vector is not null and holds only finite components, which keep their precision."""
     for batch in batches:
+        kind = pa.float32() if pa.types.is_float32(batch.column("embedding").type.value_type) else pa.float64()
         sizes = lengths(batch.column("embedding"))
         for dim in np.unique(sizes[sizes >= 1]):
             rows = batch.take(pa.array(np.flatnonzero(sizes == dim)))
             good = np.isfinite(matrix(rows.column("embedding"), int(dim))).all(1)
             rows = rows.filter(pa.array(good))
             yield pa.RecordBatch.from_arrays(
-                [rows.column("vec_id").cast(pa.int64()), rows.column("embedding").cast(pa.list_(pa.float32())), pa.array(np.full(len(rows), dim, np.int32))],
+                [rows.column("vec_id").cast(pa.int64()), rows.column("embedding").cast(pa.list_(kind)), pa.array(np.full(len(rows), dim, np.int32))],
                 names=["vec_id", "embedding", "dim"],
             )
 
@@ -122,7 +123,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     they are equal; different vectors under one vec_id are candidates each. An empty table gives no rows.
     """
     rows = vectors.filter("vec_id IS NOT NULL").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    rows = settle(rows.mapInArrow(sound, "vec_id long, embedding array<float>, dim int").dropDuplicates(), "topk-vectors")
+    kind = "float" if dict(rows.dtypes)["embedding"] == "array<float>" else "double"
+    rows = settle(rows.mapInArrow(sound, f"vec_id long, embedding array<{kind}>, dim int").dropDuplicates(), "topk-vectors")
     ask = F.col("vec_id") % every == 0
     sizes = one_row(rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(ask).alias("q")))
     blocks, chunks = max(1, math.ceil(sizes["n"] / BLOCK_ROWS)), max(1, math.ceil(sizes["q"] / QUERY_ROWS))

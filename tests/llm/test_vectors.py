@@ -94,3 +94,16 @@ def test_components_of_chains_and_stars(spark):
     got = dict(rows_of(components(spark.createDataFrame(links, "x long, y long"), "x", "y", "test-components")))
     want = brute.components({x for link in links for x in link}, links)
     assert got == {k: v for k, v in want.items() if k != v}
+
+
+def test_scores_are_exact_in_many_dimensions_and_of_doubles(spark):
+    rng = np.random.default_rng(4)
+    rows = [(50 * (i == 0) + i, rng.integers(2**22, 2**23, 1024) / 256) for i in range(6)]
+    rows = [(i, [float(x) for x in v]) for i, v in rows]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    scores = {i: sum(a * b for a, b in zip(whole[50], v)) for i, v in whole.items() if i != 50}
+    got = {r.vec_id: r.score for r in topk.top_k(frame, 5, 50).collect()}
+    assert got == scores
+    close = spark.createDataFrame([(0, [1.0]), (1, [2.0 - 2**-40]), (2, [2.0])], "vec_id long, embedding array<double>")
+    assert {(r.vec_id, r.score) for r in topk.top_k(close, 5, 50).collect()} == {(1, 256 * 511), (2, 256 * 512)}
