@@ -28,7 +28,83 @@ def query(name: str, table: str, sql: str | None = None):
     return register
 
 
-@query("op4_minhash_hamming_join", "documents")
+WORDS = r"[^\x20\x09-\x0D]+"
+
+REPEATS_SQL = rf"""
+    WITH w AS (
+        SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS ws FROM documents
+    ), places AS (
+        SELECT r, unnest(ws) AS word, unnest(range(CAST(len(ws) AS BIGINT))) AS i FROM w
+    ), windows AS (
+        SELECT r, doc_id, unnest(range(CAST(len(ws) AS BIGINT) - 12)) AS i,
+               unnest(list_transform(range(1, CAST(len(ws) AS BIGINT) - 11), lambda i: array_to_string(ws[i:i + 12], ' '))) AS words
+        FROM w WHERE len(ws) >= 13
+    ), judged AS (
+        SELECT r, doc_id, i, min(doc_id) OVER (PARTITION BY words) AS first FROM windows
+    ), gone AS (
+        SELECT DISTINCT r, i + j AS i FROM judged, range(13) AS t(j) WHERE first < doc_id
+    ), kept AS (
+        SELECT p.r, array_to_string(list(p.word ORDER BY p.i), ' ') AS words, count(*) AS n
+        FROM places p ANTI JOIN gone g ON p.r = g.r AND p.i = g.i GROUP BY p.r
+    )
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+           sha256(coalesce(words, '')) AS kept_sha256
+    FROM w LEFT JOIN kept ON w.r = kept.r
+"""
+
+NEAR_TEXTS_SQL = rf"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORDS}') AS ws
+        FROM documents
+    ), s AS (
+        SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle
+        FROM (SELECT doc_id, ws, unnest(range(1, greatest(2, CAST(len(ws) AS BIGINT) - 3))) AS i FROM w WHERE len(ws) > 0)
+    ), n AS (
+        SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+    ), shared AS (
+        SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+        FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+    ), links AS (
+        SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+        WHERE 100 * shared.n >= 75 * (a.n + b.n - shared.n)
+    ), reached AS (
+        SELECT DISTINCT x, x AS y FROM links
+        UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y
+    ), c AS (
+        SELECT x, min(y) AS component_id FROM reached GROUP BY x
+    )
+    SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component_id, w.doc_id) AS component_id,
+           coalesce(component_id, w.doc_id) = w.doc_id AS kept
+    FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.x = w.doc_id
+"""
+
+NEAR_VECTORS_SQL = """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), u AS (
+        SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS size FROM v
+    ), links AS (
+        SELECT a.vec_id AS x, b.vec_id AS y
+        FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+        WHERE a.size > 0 AND b.size > 0
+          AND list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2])) >= 0.98 * a.size * b.size
+    ), reached AS (
+        SELECT DISTINCT x, x AS y FROM links
+        UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y
+    ), c AS (
+        SELECT x, min(y) AS component_id FROM reached GROUP BY x
+    ), n AS (
+        SELECT x, count(*) AS n FROM links GROUP BY x
+    )
+    SELECT vec_id, coalesce(n.n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+           coalesce(component_id, vec_id) = vec_id AS kept
+    FROM embeddings e LEFT JOIN n ON n.x = e.vec_id LEFT JOIN c ON c.x = e.vec_id
+"""
+
+
+@query("op4_minhash_hamming_join", "documents", NEAR_TEXTS_SQL)
 def op4(docs: DataFrame) -> DataFrame:
     return text_dedup.near_texts(docs, 75)
 
@@ -52,7 +128,7 @@ TOPK_SQL = """
 """
 
 
-@query("op1_pq_near_vectors", "embeddings")
+@query("op1_pq_near_vectors", "embeddings", NEAR_VECTORS_SQL)
 def op1(vectors: DataFrame) -> DataFrame:
     return embedding_dedup.near_vectors(vectors, 0.98)
 
@@ -90,7 +166,7 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES["op8_subword_toxicity"] = op8
 
-@query("op10_debruijn_repeats", "documents")
+@query("op10_debruijn_repeats", "documents", REPEATS_SQL)
 def op10(docs: DataFrame) -> DataFrame:
     return substring_dedup.count_removed(docs, 13)
 

@@ -11,13 +11,17 @@ word. A word goes if a window that covers it also starts in a document with a sm
 4. A node with one edge in and one edge out does not branch; a join finds these nodes, and edges that follow one
    another there, also at their sources, become one path.
 5. A join of windows and paths turns the repeats of a text into spans: windows that stand in the order in which they
-   stand at the source, place by place. Spans are what is cut from the text.
+   stand at the source, place by place.
+6. Every span is held against the words at its source coordinates: both sides are cut at the same places
+   (every PIECE_WORDS words of the source), each piece is digested where its text lies, and a piece is
+   cut from the text only if the digests agree. Pieces of a source are at most PIECE_WORDS / 2 for every word of it,
+   however many texts repeat them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import sha256
+from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyroom.llm.frames import discard, settle
-from tallyroom.llm.words import WORD_BASE, Words, range_hashes, slices, window_hashes, words_of
+from tallyroom.llm.frames import discard, one_row, settle
+from tallyroom.llm.words import Words, slices, window_hashes, words_of
 
 ANCHOR_WORDS = 5
+PIECE_WORDS = 64
 
 
 def anchors_of(word_hashes: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
@@ -36,8 +41,7 @@ def anchors_of(word_hashes: np.ndarray, starts: np.ndarray, k: int) -> np.ndarra
     n = min(ANCHOR_WORDS, k)
     if not len(starts):
         return np.zeros(0, np.uint64)
-    at = np.arange(len(word_hashes) - n + 1)
-    runs = range_hashes(word_hashes, at, at + n, WORD_BASE)
+    runs = window_hashes(word_hashes, np.arange(len(word_hashes) - n + 1), n)
     out = runs[starts]
     for i in range(1, k - n + 1):
         np.minimum(out, runs[starts + i], out=out)
@@ -134,12 +138,14 @@ def repeated_spans(docs: DataFrame, k: int) -> DataFrame:
     repeated = edges(windows)
     paths = compact(repeated)
     discard(repeated)
-    spans = settle(walk(windows, paths, k), "sub-spans")
+    pieces = settle(pieces_of(walk(windows, paths, k)), "sub-pieces")
     discard(windows, paths)
+    spans = verified(pieces, texts)
     copies = facts.join(firsts, ["f1", "f2"]).filter("doc_id > first")
     copies = copies.select("doc_id", "f1", F.array(F.struct(F.lit(-1).alias("low"), F.lit(-1).alias("high"))).alias("spans"))
+    spans = spans.groupBy(F.col("doc").alias("doc_id"), "f1").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     marks = settle(spans.unionByName(copies).groupBy("doc_id", "f1").agg(F.flatten(F.collect_list("spans")).alias("spans")), "sub-marks")
-    discard(spans, facts)
+    discard(pieces, facts)
     return marks
 
 
@@ -167,15 +173,58 @@ def compact(edges: DataFrame) -> DataFrame:
 
 
 def walk(windows: DataFrame, paths: DataFrame, k: int) -> DataFrame:
-    """The spans of each text that repeat paths of documents with a smaller id."""
+    """The spans of each text (low, high) that repeat paths of documents with a smaller id, with the place in that
+    document (source_low) where they stand."""
     met = windows.select("u", "t", "doc", "f1", "pos").join(paths, ["u", "t"]).filter("doc > d0")
     met = met.withColumn("begin", F.col("pos") - F.col("along"))
-    same = ["f0", "head", "begin"]  # windows here that run along the same path from the same place
+    same = ["d0", "f0", "head", "begin"]  # windows here that run along the same path from the same place
     text = Window.partitionBy("doc", "f1").orderBy(*same, "pos")
     runs = met.select("doc", "f1", *same, "pos", (F.col("pos") - F.dense_rank().over(text)).alias("run"))
     spans = runs.groupBy("doc", "f1", *same, "run").agg(F.min("pos").alias("low"), (F.max("pos") + k).alias("high"))
-    listed = spans.groupBy("doc", "f1").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    return listed.withColumnRenamed("doc", "doc_id")
+    return spans.select("doc", "f1", "low", "high", "d0", "f0", (F.col("low") - F.col("begin") + F.col("head")).alias("source_low"))
+
+
+def pieces_of(spans: DataFrame) -> DataFrame:
+    """The spans cut wherever the place in the source is a multiple of PIECE_WORDS."""
+    shift = F.col("source_low") - F.col("low")
+    cells = F.sequence(F.floor(F.col("source_low") / PIECE_WORDS), F.floor((F.col("high") + shift - 1) / PIECE_WORDS))
+    pieces = spans.withColumn("cell", F.explode(cells)).withColumn("shift", shift)
+    low = F.greatest(F.col("low"), F.col("cell") * PIECE_WORDS - F.col("shift")).cast("int")
+    high = F.least(F.col("high"), (F.col("cell") + 1) * PIECE_WORDS - F.col("shift")).cast("int")
+    pieces = pieces.select("doc", "f1", low.alias("low"), high.alias("high"), "d0", "f0", "shift")
+    return pieces.withColumn("source_low", (F.col("low") + F.col("shift")).cast("int")).drop("shift")
+
+
+def digest_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for key, f1, text, asked in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "f1", "text", "asked"))):
+            words = text.encode().split()
+            rows = [(one["low"], one["high"], blake2b(b" ".join(words[one["low"] : one["high"]]), digest_size=16).digest()) for one in asked]
+            low, high, digests = zip(*rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key] * len(rows), pa.int64()), pa.array([f1] * len(rows), pa.int64()), pa.array(low, pa.int32()), pa.array(high, pa.int32()), pa.array(digests, pa.binary())],
+                names=["doc_id", "f1", "low", "high", "digest"],
+            )
+
+
+def verified(pieces: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pieces whose words are the words at their source."""
+    length = F.col("high") - F.col("low")
+    own = pieces.select(F.col("doc").alias("doc_id"), "f1", "low", "high")
+    source = pieces.select(F.col("d0").alias("doc_id"), F.col("f0").alias("f1"), F.col("source_low").alias("low"), (F.col("source_low") + length).alias("high"))
+    asked = own.unionByName(source).distinct().groupBy("doc_id", "f1").agg(F.collect_list(F.struct("low", "high")).alias("asked"))
+    found = texts.select("doc_id", "f1", "text").join(asked, ["doc_id", "f1"]).mapInArrow(digest_pieces, "doc_id long, f1 long, low int, high int, digest binary")
+    found = settle(found.distinct(), "sub-digests")
+    here = found.select(F.col("doc_id").alias("doc"), "f1", "low", "high", F.col("digest").alias("here"))
+    there = found.select(F.col("doc_id").alias("d0"), F.col("f1").alias("f0"), F.col("low").alias("source_low"), F.col("high").alias("source_high"), F.col("digest").alias("there"))
+    at = ["d0", "f0", "source_low", "source_high"]
+    said = pieces.join(here, ["doc", "f1", "low", "high"]).withColumn("source_high", F.col("source_low") + length)
+    wrong = said.select(*at, "here").distinct().join(there, at).groupBy(*at, "here").agg(F.max(F.col("here") == F.col("there")).alias("same"))
+    wrong = settle(wrong.filter("NOT same").drop("same"), "sub-wrong")
+    if one_row(wrong.limit(1)) is not None:  # two word sequences under one hash
+        return said.join(wrong, [*at, "here"], "left_anti")
+    discard(found, wrong)
+    return pieces
 
 
 def with_spans(docs: DataFrame, k: int) -> DataFrame:

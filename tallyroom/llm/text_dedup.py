@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from tallyroom.llm.components import components
 from tallyroom.llm.frames import discard, one_row, settle
-from tallyroom.llm.words import WORD_BASE, mix, range_hashes, slices, spread, words_of
+from tallyroom.llm.words import mix, slices, spread, window_hashes, words_of
 
 SHINGLE = 5
 SYMBOLS, BITS, CHUNKS, ERRORS = 64, 16, 16, 31
@@ -51,8 +51,10 @@ def shingle_sets(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.nda
     hashes, per_text = words.hashes(lower=True), np.diff(words.first)
     counts = np.where(per_text >= SHINGLE, per_text - SHINGLE + 1, np.minimum(per_text, 1))
     starts = spread(words.first[:-1], counts)
-    ends = starts + np.repeat(np.minimum(per_text, SHINGLE), counts)
-    found = range_hashes(hashes, starts, ends, WORD_BASE)
+    lengths = np.repeat(np.minimum(per_text, SHINGLE), counts)
+    found = np.empty(len(starts), np.uint64)
+    for n in np.unique(lengths):
+        found[lengths == n] = window_hashes(hashes, starts[lengths == n], int(n))
     upto = np.cumsum(counts)
     parts = [np.unique(found[e - n : e]) for e, n in zip(upto, counts)]
     return (np.concatenate(parts) if parts else found), np.cumsum([len(p) for p in parts], dtype=np.int64)

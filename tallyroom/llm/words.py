@@ -11,13 +11,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from xxhash import xxh3_64_intdigest
 
 SLICE_BYTES = 1 << 19
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
-BYTE_BASE, WORD_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+WORD_BASE = np.uint64(0xD6E8FEB86659FD93)
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -45,13 +46,48 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64) -> np.ndarray:
-    """A hash of values[start:end] for each range, from one pass of prefix sums."""
+    """A hash of values[start:end] for each range, from one pass of prefix sums. Patterns of a thousand
+    values and more can share one, so it is for short ranges and where that does no harm."""
     up, down = powers(base, len(values) + 1)
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * up[1:], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+#: Words up to this many bytes are hashed eight bytes at a time, all side by side; longer ones one by one.
+SIDE_BY_SIDE = 256
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(8)] + [(1 << 64) - 1], np.uint64)
+FOLD = np.uint64(0xBF58476D1CE4E5B9)
+
+
+def fold(state: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The state after one more value. The shift keeps equal patterns of values from cancelling out, as they do
+    in polynomials modulo 2^64."""
+    out = (state ^ value) * FOLD
+    out ^= out >> np.uint64(32)
+    return out
+
+
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of data[start:end] for each range. Ranges of equal length up to eight bytes never share one."""
+    sizes = ends - starts
+    out = mix(sizes.astype(np.uint64))
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eights = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    short = sizes <= SIDE_BY_SIDE
+    rows = slice(None) if short.all() else np.flatnonzero(short)
+    at, left = starts[rows], sizes[rows]
+    while len(at):
+        out[rows] = fold(out[rows], eights[at] & MASKS[np.minimum(left, 8)])
+        more = np.flatnonzero(left > 8)
+        rows = more if isinstance(rows, slice) else rows[more]
+        at, left = at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(~short):
+        out[i] = xxh3_64_intdigest(data[starts[i] : ends[i]])
+    return mix(out, 1)
+
+
 @dataclass
 class Words:
     """The words of some texts: byte ranges in `data`, and the first word of each text in `first`
@@ -64,7 +100,7 @@ class Words:
 
     def hashes(self, lower: bool = False) -> np.ndarray:
         data = LOWER[self.data] if lower else self.data
-        return range_hashes(data.astype(np.uint64) + np.uint64(1), self.starts, self.ends, BYTE_BASE)
+        return byte_hashes(data, self.starts, self.ends)
 
     def window_starts(self, k: int) -> np.ndarray:
         """Index of every word that starts k words of one text."""
@@ -82,7 +118,17 @@ def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def window_hashes(word_hashes: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
-    return range_hashes(word_hashes, starts, starts + k, WORD_BASE)
+    """A hash of the k words from each start on."""
+    n = len(word_hashes) - k + 1
+    if 2 * len(starts) > n > 0:  # cheaper for every place than looked up for most
+        out = mix(word_hashes[:n], k)
+        for i in range(1, k):
+            out = fold(out, word_hashes[i : i + n])
+        return mix(out[starts], 1)
+    out = mix(word_hashes[starts], k)
+    for i in range(1, k):
+        out = fold(out, word_hashes[starts + i])
+    return mix(out, 1)
 
 
 def words_of(texts: pa.Array) -> Words:

@@ -1,15 +1,16 @@
 """Words, near-duplicate texts and repeated passages against the plain way."""
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallyroom.llm import substring_dedup, text_dedup
-from tallyroom.llm.words import slices, words_of
+from tallyroom.llm import queries, substring_dedup, text_dedup
+from tallyroom.llm.words import slices, window_hashes, words_of
 from tests.llm import brute
-from tests.llm.conftest import found, rows_of
+from tests.llm.conftest import SMALL, found, rows_of
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="ab \t\n\x0b\x0c\r\x1c é ", max_size=12)), max_size=8)
 
@@ -193,3 +194,59 @@ def test_empty_tables(documents):
     none = documents.limit(0)
     assert text_dedup.near_texts(none).count() == substring_dedup.count_removed(none).count() == 0
     assert substring_dedup.remove_repeats(none).count() == text_dedup.one_of_each(none).count() == 0
+
+
+def thue_morse(n):
+    """Two different words of 2^n letters that polynomials modulo 2^64 cannot tell apart for n of 10 or more."""
+    one, two = "a", "b"
+    for _ in range(n):
+        one, two = one + two, two + one
+    return one, two
+
+
+def test_hashes_tell_thue_morse_words_and_word_sequences_apart():
+    one, two = thue_morse(10)
+    w = words_of(pa.array([one, two, " ".join(one), " ".join(two)]))
+    assert len(set(w.hashes()[:2].tolist())) == 2
+    first, second = window_hashes(w.hashes(), np.array(w.first[2:4]), 1024)
+    assert first != second
+
+
+def test_windows_hash_alike_wherever_they_stand():
+    hashes = words_of(pa.array(["a b c d a b c d " * 5])).hashes()
+    every = window_hashes(hashes, np.arange(len(hashes) - 3), 4)
+    assert (every[:4] == every[4:8]).all() and len(set(every[:4].tolist())) == 4
+    assert (window_hashes(hashes, np.array([0, 4, 9]), 4) == every[[0, 4, 9]]).all()
+
+
+def test_thue_morse_texts_are_neither_repeats_nor_near(spark):
+    one, two = thue_morse(10)
+    docs = [(1, " ".join([one] * 20)), (2, " ".join([two] * 20)), (3, " ".join(one)), (4, " ".join(two))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert found(substring_dedup.count_removed(frame, 13), "doc_id", "n_words", "n_removed", "kept_sha256") == brute.repeats(docs)
+    assert found(text_dedup.near_texts(frame), "doc_id", "n_shingles", "component_id", "kept") == brute.near_texts(docs)
+
+
+def test_pieces_that_differ_from_their_source_are_not_cut(spark):
+    """As if two word sequences shared a hash: of the second text's three pieces the middle one differs."""
+    source = [f"w{i}" for i in range(200)]
+    other = ["x", *source[10:90], "other", *source[91:170]]
+    texts = substring_dedup.fingerprints(spark.createDataFrame([(1, " ".join(source)), (2, " ".join(other))], "doc_id long, text string"))
+    f1 = {r.doc_id: r.f1 for r in texts.collect()}
+    spans = spark.createDataFrame([(2, f1[2], 1, 161, 1, f1[1], 10)], "doc long, f1 long, low int, high int, d0 long, f0 long, source_low int")
+    pieces = substring_dedup.pieces_of(spans)
+    assert sorted((r.low, r.high, r.source_low) for r in pieces.collect()) == [(1, 55, 10), (55, 119, 64), (119, 161, 128)]
+    kept = substring_dedup.verified(pieces, texts)
+    assert sorted((r.doc, r.low, r.high) for r in kept.collect()) == [(2, 1, 55), (2, 119, 161)]
+    right = spark.createDataFrame([(2, f1[2], 1, 81, 1, f1[1], 10)], spans.schema)
+    assert substring_dedup.verified(substring_dedup.pieces_of(right), texts).count() == 2
+
+
+@pytest.mark.parametrize("name", ["op1_pq_near_vectors", "op4_minhash_hamming_join", "op10_debruijn_repeats"])
+def test_queries_match_their_sql(spark, name):
+    duck = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        duck.execute(f"CREATE VIEW {table} AS FROM '{SMALL}/{table}.parquet'")
+    got = queries.QUERIES[name](spark, SMALL)
+    columns = ", ".join(got.columns[:4])
+    assert sorted(rows_of(got.selectExpr(*got.columns[:4]))) == sorted(duck.execute(f"SELECT {columns} FROM ({queries.ORACLES[name]})").fetchall())
