@@ -1,9 +1,12 @@
 """Exact top-k by inner product with the threshold algorithm over sorted lists of every dimension.
 
-Candidates lie in blocks. A block keeps one sorted list per dimension; a query walks the lists from the
-end that its sign favours, scores each candidate that it meets for the first time in full, and stops as
-soon as no candidate not yet met can reach its kth result: such a one has, in each dimension, at most the
-value at which that list stands. The best k of every block are then ranked per query.
+Candidates lie in blocks. A block keeps one sorted list per dimension. The queries of a task walk the lists together, from
+both ends, as they favour either; candidates met for the first time are scored in full, all in one matrix. A
+query stops as soon as no candidate not yet met can reach its kth result: such a one has, in each dimension, at most the
+value at which that list stands at the end that the query favours. The best k of every block are then ranked per query.
+
+How early queries stop depends on the data. Where few dimensions weigh most, a small share of a block is scored; where all
+weigh alike and nothing is near, as in vectors of noise, nearly every candidate is, and a block costs one product of matrices.
 """
 
 from __future__ import annotations
@@ -20,48 +23,60 @@ from pyspark.sql.window import Window
 from tallyroom.llm.frames import one_row, settle
 from tallyroom.llm.vectors import lengths, matrix
 
-BLOCK_ROWS, QUERY_ROWS = 4096, 256
-#: Depth of the lists at the first look at the bound; each further look is three times as deep.
-FIRST_DEPTH = 16
+BLOCK_ROWS, QUERY_ROWS = 4096, 4096
+#: Queries that walk the lists of a block together.
+TOGETHER = 256
+#: Depth of the lists at the first look at the bound, and how much deeper each further look goes.
+FIRST_DEPTH, DEEPER = 16, 8
 #: Whole numbers below this stay exact in sums of doubles.
 EXACT = 1 << 53
 
 
 class SortedLists:
-    """A block of candidates with a sorted list for every dimension."""
+    """A block of candidates with a sorted list for every dimension. Candidates are kept in the order in which walks
+    from both ends of all lists meet them."""
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.values = ids[order], values[order]
-        self.rising = np.argsort(self.values, axis=0, kind="stable").T
-        self.n, self.dims = values.shape
+        self.n = len(ids)
+        order = np.argsort(values, axis=0, kind="stable")
+        self.rising = np.take_along_axis(values, order, 0)
+        place = np.empty_like(order)
+        np.put_along_axis(place, order, np.arange(self.n)[:, None], 0)
+        met = np.minimum(place, self.n - 1 - place).min(1)
+        walk = np.argsort(met, kind="stable")
+        self.ids, self.values, self.met = ids[walk], values[walk], met[walk]
+        #: Pairs of query and candidate that were scored.
+        self.scored = 0
+
+    def best(self, queries: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query the ids and scores of the k best candidates with another id than its own: higher scores
+        first, then smaller ids."""
+        for begin in range(0, len(queries), TOGETHER):
+            asked, names = queries[begin : begin + TOGETHER], own[begin : begin + TOGETHER]
+            scores = np.full((len(asked), self.n), -np.inf)
+            going, done, depth = np.arange(len(asked)), 0, FIRST_DEPTH
+            while len(going) and done < self.n:
+                upto = int(np.searchsorted(self.met, depth)) if 2 * depth < self.n else self.n
+                new = asked[going] @ self.values[done:upto].T
+                new[names[going, None] == self.ids[None, done:upto]] = -np.inf
+                scores[going, done:upto] = new
+                self.scored += new.size
+                if k <= upto < self.n:
+                    found = np.partition(scores[going, :upto], upto - k, axis=1)[:, upto - k]
+                    high, low = self.rising[self.n - depth], self.rising[depth - 1]
+                    bound = np.maximum(asked[going], 0) @ high + np.minimum(asked[going], 0) @ low
+                    going = going[found <= bound]  # a candidate not met could at best tie with the bound
+                done, depth = upto, depth * DEEPER
+            for row in scores:
+                least = np.partition(row, -k)[-k] if self.n > k else -np.inf
+                near = np.flatnonzero((row >= least) & np.isfinite(row))
+                near = near[np.lexsort((self.ids[near], -row[near]))[:k]]
+                yield self.ids[near], row[near]
 
     def top(self, query: np.ndarray, k: int, own: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best candidates other than `own`: higher scores first, then smaller ids."""
-        used = np.flatnonzero(query)
-        lists = np.where(query[used, None] > 0, self.rising[used, ::-1], self.rising[used])
-        seen = np.zeros(self.n, bool)
-        if own is not None:
-            seen |= self.ids == own
-        scores = np.full(self.n, -np.inf)
-        depth, done = FIRST_DEPTH, 0
-        while done < self.n:
-            depth = min(depth, self.n)
-            met = np.zeros(self.n, bool)
-            met[lists[:, done:depth].ravel()] = True
-            if not len(used) or depth == self.n:
-                met[:] = True
-            new = np.flatnonzero(met & ~seen)
-            seen[new] = True
-            scores[new] = self.values[new] @ query
-            found = np.partition(scores, -k)[-k] if self.n >= k else -np.inf
-            bound = float((self.values[lists[:, depth - 1], used] * query[used]).sum()) if len(used) else 0.0
-            done, depth = depth, depth * 3
-            if found > bound:  # a candidate not met could at best tie with `bound`
-                break
-        best = np.lexsort((self.ids, -scores))[:k]
-        best = best[np.isfinite(scores[best])]
-        return self.ids[best], scores[best]
+        """The same for one query."""
+        names = np.array([own if own is not None else self.ids.max(initial=0) + 1])
+        return next(self.best(query[None], names, k))
 
 
 def search_block(table: pa.Table, k: int) -> pa.Table:
@@ -74,8 +89,7 @@ def search_block(table: pa.Table, k: int) -> pa.Table:
         return search_wide(ids, values, asks, k)
     block = SortedLists(ids[~asks], values[~asks])
     out: tuple[list, list, list] = ([], [], [])
-    for query, own in zip(values[asks], ids[asks]) if block.n else ():
-        near, scores = block.top(query, k, own)
+    for own, (near, scores) in zip(ids[asks], block.best(values[asks], ids[asks], k)):
         out[0].extend([own] * len(near))
         out[1].extend(near)
         out[2].extend(scores)

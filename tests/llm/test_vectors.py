@@ -107,3 +107,31 @@ def test_scores_are_exact_in_many_dimensions_and_of_doubles(spark):
     assert got == scores
     close = spark.createDataFrame([(0, [1.0]), (1, [2.0 - 2**-40]), (2, [2.0])], "vec_id long, embedding array<double>")
     assert {(r.vec_id, r.score) for r in topk.top_k(close, 5, 50).collect()} == {(1, 256 * 511), (2, 256 * 512)}
+
+
+def test_threshold_algorithm_scores_few_where_few_dimensions_weigh_most():
+    rng = np.random.default_rng(6)
+    values = np.floor(256 * rng.normal(size=(4096, 64)) * np.array([8.0, 4.0] + [0.02] * 62))
+    block = topk.SortedLists(np.arange(4096), values)
+    queries = values[::50] * (np.arange(64) < 2)
+    for i, (ids, scores) in enumerate(block.best(queries, np.arange(0, 4096, 50), 5)):
+        want = values @ queries[i]
+        want[50 * i] = -np.inf
+        order = np.lexsort((np.arange(4096), -want))[:5]
+        assert ids.tolist() == order.tolist() and scores.tolist() == want[order].tolist()
+    light = topk.SortedLists(np.arange(4096), values[:, :2])
+    list(light.best(queries[:, :2], np.arange(0, 4096, 50), 5))
+    assert light.scored < 0.2 * len(queries) * 4096
+
+
+def test_threshold_algorithm_on_ties_and_tiny_blocks():
+    rng = np.random.default_rng(7)
+    for n in (0, 1, 4, 5, 6, 33, 200):
+        values = rng.integers(-1, 2, (n, 3)).astype(float)
+        ids = rng.permutation(n) + 10
+        queries = np.vstack([values, np.zeros((1, 3))])
+        names = np.append(ids, 0)
+        block = topk.SortedLists(ids, values)
+        for query, own, (near, scores) in zip(queries, names, block.best(queries, names, 5)):
+            want = sorted((-float(v @ query), int(i)) for v, i in zip(values, ids) if i != own)[:5]
+            assert [(-s, i) for s, i in zip(scores, near)] == want
