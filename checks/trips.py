@@ -207,6 +207,19 @@ def flight_origin_rewrite(spark, folder):
     return flights.filter_rewrite(spark, f"{base}.parquet", f"{base}-ord.parquet")
 
 
+@check(
+    FLIGHTS_SQL
+    + """
+    SELECT date, delay, origin, destination, distance FROM flights WHERE origin = 'ORD'
+    """
+)
+def flight_clustered_rewrite(spark, folder):
+    """The same from a copy laid out by origin, of which the filter reads the row groups that hold it."""
+    base = scratch_path(spark, "departuredelays-clustered")
+    write_parquet(delays(spark, folder), f"{base}.parquet", cluster_by=["origin", "date"], bloom_for=["distance"])
+    return flights.filter_rewrite(spark, f"{base}.parquet", f"{base}-ord.parquet")
+
+
 @check(
     FLIGHTS_SQL
     + """

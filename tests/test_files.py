@@ -6,6 +6,7 @@ import os
 import threading
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 
@@ -290,3 +291,72 @@ def test_object_store_conf(monkeypatch):
     conf = sources.object_store_conf(path_style=False)
     assert conf["spark.hadoop.fs.s3a.secret.key"] == "b"
     assert conf["spark.hadoop.fs.s3a.path.style.access"] == "false"
+
+
+def rows_scanned(df):
+    """Rows that the scan of a plan without shuffles gave to the filter above it."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return leaves.apply(0).metrics().apply("numOutputRows").value()
+
+
+def row_groups(path):
+    """(column -> (least, greatest)) of every row group, file by file."""
+    out = []
+    for file in sorted(glob.glob(f"{path}/*.parquet")):
+        metadata = pq.read_metadata(file)
+        for i in range(metadata.num_row_groups):
+            group = metadata.row_group(i)
+            columns = [group.column(j) for j in range(group.num_columns)]
+            out.append({c.path_in_schema: (c.statistics.min, c.statistics.max) for c in columns if c.statistics and c.statistics.has_min_max})
+    return out
+
+
+def test_clustered_parquet_lets_a_filter_skip_row_groups(spark, tmp_path):
+    """A third of the rows share one origin; the rest are dealt over 50."""
+    rows = spark.range(0, 60_000, 1, 12).selectExpr(
+        "id", "IF(id % 3 = 0, 'ORD', concat('A', lpad(pmod(xxhash64(id), 50), 2, '0'))) AS origin", "xxhash64(id, 1) AS trip", "id AS row_number_in"
+    )
+    plain, laid = str(tmp_path / "plain"), str(tmp_path / "laid")
+    small = {"parquet.block.size": 64 * 1024, "parquet.page.size": 8 * 1024}
+    sinks.write_parquet(rows, plain, **small)
+    joined = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(joined, "false")  # these few rows would be joined into one file
+    try:
+        sinks.write_parquet(rows, laid, cluster_by=["origin", "id"], bloom_for=["trip"], **small)
+    finally:
+        spark.conf.unset(joined)
+    assert same_rows(sources.read_parquet(spark, laid), rows)
+
+    def holding(path, value):
+        groups = row_groups(path)
+        return sum(g["origin"][0] <= value <= g["origin"][1] for g in groups), len(groups)
+
+    held, of = holding(plain, "A07")
+    assert held == of
+    held, of = holding(laid, "A07")
+    assert held <= 2 < of
+    files = {f for f in glob.glob(f"{laid}/*.parquet") if "ORD" in pq.read_table(f, columns=["origin"])["origin"].to_pylist()}
+    assert len(files) >= 2  # the frequent value is not left to one task
+
+    def one_origin(path):
+        return sources.read_parquet(spark, path).where("origin = 'A07'")
+
+    assert same_rows(one_origin(laid), one_origin(plain))
+    assert rows_scanned(one_origin(laid)) < 0.25 * rows_scanned(one_origin(plain))
+    trip = rows.where("id = 31415").first().trip
+    by_trip = sources.read_parquet(spark, laid).where(f"trip = {trip}")
+    assert [r.id for r in by_trip.collect()] == [31415]
+    assert rows_scanned(by_trip) < 0.5 * 60_000
+    assert rows_scanned(sources.read_parquet(spark, plain).where(f"trip = {trip}")) > rows_scanned(by_trip)
+
+
+def test_clustered_parquet_of_nothing_and_of_nulls(spark, tmp_path):
+    for n, rows in enumerate([[], [(None, 1), (None, 2), ("a", 3)]]):
+        frame = spark.createDataFrame(rows, "origin string, id int")
+        path = str(tmp_path / str(n))
+        sinks.write_parquet(frame, path, cluster_by=["origin"], bloom_for=["origin"])
+        assert same_rows(sources.read_parquet(spark, path), frame)
+    folders = str(tmp_path / "folders")
+    sinks.write_parquet(spark.range(100).selectExpr("id", "id % 4 AS year"), folders, partition_by=["year"], cluster_by=["id"])
+    assert sources.read_parquet(spark, folders).where("year = 2").count() == 25
