@@ -1,15 +1,20 @@
 """Main text of web pages, with site templates found by counting element subtrees per host.
 
-Every element of a page is hashed with all that it holds. Spark counts on how many different
-pages of a host each hash stands; what recurs on many of them belongs to the site and is deleted, whether or not
-the rules below find it too. Pages that are whole copies of each other count once. Articles do repeat each other's
-paragraphs, so text blocks and inline elements take a large share of the host's pages besides; inline elements
-count if they stand alone in their block or hold four words, as short ones inside a sentence are words of it.
-
-Besides that, elements whose tag, role or class says that they are no part of the article go: menus, headers,
-footers, sidebars, notices, adverts, forms, comments. A class or id says so only of elements that hold neither
-the page's largest `article` or `main` nor most of its text, and not if nothing would be left; comments may hold most.
-Where `article` or `main` elements hold half of what is kept at least, the text is what stands in them.
+Every element of a page is hashed twice: its content is all that it holds, its shape the tags, roles and names
+of itself and of what it holds, runs of equal parts folded, without the words. Spark counts on how many different
+pages of a host each hash stands. Pages that are whole copies of each other count once.
+
+* A content that recurs on many pages of its host belongs to the site, at every size of the host. Articles do repeat
+  each other's paragraphs, so text blocks and inline elements take a large share of the host's pages besides; inline
+  elements count if they stand alone in their block or hold four words, as short ones inside a sentence are words of it.
+* A shape that recurs on half of the host's pages with ever different words belongs to the site too, where those words
+  are links for the most part, or fewer than the article's and outside the element that holds it: see `slots`.
+
+What neither count decides, as it changes from page to page inside the article or the host has too few pages, is
+left to tag, role and class: menus, headers, footers, sidebars, notices, adverts, forms, comments. A class or id says so
+only of elements that hold neither the page's largest `article` or `main` nor most of its text, and not if nothing
+would be left; comments may hold most. Where `article` or `main` elements hold half of what is kept at least, the text
+is what stands in them.
 """
 
 from __future__ import annotations
@@ -19,19 +24,25 @@ import re
 from collections.abc import Iterator
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyroom.llm.frames import settle
+from tallyroom.llm.frames import all_rows, discard, settle
 from tallyroom.llm.urls import host_and_path
 
 #: A container is a template from so many different pages of its host on, however large the host is.
 MIN_PAGES, MIN_SHARE = 10, 0.0
 #: Text blocks and inline elements are from so many on, if they are at least that share of the host's.
 TEXT_PAGES, TEXT_SHARE = 10, 0.3
+#: Shapes are from so many on, if they are at least that share of the host's.
+SHAPE_PAGES, SHAPE_SHARE = 10, 0.5
+#: Up to so many templates (8 MB) are sent to every task; beyond, pages are joined with theirs.
+SENT_TEMPLATES = 1 << 20
+CONTAINER, TEXTUAL, SHAPE = 0, 1, 2
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'<]|"[^"<]*"|'[^'<]*')*+>|[^>]*(?:>|\Z))|<[!?][^>]*(?:>|\Z)""", re.S)
+TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'<]|"[^"<]*"|'[^'<]*'|"[^"]*"(?=[\s/>])|'[^']*'(?=[\s/>]))*+>|[^>]*(?:>|\Z))|<[!?][^>]*(?:>|\Z)""", re.S)
 MARK = re.compile(r"class|id|role|hidden|style", re.I)
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 PIECE = re.compile(r"[a-z]+|[0-9]+")
@@ -171,35 +182,123 @@ def apart(node: Node, holder: Node, weights: dict[int, int]) -> bool:
     return weights[id(holder)] > (weights[id(node)] if up else 0)
 
 
-def subtrees(top: Node) -> list[tuple[Node, bytes, bool]]:
-    """The elements of a tree that may be templates with the hash of all that they hold, and whether they are text."""
-    out, done = [], {}
+class Facts:
+    """What is known of an element from all that it holds: its two hashes, words, characters, those in links, links,
+    and whether it is or holds a main heading, `article` or `main`."""
+
+    __slots__ = ("content", "shape", "words", "chars", "linked", "links", "titled")
+
+    def __init__(self, content: bytes, shape: bytes, words: int, chars: int, linked: int, links: int, titled: bool):
+        self.content, self.shape, self.words, self.chars = content, shape, words, chars
+        self.linked, self.links, self.titled = linked, links, titled
+
+
+def subtrees(top: Node) -> tuple[list[tuple[Node, bytes, int]], dict[int, Facts]]:
+    """The elements of a tree whose content may be a template, with its hash and kind, and the facts of all elements by id."""
+    out: list[tuple[Node, bytes, int]] = []
+    facts: dict[int, Facts] = {}
     stack = [(top, True, False)]
     while stack:
         node, alone, ready = stack.pop()
         if not ready:
             stack.append((node, alone, True))
-            single = lone_parts(node) if alone or node.tag in BLOCKS else ()
-            stack.extend((part, id(part) in single, False) for part in node.parts if isinstance(part, Node))
+            if len(node.parts) > 1 or node.parts and isinstance(node.parts[0], Node):
+                single = lone_parts(node) if alone or node.tag in BLOCKS else ()
+                stack.extend((part, id(part) in single, False) for part in node.parts if isinstance(part, Node))
             continue
-        whole, words = blake2b(node.tag.encode(), digest_size=8), 0
+        tag = node.tag
+        words = chars = linked = links = 0
+        whole, form, titled = [tag.encode()], [], tag == "h1" or tag in HOLDERS
         for part in node.parts:
             if isinstance(part, Node):
-                key, n = done.pop(id(part))
-                whole.update(b"<" + key)
+                own = facts[id(part)]
+                whole.append(b"<" + own.content)
+                words += own.words
+                if part.tag in GONE_UNSEEN:
+                    continue
+                chars, linked, links, titled = chars + own.chars, linked + own.linked, links + own.links, titled or own.titled
+                if own.shape and (not form or form[-1] != own.shape):
+                    form.append(own.shape)
             else:
                 pieces = part.split()
-                n = len(pieces)
-                whole.update(b">" + " ".join(pieces).encode("utf-8", "replace"))
-            words += n
-        done[id(node)] = whole.digest(), words
+                words += len(pieces)
+                chars += sum(map(len, pieces))
+                whole.append(b">" + " ".join(pieces).encode("utf-8", "replace"))
+        shape = b""
+        if tag == "a":
+            linked, links = chars, 1
+        if tag == "a" or tag in BLOCKS:
+            shape = blake2b(f"{tag} {names_of(node)}<".encode("utf-8", "replace") + b"".join(form), digest_size=8).digest()
+        content = blake2b(b"".join(whole), digest_size=8).digest()
+        facts[id(node)] = Facts(content, shape, words, chars, linked, links, titled)
         if words and node.tag not in ("", "html", "body", "article", "main", "hr") and node.tag not in GONE_UNSEEN:
             container = node.tag in BLOCKS and node.tag not in TEXT_BLOCKS
             if container or node.tag in TEXT_BLOCKS or words >= 4 or alone:
-                out.append((node, whole.digest(), not container))
+                out.append((node, content, CONTAINER if container else TEXTUAL))
+    return out, facts
+
+
+def names_of(node: Node) -> str:
+    """Role and class names of an element without their numbers, in one order."""
+    if len(node.marks) < 5 or not MARK.search(node.marks):
+        return ""
+    found: set[str] = set()
+    for key, value in ATTRIBUTE.findall(node.marks):
+        if key.lower() in ("class", "role"):
+            found.update(PIECE.findall(value.lower()))
+    return " ".join(sorted(name for name in found if not name.isdigit()))
+
+
+def slots(top: Node, facts: dict[int, Facts]) -> list[tuple[Node, bytes]]:
+    """The containers whose shape may be a template, with its hash.
+
+    These are the ones with two links at least and most of their characters in links. Where an `article` or `main`
+    holds more than half of the page's characters outside links, these are also the ones outside it with
+    fewer characters, unless they hold a main heading or another `article` or `main`. Neither the holder nor what it
+    stands in is asked for.
+    """
+    holder, most = None, -1
+    inner = [top]
+    for node in inner:  # grows as it is gone through
+        own = facts[id(node)]
+        if node.tag in HOLDERS and own.chars - own.linked > most:
+            holder, most = node, own.chars - own.linked
+        if own.words and (node.tag in BLOCKS or not node.tag):
+            inner.extend(part for part in node.parts if isinstance(part, Node) and part.tag not in GONE_UNSEEN)
+    rest = facts[id(top)].chars - facts[id(top)].linked
+    ruling = holder if 2 * most > rest else None
+    around: set[int] = set()
+    node = holder
+    while node:
+        around.add(id(node))
+        node = node.up
+    out = []
+    stack = [(top, False)]
+    while stack:
+        node, inside = stack.pop()
+        own = facts[id(node)]
+        if id(node) not in around and own.words and node.tag in BLOCKS and node.tag not in TEXT_BLOCKS and node.tag not in ("html", "body", "hr"):
+            mostly_links = own.links > 1 and 2 * own.linked > own.chars
+            if mostly_links or ruling and not inside and not own.titled and own.chars < facts[id(ruling)].chars:
+                out.append((node, own.shape))
+        inside = inside or node is holder
+        if own.words and (node.tag in BLOCKS or node is top) and (not inside or own.links > 1):
+            stack.extend((part, inside) for part in node.parts if isinstance(part, Node) and part.tag not in GONE_UNSEEN)
     return out
 
 
+def candidates(top: Node) -> list[tuple[Node, bytes, int]]:
+    """The elements of a page that may be templates: element, hash and kind; an element may stand there twice."""
+    found, facts = subtrees(top)
+    found.extend((node, shape, SHAPE) for node, shape in slots(top, facts))
+    return found
+
+
+def template_key(host: bytes, whole: bytes, kind: int) -> int:
+    """The number of a content or a shape on a host."""
+    return number(blake2b(whole + bytes((kind,)) + host, digest_size=8).digest())
+
+
 def lone_parts(node: Node) -> set[int]:
     """The ids of the parts of a node that nothing else shares a line with."""
     out, line = set(), []
@@ -235,12 +334,13 @@ def holders(top: Node, gone: set[int], spared: set[int] | None) -> list[Node]:
     return found if found and 2 * within >= total else [top]
 
 
-def main_text(page: str | None, templates: frozenset[bytes] = frozenset()) -> str:
-    """The text of a page, blocks joined by line breaks, without the subtrees whose hashes are given."""
-    if not page:
-        return ""
-    top = parse(page)
-    gone = {id(node) for node, key, _ in subtrees(top) if key in templates} if templates else set()
+def main_text(page: str | None) -> str:
+    """The text of a page by itself, blocks joined by line breaks."""
+    return text_without(parse(page), set()) if page else ""
+
+
+def text_without(top: Node, gone: set[int]) -> str:
+    """The text of a tree without the elements whose ids are given."""
     spared = spare(top)
     text = kept_text(top, gone, spared)
     if not text and not (gone and kept_text(top, set(), spared)):
@@ -285,49 +385,114 @@ def kept_text(top: Node, gone: set[int], spared: set[int] | None) -> str:
     return "\n".join(blocks)
 
 
-def site_templates(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """(key, hashes): for a page, by its `key`, the subtrees to delete."""
+def found_on(batch: pa.RecordBatch, with_key: bool) -> pa.RecordBatch:
+    """The candidates of a batch of pages: host and template as numbers, kind, and the page's article, or its key.
+    A row of kind `SHAPE` with the host as template stands for the page itself."""
+    last, hosts, hashes, kinds = [], [], [], []
+    keys = batch.column("key").to_pylist()
+    for key, url, page in zip(keys, batch.column("url").to_pylist(), batch.column("html").to_pylist()):
+        host = host_digest(url)
+        top = parse(page or "")
+        article = key if with_key else number(blake2b(text_without(top, set()).encode("utf-8", "replace"), digest_size=8).digest())
+        own = {(template_key(host, whole, kind), kind) for _, whole, kind in candidates(top)}
+        if not with_key:
+            own.add((number(host), SHAPE))
+        for template, kind in own:
+            hashes.append(template)
+            kinds.append(kind)
+        hosts.extend([number(host)] * len(own))
+        last.extend([article] * len(own))
+    columns = [pa.array(hosts, pa.int64()), pa.array(hashes, pa.int64()), pa.array(kinds, pa.int8()), pa.array(last, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=["host", "template", "kind", "page"])
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: list[tuple] = []
-            for key, url, page in zip(*(batch.column(c).to_pylist() for c in ("key", "url", "html"))):
-                host = host_and_path(url)[0]
-                article = number(blake2b(main_text(page).encode("utf-8", "replace"), digest_size=8).digest())
-                own = {(number(whole), text) for _, whole, text in subtrees(parse(page or ""))}
-                rows.extend((key, host, article, *one) for one in own)
-            yield pa.RecordBatch.from_pylist([dict(zip(FOUND.names, row)) for row in rows], schema=FOUND)
 
-    found = settle(pages.mapInArrow(scan, "key long, host string, article long, hash long, textual boolean").distinct(), "site-subtrees")
-    kinds = found.select("host", "hash", "textual", "article").distinct()
-    often = kinds.groupBy("host", "hash", "textual").agg(F.count(F.lit(1)).alias("n")).filter(f"n >= IF(textual, {max(min_pages, TEXT_PAGES)}, {min_pages})")
-    sizes = found.select("host", "article").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    often = often.join(sizes, "host").filter(f"n >= pages * IF(textual, {max(min_share, TEXT_SHARE)}, {min_share})").select("host", "hash")
-    return settle(found.join(often, ["host", "hash"]).groupBy("key").agg(F.collect_set("hash").alias("hashes")), "site-templates")
+FOUND = "host long, template long, kind byte, page long"
 
 
-FOUND = pa.schema([("key", pa.int64()), ("host", pa.string()), ("article", pa.int64()), ("hash", pa.int64()), ("textual", pa.bool_())])
+def host_digest(url: str | None) -> bytes:
+    return blake2b(host_and_path(url)[0].encode("utf-8", "replace"), digest_size=8).digest()
 
 
 def number(digest: bytes) -> int:
     return int.from_bytes(digest, "little", signed=True)
 
 
-def extract_pages(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """(template): the numbers of contents and shapes to delete, each of one host.
+
+    Only numbers are shuffled: first by host, template and article, so that one that stands on a third of all
+    pages spreads over all tasks, then counts of these by host and template.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield found_on(batch, False)
+
+    n = pages.mapInArrow(scan, FOUND).distinct().groupBy("host", "template", "kind").agg(F.count(F.lit(1)).alias("n"))
+    counted = settle(n.filter("n >= IF(host = template, 1, 2)"), "site-counts")
+    sizes = counted.filter("host = template").select("host", F.col("n").alias("pages"))
+    least = f"CASE kind WHEN {CONTAINER} THEN {min_pages} WHEN {TEXTUAL} THEN {max(min_pages, TEXT_PAGES)} ELSE {max(min_pages, SHAPE_PAGES)} END"
+    share = f"CASE kind WHEN {CONTAINER} THEN {min_share} WHEN {TEXTUAL} THEN {max(min_share, TEXT_SHARE)} ELSE {SHAPE_SHARE} END"
+    often = counted.filter(f"host <> template AND n >= {least}").join(sizes, "host").filter(f"n >= pages * {share}").select("template")
+    templates = settle(often, "site-templates")
+    discard(counted)
+    return templates
+
+
+def extract_pages(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, sent: int = SENT_TEMPLATES) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every page.
 
     Null, empty and unreadable html gives an empty text. Repeated rows are extracted each. An empty
-    table gives no rows. Other columns are not read.
+    table gives no rows. Other columns are not read. Pages without a host count as pages of one.
+
+    Up to `sent` templates go to every task and no page moves; if there are more, pages are joined with
+    their own templates, which shuffles the html once. The texts are the same.
     """
-    host = F.lower(F.coalesce(F.regexp_extract("url", r"^.*?://([^/?#]*)", 1), F.lit("")))
-    keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.xxhash64(host, F.coalesce("html", F.lit(""))).alias("key"))
+    keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.xxhash64("url", "html").alias("key"))
     templates = site_templates(keyed.select("key", "url", "html"), min_pages, min_share)
+    if templates.count() <= sent:
+        all_of_them = np.sort(np.array([row[0] for row in all_rows(templates)], np.int64))
+        discard(templates)
+        shared = pages.sparkSession.sparkContext.broadcast(all_of_them)
+
+        def extract_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield extracted(batch, [shared.value] * batch.num_rows)
+
+        return keyed.select("page_id", "url", "html").mapInArrow(extract_all, EXTRACTED)
 
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield found_on(batch, True)
+
+    found = keyed.select("key", "url", "html").mapInArrow(scan, FOUND).select(F.col("page").alias("key"), "template").distinct()
+    own = settle(found.join(templates, "template").groupBy("key").agg(F.sort_array(F.collect_set("template")).alias("own")), "site-own")
+
+    def extract_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for page, hashes in zip(batch.column("html").to_pylist(), batch.column("hashes").to_pylist()):
-                texts.append(main_text(page, frozenset(h.to_bytes(8, "little", signed=True) for h in hashes or ())))
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
+            yield extracted(batch, [np.array(one or (), np.int64) for one in batch.column("own").to_pylist()])
+
+    return keyed.join(own, "key", "left").select("page_id", "url", "html", "own").mapInArrow(extract_own, EXTRACTED)
+
+
+EXTRACTED = "page_id long, url string, text string, n_chars long"
+
+
+def extracted(batch: pa.RecordBatch, templates: list[np.ndarray]) -> pa.RecordBatch:
+    """The texts of a batch of pages, with the sorted templates to look up for each."""
+    texts = []
+    for url, page, known in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), templates):
+        if not page:
+            texts.append("")
+            continue
+        top = parse(page)
+        texts.append(text_without(top, deleted(top, host_digest(url), known) if len(known) else set()))
+    return pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
+
 
-    return keyed.join(templates, "key", "left").select("page_id", "url", "html", "hashes").mapInArrow(extract, "page_id long, url string, text string, n_chars long")
+def deleted(top: Node, host: bytes, known: np.ndarray) -> set[int]:
+    """The ids of the elements that are templates of the host."""
+    found = candidates(top)
+    own = np.array([template_key(host, whole, kind) for _, whole, kind in found], np.int64)
+    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+    return {id(found[i][0]) for i in np.flatnonzero(known[at] == own)}

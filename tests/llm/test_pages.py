@@ -141,6 +141,70 @@ def test_templates_do_not_depend_on_the_size_of_a_host(spark):
     assert sum("Table of facts" in t for t in got.values()) == 10
 
 
+def by_counting(rows, min_pages):
+    """Texts of (url, html) rows with the templates counted in one dictionary."""
+    pages, hosts, kinds = {}, {}, {}
+    for url, page in rows:
+        host, top = html_text.host_digest(url), html_text.parse(page or "")
+        article = html_text.main_text(page)
+        hosts.setdefault(host, set()).add(article)
+        for _, whole, kind in html_text.candidates(top):
+            pages.setdefault((host, kind, whole), set()).add(article)
+    gone = set()
+    for (host, kind, whole), articles in pages.items():
+        least, share = {0: (min_pages, 0), 1: (max(min_pages, 10), 0.3), 2: (max(min_pages, 10), 0.5)}[kind]
+        if len(articles) >= max(2, least) and len(articles) >= share * len(hosts[host]):
+            gone.add((host, kind, whole))
+    texts = []
+    for url, page in rows:
+        top = html_text.parse(page or "")
+        out = {id(node) for node, whole, kind in html_text.candidates(top) if (html_text.host_digest(url), kind, whole) in gone}
+        texts.append(html_text.text_without(top, out) if page else "")
+    return texts
+
+
+@pytest.mark.parametrize("sent", [1 << 20, 0])
+def test_counting_in_spark_equals_one_dictionary(spark, sent):
+    """Whether templates are sent to the tasks or pages joined with theirs; repeated ids keep their own html."""
+    table = spark.read.parquet(f"{MEDIUM}/pages.parquet").select("page_id", "url", "html")
+    rows = [tuple(r) for r in table.collect()]
+    rows += [(7, f"http://{'Twelve' if i % 3 else 'few'}.org/{i}", f"<div class=box{i}>Sold by {i}</div><article><p>{'own words ' * (i + 4)}</p><div>Shared</div></article>") for i in range(18)]
+    frame = spark.createDataFrame(rows, table.schema)
+    got = html_text.extract_pages(frame.repartition(5), sent=sent)
+    want = [(i, url, text) for (i, url, _), text in zip(rows, by_counting([r[1:] for r in rows], 10))]
+    assert sorted(rows_of(got.select("page_id", "url", "text")), key=str) == sorted(want, key=str)
+    assert sum("Shared" in text for _, _, text in want) == 6
+
+
+def test_shapes_decide_without_marks(monkeypatch):
+    """Bars of ever different links and short boxes outside the article go on a host where they recur; the same inside an
+    article, main headings, other articles and lists with few links stay. What stands outside `article` is kept here."""
+    monkeypatch.setattr(html_text, "holders", lambda top, gone, spared: [top])
+
+    def page(i):
+        bar = "".join(f"<span><a href=/{i}{j}>go {i} {j}</a></span>" for j in range(2 + i % 4))
+        inside = f"<div class=fact>Fact {i}</div><ul><li>Point {i} <a href=x>here</a> and more words of it</ul>"
+        return f"<div>{bar}</div><div class='x{i} low'>Low {i}</div><div><h1>Head {i}</h1></div><article><p>Text {i} {'goes on ' * 9}</p>{inside}</article><article>Brief {i}</article>"
+
+    def other(i):
+        return f"<div><p>Lead {i}</p></div><div><p>Body {i} of a page without an article</p></div>"
+
+    pages = [(f"http://a.org/{i}", page(i)) for i in range(20)] + [(f"http://b.org/{i}", other(i)) for i in range(20)] + [(f"http://c.org/{i}", page(i)) for i in range(9)]
+    got = by_counting(pages, 10)
+    for i in range(20):
+        assert f"Head {i}\n" in got[i]
+        assert f"go {i}" not in got[i] and "Low" not in got[i]
+        assert f"Fact {i}\nPoint {i} here and more" in got[i] and got[i].endswith(f"Brief {i}")
+        assert got[20 + i] == f"Lead {i}\nBody {i} of a page without an article"
+    assert "go 3 0" in got[43] and "Low 3" in got[43]
+
+
+def test_attributes_of_megabytes_and_clashing_columns(spark):
+    page = f'<div class="{"a1 " * 700_000}" title="{"<p>" * 500_000}">{LONG}</div>'
+    frame = spark.createDataFrame([(1, "http://a.org/", page, 5, 6, 7), (1, None, None, 5, 6, 7)], "page_id int, url string, html string, key int, host int, template int")
+    assert sorted(rows_of(html_text.extract_pages(frame)), key=str) == [(1, "http://a.org/", PLAIN, len(PLAIN)), (1, None, "", 0)]
+
+
 def test_every_page_of_the_table_has_a_text(spark):
     frame = spark.read.parquet(f"{SMALL}/pages.parquet")
     rows = html_text.extract_pages(frame).collect()
