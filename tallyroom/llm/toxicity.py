@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyroom.llm.frames import settle
+from tallyroom.llm.frames import all_rows, discard, settle
 from tallyroom.llm.words import WORD_BASE, range_hashes, slices, spread
 
 #: The training sample: at most so many documents of label 0 and of label 1, none longer than TRAIN_CHARS.
@@ -178,6 +178,12 @@ class Sample:
         places = order[np.searchsorted(known[order], np.concatenate(words))].astype(np.int32)
         return cls(places, np.concatenate(lengths), np.concatenate(flat), np.concatenate(sizes))
 
+    @classmethod
+    def labelled(cls, texts: list[str], toxic: np.ndarray) -> tuple[Sample, np.ndarray]:
+        """The sample, and the labels of its texts that have words."""
+        sample = cls.of(texts)
+        return sample, np.asarray(toxic).astype(float)[np.flatnonzero(sample.lengths)]
+
     def owner(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
 
@@ -194,14 +200,32 @@ def train(texts: list[str], toxic: np.ndarray, steps: int = STEPS, seed: int = 1
 
     Texts without words are left out. Without texts of both labels the model knows only the one.
     """
-    sample = Sample.of(texts)
-    truth = np.asarray(toxic).astype(float)[np.flatnonzero(sample.lengths)]
-    if not len(truth) or truth.min() == truth.max():
-        return Model(np.zeros(ROWS), 4.0 if len(truth) and truth.min() else -4.0)
-    found = [train_once(sample, truth, steps, seed + n) for n in range(RESTARTS)]
+    sample, truth = Sample.labelled(texts, toxic)
+    return averaged([train_once(sample, truth, steps, seed + n) for n in range(RESTARTS)])
+
+
+def averaged(found: list[Model]) -> Model:
+    if not found:
+        return Model(np.zeros(ROWS), -4.0)
     return Model(np.mean([m.margin for m in found], 0), float(np.mean([m.bias for m in found])))
 
 
+def train_in_tasks(sample: DataFrame, steps: int = STEPS, seed: int = 11) -> Model:
+    """`train` over the rows (text, _tx_toxic, h) in the order of `h`, each of the RESTARTS trainings in a task of its
+    own; the driver gets their margins alone."""
+
+    def learn(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by([("h", "ascending"), ("_tx_toxic", "ascending")])
+        own, truth = Sample.labelled(table.column("text").to_pylist(), table.column("_tx_toxic").to_numpy())
+        found = train_once(own, truth, steps, seed + key[0].as_py())
+        return pa.table({"run": pa.array([key[0].as_py()], pa.int32()), "margin": pa.array([found.margin.tobytes()], pa.binary()), "bias": [found.bias]})
+
+    each = sample.withColumn("_tx_run", F.explode(F.array(*(F.lit(n) for n in range(RESTARTS)))))
+    each = each.repartitionByRange(RESTARTS, "_tx_run").groupBy("_tx_run").applyInArrow(learn, "run int, margin binary, bias double")
+    found = sorted(all_rows(each), key=lambda r: r["run"])  # RESTARTS rows
+    return averaged([Model(np.frombuffer(r["margin"]), r["bias"]) for r in found])
+
+
 def held_back(truth: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """HELD_BACK of the texts of each label; none if a label has too few texts."""
     back = np.zeros(len(truth), bool)
@@ -226,6 +250,8 @@ def fewest_errors(scores: np.ndarray, truth: np.ndarray) -> float:
 def train_once(sample: Sample, truth: np.ndarray, steps: int, seed: int) -> Model:
     """All texts in every step. The first steps average over all bags of a text, to find what the label goes
     with at all; the others follow the worst bag. Steps are scaled by the largest slope, not one by one."""
+    if not len(truth) or truth.min() == truth.max():
+        return Model(np.zeros(ROWS), 4.0 if len(truth) and truth.min() else -4.0)
     rng, side = np.random.default_rng(seed), np.array([-1.0, 1.0])
     bags, words, sizes, flat, owner = Bags.of(sample.lengths), sample.words, sample.sizes, sample.rows, sample.owner()
     place, width, first, counts = bags.place, bags.width, bags.first, bags.counts
@@ -292,8 +318,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     short = docs.filter("length(text) BETWEEN 1 AND " + str(TRAIN_CHARS))
     chosen = F.broadcast(picked)  # sum(TRAIN_DOCS) rows at most
     found = short.join(chosen, short["doc_id"] == chosen["_tx_id"]).select("text", "_tx_toxic", F.xxhash64("text").alias("h"))
-    found = found.dropDuplicates(["h", "_tx_toxic"]).orderBy("h").limit(sum(TRAIN_DOCS)).toArrow()
-    return train(found.column("text").to_pylist(), found.column("_tx_toxic").to_numpy())
+    found = settle(found.dropDuplicates(["h", "_tx_toxic"]).orderBy("h", "_tx_toxic").limit(sum(TRAIN_DOCS)), "toxic-texts")
+    model = train_in_tasks(found)
+    discard(picked, found)
+    return model
 
 
 def runs(texts: list[str | None]) -> Iterator[list[str | None]]:

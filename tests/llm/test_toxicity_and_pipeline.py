@@ -1,11 +1,13 @@
 """Held-out accuracy of the classifier, and the pipeline stage by stage."""
 
+import os
 import re
 import zlib
 
 import corpus_pipeline
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyroom.llm import queries, toxicity
 from tests.llm import brute
@@ -85,6 +87,27 @@ def test_a_word_of_one_training_text_says_nothing():
     assert fitted.scores(["qqwwyy", "vexgrob"]).round().tolist() == [0, 1]
 
 
+def test_trainings_run_in_tasks_and_give_the_model_of_one_process(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    plain = ["".join(rng.choice(list("aeioulmnrst"), 5)) for _ in range(80)]
+    texts = [" ".join(rng.choice(plain, 20)) + (" vexgrob" if i % 3 == 0 else "") for i in range(120)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(120)], "doc_id long, toxic int")
+    learned = docs.join(labels, "doc_id").filter(~toxicity.held_out()).orderBy(F.xxhash64("text")).collect()
+
+    driver, train_once = os.getpid(), toxicity.train_once
+
+    def outside(*args):
+        assert os.getpid() != driver, "trained in the driver, whose memory that takes"
+        return train_once(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(toxicity, "train_once", outside)
+        fitted = toxicity.fit(docs, labels)
+    alone = toxicity.train([r.text for r in learned], np.array([r.toxic for r in learned]))
+    assert np.allclose(fitted.margin, alone.margin) and np.isclose(fitted.bias, alone.bias)
+
+
 def test_slices_do_not_change_scores():
     fitted, plain = model()
     texts = [" ".join(plain[i : i + 9]) for i in range(0, 200, 7)] + [None, "", "x"]
