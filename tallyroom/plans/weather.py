@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyroom.functions import Field
 from tallyroom.operators import in_order, mean_by, parse_fixed_width, stddev_by
-from tallyroom.sinks import write_csv, write_parquet, write_single_csv, write_together
+from tallyroom.sinks import write_csv, write_joined_csv, write_parquet, write_single_csv, write_together
 from tallyroom.sources import read_parquet
 
 # Name, start, length, type and divisor of the columns of a weather line.
@@ -58,14 +58,15 @@ def export_weather(
     """Typed copies: Parquet, CSV, CSV with lz4 and a last CSV. Returns the Parquet copy.
 
     The lines are parsed once, into Parquet; the CSVs are made from there. With `single_file` the
-    last CSV is one file, which one task writes, at any number of rows; without, it has many.
+    last CSV is one file, which many tasks write (see `write_joined_csv`), at any number of rows;
+    without, it has many.
     """
     spark = lines.sparkSession
     write_parquet(parse_weather(lines, fields), f"{base}.parquet", mode)
     stored = read_parquet(spark, f"{base}.parquet")
     write_together(
         spark,
-        lambda: (write_single_csv if single_file else write_csv)(stored, f"{base}.csv", mode),
+        lambda: (write_joined_csv if single_file else write_csv)(stored, f"{base}.csv", mode),
         lambda: write_csv(stored, f"{base}-uncompressed.csv", mode),
         lambda: write_csv(stored, f"{base}-compressed.csv", mode, compression="lz4"),
     )

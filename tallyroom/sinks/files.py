@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+import uuid
+from collections.abc import Iterator, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, DataFrameWriter
+import pyarrow as pa
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroom.operators.topk import unused_name
+from tallyroom.staging import discard, scratch_path
 
 # How to write: "errorifexists", as in Spark, unless the caller says otherwise.
 REFUSE = "errorifexists"
@@ -18,6 +23,8 @@ MICROSECONDS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
+# Bytes of one file that a task copies into a joined one.
+JOIN_BYTES = 64 << 20
 # Spark's CSV writer trims strings unless told otherwise.
 WHOLE_STRINGS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
@@ -110,3 +117,76 @@ def write_single_csv(
     """CSV in one file, at any number of rows. One file means that one task reads and writes them
     all: it is for frames that are small by nature, such as an aggregate settled before."""
     write_csv(df.coalesce(1), path, mode, header, **options)
+
+
+def write_joined_csv(df: DataFrame, path: str, mode: str = REFUSE, header: bool = True) -> None:
+    """CSV in one file, for frames of any size: many tasks write parts, and tasks copy these, JOIN_BYTES
+    each, to their places in the file, in the order of the frame. A repeated copy writes the same bytes
+    again, and the output gets its name when it is whole.
+
+    Writing at places takes a file system that allows it, so only `file:` folders, which all executors
+    must share, are written like this. Elsewhere (HDFS, object stores) one task writes all, as
+    `write_single_csv` does.
+    """
+    spark = df.sparkSession
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    target = place(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.getScheme() != "file":
+        return write_single_csv(df, path, mode, header)
+    if files.exists(target) and mode not in ("overwrite", "append"):
+        if mode == "ignore":
+            return
+        raise AnalysisException(f"[PATH_ALREADY_EXISTS] Path {path} already exists.")
+    parts, joining = scratch_path(spark, "csv-parts"), target.suffix(f"-joining-{uuid.uuid4().hex}")
+    name = f"part-00000-{uuid.uuid4()}-c000.csv"
+    try:
+        write_csv(df.limit(0).coalesce(1), f"{parts}/0-header", header=header)
+        write_csv(df, f"{parts}/1-rows", header=False)
+        files.mkdirs(joining)
+        _join(spark, [f"{parts}/0-header", f"{parts}/1-rows"], files.makeQualified(joining).toUri().getPath() + f"/{name}")
+        files.create(place(joining, "_SUCCESS")).close()
+        if mode == "overwrite":
+            files.delete(target, True)
+        moves = [(joining, target)]
+        if files.exists(target):
+            moves = [(place(joining, name), place(target, name))]
+        for source, to in moves:
+            if not files.rename(source, to):
+                raise OSError(f"{source} could not be named {to}")
+    finally:
+        discard(spark, joining.toString())
+        discard(spark, parts)
+
+
+def _join(spark: SparkSession, folders: Sequence[str], target: str) -> None:
+    """Copy the part files of some local folders, one after the other, into one file. Only their names and
+    sizes reach the driver."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    pieces, size = [], 0
+    for folder in folders:
+        files = place(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found = [(f.getPath().toUri().getPath(), f.getLen()) for f in files.globStatus(place(f"{folder}/part-*"))]
+        for source, length in sorted(found, key=lambda f: (int(os.path.basename(f[0]).split("-")[1]), f[0])):
+            pieces += [(source, b, min(JOIN_BYTES, length - b), size + b) for b in range(0, length, JOIN_BYTES)]
+            size += length
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in batch.to_pylist():
+                with open(piece["source"], "rb") as source, open(os.open(target, os.O_WRONLY | os.O_CREAT, 0o644), "wb") as out:
+                    source.seek(piece["begin"])
+                    out.seek(piece["place"])
+                    left = piece["length"]
+                    while left and (some := source.read(min(left, 1 << 20))):
+                        out.write(some)
+                        left -= len(some)
+                    out.flush()
+                    os.fsync(out.fileno())
+                yield pa.RecordBatch.from_pydict({"copied": [piece["length"] - left]})
+
+    schema = "source string, begin long, length long, place long"
+    dealt = spark.createDataFrame(pieces or [(os.devnull, 0, 0, 0)], schema).repartition(max(1, len(pieces)))
+    copied = dealt.mapInArrow(copy, "copied long").agg(F.sum("copied")).first()[0]
+    if copied != size:
+        raise OSError(f"{copied} of {size} bytes copied to {target}")

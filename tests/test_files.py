@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tallyroom import operators as op
 from tallyroom import sinks, sources
@@ -114,6 +115,34 @@ def test_single_csv_is_one_file_at_any_number_of_rows(spark, tmp_path, rows):
     assert sources.read_csv(spark, path, "id INT").count() == rows
 
 
+@pytest.mark.parametrize("rows", [0, 1, 50_000])
+def test_joined_csv_is_one_file_from_many_tasks(spark, tmp_path, monkeypatch, rows):
+    monkeypatch.setattr(sinks.files, "JOIN_BYTES", 10_000)
+    path = str(tmp_path / "joined")
+    df = spark.range(0, rows, 1, 7).withColumns({"task": F.spark_partition_id(), "text": F.lit(' a,"b" ')})
+    sinks.write_joined_csv(df, path)
+    files = glob.glob(f"{path}/part-*")
+    read = sources.read_csv(spark, path, "id LONG, task INT, text STRING").collect()
+    assert len(files) == 1 and sorted(os.listdir(tmp_path)) == ["joined"] and os.path.exists(f"{path}/_SUCCESS")
+    assert sorted((r.id, r.text) for r in read) == [(i, ' a,"b" ') for i in range(rows)]
+    assert len({r.task for r in read}) == min(rows, 7)
+    lines = open(files[0]).read().splitlines()
+    assert lines[0] == "id,task,text" and [int(x.split(",")[0]) for x in lines[1:]] == list(range(rows))
+
+
+def test_joined_csv_keeps_to_its_mode(spark, tmp_path):
+    path = str(tmp_path / "joined")
+    sinks.write_joined_csv(spark.range(3), path, header=False)
+    with pytest.raises(AnalysisException):
+        sinks.write_joined_csv(spark.range(1), path)
+    sinks.write_joined_csv(spark.range(9), path, mode="ignore")
+    assert sources.read_csv(spark, path, "id INT", header=False).count() == 3
+    sinks.write_joined_csv(spark.range(4), path, mode="append", header=False)
+    assert sources.read_csv(spark, path, "id INT", header=False).count() == 7
+    sinks.write_joined_csv(spark.range(2), path, mode="overwrite")
+    assert sources.read_csv(spark, path, "id INT").count() == 2 and len(glob.glob(f"{path}/part-*")) == 1
+
+
 def test_text_sinks_keep_strings_as_they_are(spark, tmp_path):
     df = spark.createDataFrame([(1, "  12 ", None), (2, " ", None), (3, "a\nb,\"c\"", None), (4, None, None)], "id int, t string, n double")
     sinks.write_csv(df, str(tmp_path / "csv"))

@@ -328,6 +328,18 @@ def test_export_gives_four_equal_copies(spark, tmp_path):
     assert len(glob.glob(f"{base}.csv/part-*")) == 2
 
 
+def test_single_export_is_not_left_to_one_task(spark, tmp_path, monkeypatch):
+    lines = spark.createDataFrame([(SAMPLE,)] * 500, "value string").repartition(5)
+
+    def refuse(*_):
+        raise AssertionError("one task reads and writes all rows")
+
+    monkeypatch.setattr(weather, "write_single_csv", refuse)
+    stored = weather.export_weather(lines, str(tmp_path / "60"), single_file=True)
+    assert len(glob.glob(f"{tmp_path}/60.csv/part-*")) == 1
+    assert sources.read_csv(spark, f"{tmp_path}/60.csv", stored.schema).count() == 500
+
+
 @pytest.fixture(scope="module")
 def observed(spark):
     entries = [
