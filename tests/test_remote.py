@@ -4,11 +4,13 @@ import datetime
 import subprocess
 import sys
 import uuid
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from checks.people import remote_of
 from tallyroom import sinks, sources
 from tallyroom.operators import frame_report, top_n
 from tallyroom.plans import hr
@@ -300,3 +302,20 @@ def test_quantiles_with_nulls_repeats_and_no_rows(spark, remote, parts):
     assert len(ranges) <= parts and sorted(map(repr, read.collect())) == sorted(map(repr, clustered(spark).collect()))
     sinks.write_jdbc(clustered(spark).limit(0), remote, "empty_keys")
     assert sources.quantile_predicates(spark, remote, "empty_keys", "id", parts) == ["1 = 1"]
+
+
+def session_of(settings):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
+
+
+@pytest.mark.parametrize("master", ["local-cluster[3,4,10240]", "spark://host:7077", "yarn", "k8s://https://host"])
+def test_embedded_database_is_refused_where_executors_are_processes_of_their_own(master):
+    with pytest.raises(ValueError, match="spark.tallyroom.jdbc.url"):
+        remote_of(session_of({"spark.master": master}))
+    url = "jdbc:mysql://host/db"
+    assert remote_of(session_of({"spark.master": master, "spark.tallyroom.jdbc.url": url})).url == url
+
+
+@pytest.mark.parametrize("master", ["local", "local[*]", "local[8]", "local[2,3]"])
+def test_embedded_database_serves_a_local_session(master):
+    assert remote_of(session_of({"spark.master": master})).url.startswith("jdbc:derby:memory:")
